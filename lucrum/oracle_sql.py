@@ -114,3 +114,400 @@ FROM gold"""
 SQL: dict[str, str] = {
     "gold_net_margin": GOLD_NET_MARGIN,
 }
+
+
+def _gold_select(src: str = "gold") -> str:
+    return f"""
+SELECT id, status, date_created, date_last_updated, CAST(total_amount AS DOUBLE) AS total_amount,
+       shipping_id, buyer_id, order_item_quantity,
+       CAST(order_item_unit_price AS DOUBLE) AS order_item_unit_price,
+       CAST(order_price AS DOUBLE) AS order_price, CAST(order_sale_fee AS DOUBLE) AS order_sale_fee,
+       order_item_item_id, order_item_item_seller_sku, order_date,
+       CAST(product_cost AS DOUBLE) AS product_cost, CAST(tax_rate AS DOUBLE) AS tax_rate,
+       CAST(tax_amount AS DOUBLE) AS tax_amount, CAST(freight_total AS DOUBLE) AS freight_total,
+       CAST(total_amount_shipment AS DOUBLE) AS total_amount_shipment,
+       shipment_share, freight_share, CAST(net_margin AS DOUBLE) AS net_margin
+FROM {src}"""
+
+
+ITEM_COLS_DOUBLE = """id, status, date_created, date_last_updated, CAST(total_amount AS DOUBLE) AS total_amount,
+  shipping_id, buyer_id, order_item_quantity,
+  CAST(order_item_unit_price AS DOUBLE) AS order_item_unit_price,
+  CAST(order_item_sale_fee AS DOUBLE) AS order_item_sale_fee,
+  order_item_item_id, order_item_item_seller_sku, order_date"""
+
+MONTH_LOOKUP_COST = with_ctes(LATEST_LINEITEM, ORDER_ITEMS, MONTHS, PRODUCT_COSTS) + """
+SELECT a.id, a.order_item_item_id, a.order_item_item_seller_sku, a.order_date,
+       a.order_item_quantity, CAST(a.order_item_quantity * b.unit_cost AS DOUBLE) AS product_cost
+FROM order_items a LEFT JOIN product_costs b
+  ON a.order_item_item_seller_sku = b.sku
+ AND year(a.order_date) = year(b.effective_date) AND month(a.order_date) = month(b.effective_date)"""
+
+MONTH_LOOKUP_TAX = with_ctes(LATEST_LINEITEM, ORDER_ITEMS, MONTHS, TAX_RATES) + """
+SELECT a.id, a.order_item_item_id, a.order_date, CAST(a.total_amount AS DOUBLE) AS total_amount,
+       CAST(c.rate AS DOUBLE) AS tax_rate, CAST(a.total_amount * c.rate AS DOUBLE) AS tax_amount
+FROM order_items a LEFT JOIN tax_rates c
+  ON year(a.order_date) = year(c.effective_date) AND month(a.order_date) = month(c.effective_date)"""
+
+FREIGHT_ALLOCATION = GOLD_STANDINS + """
+SELECT id, order_item_item_id, shipping_id, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(total_amount_shipment AS DOUBLE) AS total_amount_shipment,
+       CAST(freight_total AS DOUBLE) AS freight_total, shipment_share, freight_share
+FROM gold_shares"""
+
+LATEST_ORDER_ITEM = with_ctes(LATEST_LINEITEM) + "\nSELECT * FROM latest_lineitem"
+
+LATEST_SHIPMENT = """
+SELECT * FROM (
+  SELECT o_orderkey - o_orderkey % 4 AS shipment_id, o_totalprice AS cost,
+         o_totalprice * CAST(0.5 AS DOUBLE) AS save, o_orderdate AS _ingested_at FROM orders)
+QUALIFY row_number() OVER (PARTITION BY shipment_id
+  ORDER BY _ingested_at DESC NULLS LAST, cost ASC NULLS LAST, save ASC NULLS LAST) = 1"""
+
+COST_SOURCE = """
+cost_source AS (
+  SELECT p.p_partkey * 2 AS id, CAST(p.p_partkey AS VARCHAR) AS sku, p.p_name AS produto,
+         p.p_brand AS marca, p.p_retailprice * (10 + month(m.effective_date)) AS preco,
+         m.effective_date AS vigencia, CAST(m.effective_date AS TIMESTAMP) AS updated_at
+  FROM part p, months m
+  UNION ALL
+  SELECT p.p_partkey * 2 + 1, CAST(p.p_partkey AS VARCHAR), p.p_name, p.p_brand,
+         p.p_retailprice * (10 + month(m.effective_date)) + CAST(1.0 AS DOUBLE),
+         m.effective_date,
+         CAST(m.effective_date AS TIMESTAMP)
+           + CASE WHEN p.p_partkey % 2 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL (-1) DAY END
+  FROM part p, months m)"""
+
+TAX_SOURCE = """
+month_index AS (
+  SELECT effective_date, row_number() OVER (ORDER BY effective_date) - 1 AS i FROM months),
+tax_source AS (
+  SELECT CAST(i * 2 AS BIGINT) AS id,
+         CAST(40 + month(effective_date) AS DOUBLE) / CAST(1000 AS DOUBLE) AS imposto,
+         effective_date AS vigencia, CAST(effective_date AS TIMESTAMP) AS updated_at
+  FROM month_index
+  UNION ALL
+  SELECT CAST(i * 2 + 1 AS BIGINT),
+         CAST(40 + month(effective_date) AS DOUBLE) / CAST(1000 AS DOUBLE) + CAST(0.01 AS DOUBLE),
+         effective_date,
+         CAST(effective_date AS TIMESTAMP)
+           + CASE WHEN month(effective_date) % 2 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL (-1) DAY END
+  FROM month_index)"""
+
+LATEST_COST_CTE = """
+latest_cost AS (
+  SELECT id, sku, produto AS product, marca AS brand, preco AS unit_cost,
+         vigencia AS effective_date, updated_at
+  FROM cost_source
+  QUALIFY row_number() OVER (PARTITION BY sku, vigencia
+    ORDER BY updated_at DESC NULLS LAST, id ASC NULLS LAST, produto ASC NULLS LAST,
+             marca ASC NULLS LAST, preco ASC NULLS LAST) = 1)"""
+
+LATEST_TAX_CTE = """
+latest_tax AS (
+  SELECT id, imposto AS rate, vigencia AS effective_date, updated_at FROM tax_source
+  QUALIFY row_number() OVER (PARTITION BY vigencia
+    ORDER BY updated_at DESC NULLS LAST, id ASC NULLS LAST, imposto ASC NULLS LAST) = 1)"""
+
+LATEST_COST = with_ctes(MONTHS, COST_SOURCE, LATEST_COST_CTE) + "\nSELECT * FROM latest_cost"
+LATEST_TAX = with_ctes(MONTHS, TAX_SOURCE, LATEST_TAX_CTE) + "\nSELECT * FROM latest_tax"
+
+
+def _upsert(always: bool) -> str:
+    keep = "s.id IS NULL" if always else \
+        "s.id IS NULL OR NOT COALESCE(s.date_last_updated > t.date_last_updated, FALSE)"
+    upd = "" if always else "WHERE s.date_last_updated > t.date_last_updated"
+    return with_ctes(LATEST_LINEITEM, ORDER_ITEMS, """
+t AS (SELECT * FROM order_items WHERE id % 3 <> 0),
+s AS (SELECT * REPLACE ('U' AS status,
+        date_last_updated + CASE WHEN id % 7 <= 2 THEN INTERVAL (-1) DAY
+                                 WHEN id % 7 = 3 THEN INTERVAL 0 DAY
+                                 ELSE INTERVAL 1 DAY END AS date_last_updated)
+      FROM order_items WHERE id % 2 = 0)""", f"""
+merged AS (
+  SELECT t.* FROM t LEFT JOIN s
+    ON t.id = s.id AND t.order_item_item_id = s.order_item_item_id WHERE {keep}
+  UNION ALL
+  SELECT s.* FROM s JOIN t
+    ON t.id = s.id AND t.order_item_item_id = s.order_item_item_id {upd}
+  UNION ALL
+  SELECT s.* FROM s WHERE NOT EXISTS (
+    SELECT 1 FROM t WHERE t.id = s.id AND t.order_item_item_id = s.order_item_item_id))""") + \
+        f"\nSELECT {ITEM_COLS_DOUBLE} FROM merged"
+
+
+PAYMENTS_LIST = """[
+  {'id': l.l_orderkey * 10 + l.l_linenumber * 100 + 1,
+   'status': CASE l.l_returnflag WHEN 'A' THEN 'approved' WHEN 'R' THEN 'rejected' ELSE 'pending' END,
+   'amt': l.l_extendedprice / CAST(1 AS DOUBLE), 'inst': 1},
+  {'id': l.l_orderkey * 10 + l.l_linenumber * 100 + 2,
+   'status': CASE WHEN l.l_linestatus = 'O' THEN 'approved' ELSE 'pending' END,
+   'amt': l.l_extendedprice / CAST(2 AS DOUBLE), 'inst': 2},
+  {'id': l.l_orderkey * 10 + l.l_linenumber * 100 + 3,
+   'status': CASE WHEN l.l_quantity > 25 THEN 'approved' ELSE 'rejected' END,
+   'amt': l.l_extendedprice / CAST(3 AS DOUBLE), 'inst': 3}]"""
+
+PAY_TYPE = "STRUCT(id BIGINT, status VARCHAR, amt DOUBLE, inst INTEGER)"
+
+FIRST_APPROVED_PAYMENT = f"""
+WITH bronze_pay AS (
+  SELECT o.o_orderkey AS id, CAST(l.l_linenumber AS VARCHAR) AS order_item_item_id,
+         list_filter({PAYMENTS_LIST}, lambda p: p.status = 'approved')[1] AS p
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+  UNION ALL
+  SELECT o_orderkey, NULL, CAST(NULL AS {PAY_TYPE}) FROM orders
+  WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))
+SELECT id, order_item_item_id, p.id AS payment_id, p.status AS payment_status,
+       p.amt AS payment_transaction_amount, CAST(p.inst AS INTEGER) AS payment_installments
+FROM bronze_pay"""
+
+
+def flat_orders_sql(money: str = "DOUBLE", name: str = "flat_orders") -> str:
+    """CTE: the silver order items the flatten operator must produce from the
+    nested stand-in, deduplicated with the full-row tiebreak."""
+    from .schemas import SILVER_ORDER_SPEC
+    m = (lambda x: f"CAST({x} AS {money})") if money != "DOUBLE" else (lambda x: x)
+    pay = "pay.p"
+    vals = {
+        "id": "o.o_orderkey", "status": "o.o_orderstatus",
+        "date_created": "o.o_orderdate", "date_last_updated": "l.l_shipdate",
+        "last_updated": "l.l_shipdate", "total_amount": m("o.o_totalprice"),
+        "paid_amount": m("o.o_totalprice"), "currency_id": "'BRL'", "mediations": "'[]'",
+        "_ingested_at": "l.l_shipdate",
+        "shipping_id": "CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_orderkey - o.o_orderkey % 4 END",
+        "buyer_id": "o.o_custkey", "buyer_nickname": "'buyer_' || CAST(o.o_custkey AS VARCHAR)",
+        "seller_id": "CAST(2 AS BIGINT)", "seller_nickname": "'seller'",
+        "payment_transaction_amount": m(f"{pay}.amt"),
+        "payment_date_approved": f"CASE WHEN {pay} IS NULL THEN NULL ELSE l.l_shipdate END",
+        "payment_installments": f"CAST({pay}.inst AS INTEGER)", "payment_id": f"{pay}.id",
+        "payment_available_actions": f"CASE WHEN {pay} IS NULL THEN NULL ELSE '[]' END",
+        "payment_type": f"CASE WHEN {pay} IS NULL THEN NULL ELSE 'card' END",
+        "payment_status": f"{pay}.status",
+        "order_item_quantity": "CAST(l.l_quantity AS INTEGER)",
+        "order_item_unit_price": m("l.l_extendedprice"), "order_item_sale_fee": m("l.l_discount"),
+        "order_item_item_id": "CAST(l.l_linenumber AS VARCHAR)",
+        "order_item_item_category_id": "l.l_returnflag",
+        "order_item_item_variation_id": "l.l_suppkey",
+        "order_item_item_seller_sku": "CAST(l.l_partkey AS VARCHAR)",
+        "order_item_stock_node_id": "l.l_linestatus",
+    }
+    sqltype = {"bigint": "BIGINT", "int": "INTEGER", "double": money, "string": "VARCHAR",
+               "timestamp": "TIMESTAMP"}
+    cols = []
+    for _, kind, alias in SILVER_ORDER_SPEC:
+        v = vals.get(alias, f"CAST(NULL AS {sqltype[kind]})")
+        cols.append(f"{v} AS {alias}")
+    cols.append("CAST(o.o_orderdate AS DATE) AS order_date")
+    names = [a for _, _, a in SILVER_ORDER_SPEC] + ["order_date"]
+    order = ["date_last_updated DESC NULLS LAST"] + [
+        f"{n} ASC NULLS LAST" for n in names
+        if n not in ("id", "order_item_item_id", "date_last_updated")]
+    return f"""
+{name}_raw AS (
+  SELECT {', '.join(cols)}
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey,
+       LATERAL (SELECT list_filter({PAYMENTS_LIST}, lambda p: p.status = 'approved')[1] AS p) pay),
+{name} AS (
+  SELECT * FROM {name}_raw
+  QUALIFY row_number() OVER (PARTITION BY id, order_item_item_id ORDER BY {', '.join(order)}) = 1)"""
+
+
+FLATTEN_ORDER_ITEMS = with_ctes(flat_orders_sql()) + "\nSELECT * FROM flat_orders"
+
+STRINGIFY_NESTED = """
+SELECT event_id,
+       CASE WHEN props IS NULL THEN NULL
+            ELSE '{' || COALESCE(CAST(TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR), 'null') || '}' END
+         AS props_text,
+       CASE WHEN props IS NULL THEN NULL
+            WHEN TRY_CAST(json_extract(props, '$.k') AS INTEGER) IS NULL THEN '{}'
+            ELSE '{"k":' || CAST(TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) || '}' END
+         AS props_json,
+       '[' || event_type || ', ' || event_type || ']' AS types_text
+FROM events"""
+
+SELLER_FREIGHT = """
+SELECT * FROM (
+  SELECT o_orderkey - o_orderkey % 4 AS shipment_id, o_totalprice AS cost,
+         o_totalprice * CAST(0.5 AS DOUBLE) AS save, o_orderdate AS _ingested_at
+  FROM orders WHERE o_custkey % 3 = 2)
+QUALIFY row_number() OVER (PARTITION BY shipment_id
+  ORDER BY _ingested_at DESC NULLS LAST, cost ASC NULLS LAST, save ASC NULLS LAST) = 1"""
+
+_EXEC = "CAST(date_trunc('month', date_last_updated) AS TIMESTAMP)"
+
+BRONZE_ROUNDTRIP = with_ctes(LATEST_LINEITEM, ORDER_ITEMS) + f"""
+SELECT {ITEM_COLS_DOUBLE},
+       {_EXEC} AS _ingested_at,
+       'orders_' || strftime({_EXEC}, '%Y%m%d') || '_'
+         || strftime({_EXEC} + INTERVAL 1 MONTH, '%Y%m%d') AS batch_label,
+       strftime({_EXEC}, '%Y') AS year, strftime({_EXEC}, '%m') AS month,
+       strftime({_EXEC}, '%d') AS day
+FROM order_items"""
+
+BRONZE_FILE_DATES = with_ctes(LATEST_LINEITEM, ORDER_ITEMS) + """
+SELECT CAST(date_trunc('month', date_last_updated) AS DATE) AS partition_date,
+       count(*) AS n_rows
+FROM order_items GROUP BY 1"""
+
+WINDOWS = """
+run AS (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS now_ FROM events),
+starts AS (SELECT unnest(generate_series(now_ - INTERVAL 180 DAY, now_ - INTERVAL 1 MICROSECOND,
+                                         INTERVAL 7 DAY)) AS date_from, now_ FROM run),
+windows AS (
+  SELECT CAST(row_number() OVER (ORDER BY date_from) - 1 AS BIGINT) AS window_index, date_from,
+         least(date_from + INTERVAL 7 DAY, now_) AS date_to
+  FROM starts),
+window_counts AS (
+  SELECT w.window_index, w.date_from, w.date_to, w.date_to AS execution_dt,
+         count(e.event_id) AS n_rows
+  FROM windows w LEFT JOIN events e ON e.ts >= w.date_from AND e.ts < w.date_to
+  GROUP BY ALL)"""
+
+BACKFILL_WINDOWS = with_ctes(WINDOWS) + """
+SELECT window_index, date_from, date_to, date_to AS execution_dt,
+       strftime(date_from, '%Y-%m-%dT%H:%M:%S.000+00:00') AS date_from_text,
+       strftime(date_to, '%Y-%m-%dT%H:%M:%S.000+00:00') AS date_to_text,
+       strftime(date_to, '%Y') AS year, strftime(date_to, '%m') AS month,
+       strftime(date_to, '%d') AS day
+FROM windows"""
+
+BACKFILL_COUNTS = with_ctes(WINDOWS) + "\nSELECT * FROM window_counts"
+
+BACKFILL_ROLLUP = with_ctes(WINDOWS) + """
+SELECT window_index, CAST(sum(n_rows) AS BIGINT) AS n_rows
+FROM window_counts GROUP BY ROLLUP (window_index)"""
+
+WINDOW_CAP_AUDIT = with_ctes(WINDOWS) + """
+SELECT window_index, n_rows, n_rows >= 10000 AS may_be_truncated FROM window_counts"""
+
+INCREMENTAL_BATCH = """
+WITH run AS (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS now_ FROM events)
+SELECT e.*, run.now_ - INTERVAL 7 DAY AS batch_from, run.now_ AS batch_to
+FROM events e, run WHERE e.ts >= run.now_ - INTERVAL 7 DAY AND e.ts < run.now_"""
+
+PENDING_BASE = """
+order_ids AS (
+  SELECT CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey - o_orderkey % 4 END AS shipping_id,
+         date_trunc('month', o_orderdate) AS m
+  FROM orders),
+cutoff AS (SELECT date_trunc('month', max(o_orderdate)) - INTERVAL 12 MONTH AS c FROM orders),
+landed AS (
+  SELECT s.shipment_id, date_trunc('month', o.o_orderdate) AS m
+  FROM orders o JOIN (SELECT o_orderkey AS shipment_id FROM orders
+                      WHERE o_orderkey % 4 = 0 AND o_orderkey % 20 <> 0) s
+    ON s.shipment_id = o.o_orderkey, cutoff
+  WHERE date_trunc('month', o.o_orderdate) < cutoff.c)"""
+
+PENDING_SHIPMENTS_ID = with_ctes(PENDING_BASE) + """
+SELECT DISTINCT shipping_id FROM order_ids
+WHERE shipping_id IS NOT NULL AND shipping_id <> 0
+  AND shipping_id NOT IN (SELECT shipment_id FROM landed)"""
+
+PENDING_SHIPMENTS_PARTITION = with_ctes(PENDING_BASE) + """
+SELECT DISTINCT shipping_id FROM order_ids
+WHERE shipping_id IS NOT NULL AND shipping_id <> 0
+  AND m NOT IN (SELECT m FROM landed)"""
+
+PAGE_OF_ORDERS = """
+SELECT * FROM orders ORDER BY o_orderdate ASC NULLS FIRST, o_orderkey ASC NULLS FIRST
+LIMIT 50 OFFSET 100"""
+
+UNION_BATCHES = """
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN event_id % 3 = 2 THEN NULL ELSE value END AS value,
+       CASE WHEN event_id % 3 = 1 THEN NULL ELSE props END AS props
+FROM events"""
+
+LOCAL_EXECUTION_DATE = """
+WITH z AS (SELECT event_id, ts,
+                  timezone('America/Sao_Paulo', timezone('UTC', ts)) AS local_ts FROM events)
+SELECT event_id, ts, local_ts, CAST(local_ts AS DATE) AS local_date,
+       strftime(local_ts, '%Y') AS year, strftime(local_ts, '%m') AS month,
+       strftime(local_ts, '%d') AS day
+FROM z"""
+
+RUN_SUMMARY = with_ctes(LATEST_LINEITEM, ORDER_ITEMS) + """
+SELECT CAST(date_trunc('month', date_last_updated) AS DATE) AS batch, count(*) AS n_rows,
+       min(date_last_updated) AS first_ts, max(date_last_updated) AS last_ts
+FROM order_items GROUP BY 1"""
+
+STREAM_UPSERT = """
+SELECT * FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+  ORDER BY ts DESC NULLS LAST, event_id ASC NULLS LAST) = 1"""
+
+PIPELINE_SHIPMENTS = """
+pipe_shipments AS (
+  SELECT shipment_id, CAST(cost AS DECIMAL(18,2)) AS cost FROM (
+    SELECT o_orderkey - o_orderkey % 4 AS shipment_id, o_totalprice AS cost,
+           o_totalprice * CAST(0.5 AS DOUBLE) AS save, o_orderdate AS _ingested_at
+    FROM orders WHERE o_custkey % 3 = 2)
+  QUALIFY row_number() OVER (PARTITION BY shipment_id
+    ORDER BY _ingested_at DESC NULLS LAST, cost ASC NULLS LAST, save ASC NULLS LAST) = 1)"""
+
+PIPELINE_GOLD = """
+pipe_base AS (
+  SELECT a.*,
+         a.order_item_quantity * a.order_item_unit_price AS order_price,
+         a.order_item_quantity * a.order_item_sale_fee AS order_sale_fee,
+         a.order_item_quantity * CAST(b.unit_cost AS DECIMAL(18,2)) AS product_cost,
+         CAST(c.rate AS DECIMAL(6,4)) AS tax_rate,
+         a.total_amount * CAST(c.rate AS DECIMAL(6,4)) AS tax_amount,
+         d.cost AS freight_total,
+         SUM(a.total_amount) OVER (PARTITION BY a.shipping_id) AS total_amount_shipment
+  FROM flat_orders a
+  LEFT JOIN latest_cost b
+    ON a.order_item_item_seller_sku = b.sku
+   AND year(a.order_date) = year(b.effective_date) AND month(a.order_date) = month(b.effective_date)
+  LEFT JOIN latest_tax c
+    ON year(a.order_date) = year(c.effective_date) AND month(a.order_date) = month(c.effective_date)
+  LEFT JOIN pipe_shipments d ON a.shipping_id = d.shipment_id),
+pipe_shares AS (
+  SELECT *,
+    ROUND(CAST(total_amount AS DOUBLE) / NULLIF(CAST(total_amount_shipment AS DOUBLE), 0), 4)
+      AS shipment_share,
+    ROUND(CAST(freight_total AS DOUBLE)
+          * (CAST(total_amount AS DOUBLE) / NULLIF(CAST(total_amount_shipment AS DOUBLE), 0)), 2)
+      AS freight_share
+  FROM pipe_base),
+pipe_gold AS (
+  SELECT *,
+    ROUND(order_price - order_sale_fee - product_cost - tax_amount
+          - CAST(freight_share AS DECIMAL(18,2)), 2) AS net_margin
+  FROM pipe_shares)"""
+
+PIPELINE_END_TO_END = with_ctes(
+    flat_orders_sql("DECIMAL(18,2)"), MONTHS, COST_SOURCE, LATEST_COST_CTE, TAX_SOURCE,
+    LATEST_TAX_CTE, PIPELINE_SHIPMENTS, PIPELINE_GOLD) + _gold_select("pipe_gold")
+
+SQL.update({
+    "month_lookup_cost": MONTH_LOOKUP_COST,
+    "month_lookup_tax": MONTH_LOOKUP_TAX,
+    "freight_allocation": FREIGHT_ALLOCATION,
+    "latest_order_item": LATEST_ORDER_ITEM,
+    "latest_shipment": LATEST_SHIPMENT,
+    "latest_cost": LATEST_COST,
+    "latest_tax": LATEST_TAX,
+    "upsert_order_items": _upsert(False),
+    "upsert_always": _upsert(True),
+    "first_approved_payment": FIRST_APPROVED_PAYMENT,
+    "flatten_order_items": FLATTEN_ORDER_ITEMS,
+    "stringify_nested": STRINGIFY_NESTED,
+    "seller_freight": SELLER_FREIGHT,
+    "bronze_roundtrip": BRONZE_ROUNDTRIP,
+    "bronze_file_dates": BRONZE_FILE_DATES,
+    "backfill_windows": BACKFILL_WINDOWS,
+    "backfill_counts": BACKFILL_COUNTS,
+    "backfill_rollup": BACKFILL_ROLLUP,
+    "window_cap_audit": WINDOW_CAP_AUDIT,
+    "incremental_batch": INCREMENTAL_BATCH,
+    "pending_shipments_id": PENDING_SHIPMENTS_ID,
+    "pending_shipments_partition": PENDING_SHIPMENTS_PARTITION,
+    "page_of_orders": PAGE_OF_ORDERS,
+    "union_batches": UNION_BATCHES,
+    "local_execution_date": LOCAL_EXECUTION_DATE,
+    "run_summary": RUN_SUMMARY,
+    "stream_upsert": STREAM_UPSERT,
+    "pipeline_end_to_end": PIPELINE_END_TO_END,
+})

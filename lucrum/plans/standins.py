@@ -99,3 +99,161 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.filter((F.col("o_orderkey") % 4 == 0) & (F.col("o_orderkey") % 20 != 0))
             .select(F.col("o_orderkey").alias("shipment_id"),
                     F.col("o_totalprice").cast(MONEY).alias("cost")))
+
+
+# ---------------------------------------------------------------------------
+# Nested (bronze-shaped) records and versioned sources
+# ---------------------------------------------------------------------------
+
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+SELLER_ID = 2
+
+
+def build_struct(schema, **values) -> F.Column:
+    """A struct of ``schema``'s type; fields not given are null."""
+    parts = []
+    for f in schema.fields:
+        v = values.get(f.name)
+        col = F.lit(None) if v is None else v
+        parts.append(col.cast(f.dataType).alias(f.name))
+    return F.struct(*parts)
+
+
+def _text(col: str) -> F.Column:
+    return F.date_format(F.col(col), TS_TEXT)
+
+
+def _payment(n: int, status: F.Column) -> F.Column:
+    from ..schemas import PAYMENT
+    return build_struct(
+        PAYMENT,
+        id=F.col("l_orderkey") * 10 + F.col("l_linenumber") * 100 + n,
+        status=status,
+        transaction_amount=F.col("l_extendedprice") / F.lit(float(n)),
+        installments=F.lit(n),
+        date_approved=_text("l_shipdate"),
+        payment_type=F.lit("card"),
+        available_actions=F.array().cast("array<string>"))
+
+
+def _status(flag: F.Column, yes, no) -> F.Column:
+    return F.when(flag, F.lit(yes)).otherwise(F.lit(no))
+
+
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order records as the marketplace API returns them (nested).
+
+    One record per ``lineitem`` row: a version of its order, updated at the
+    ship date, carrying that line as its only item and three payments whose
+    statuses follow the line's flags. Orders without any line appear once with
+    an empty ``order_items`` array and no payments."""
+    from ..schemas import BRONZE_ORDERS, ORDER_ITEM
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    rf = F.col("l_returnflag")
+    pays = F.array(
+        _payment(1, F.when(rf == "A", "approved").when(rf == "R", "rejected").otherwise("pending")),
+        _payment(2, _status(F.col("l_linestatus") == "O", "approved", "pending")),
+        _payment(3, _status(F.col("l_quantity") > 25, "approved", "rejected")))
+    item = build_struct(
+        ORDER_ITEM,
+        quantity=F.col("l_quantity").cast("int"), unit_price=F.col("l_extendedprice"),
+        sale_fee=F.col("l_discount"),
+        item=F.struct(F.col("l_linenumber").cast("string").alias("id"),
+                      F.lit(None).cast("string").alias("title"),
+                      F.col("l_returnflag").alias("category_id"),
+                      F.col("l_suppkey").alias("variation_id"),
+                      F.col("l_partkey").cast("string").alias("seller_sku")),
+        stock=F.struct(F.col("l_linestatus").alias("node_id")))
+
+    def record(updated: str, payments: F.Column, items: F.Column) -> list[F.Column]:
+        vals = dict(
+            id=F.col("o_orderkey"), status=F.col("o_orderstatus"),
+            date_created=_text("o_orderdate"), date_last_updated=_text(updated),
+            last_updated=_text(updated), total_amount=F.col("o_totalprice"),
+            paid_amount=F.col("o_totalprice"), currency_id=F.lit("BRL"),
+            mediations=F.array().cast("array<struct<id:bigint>>"),
+            shipping=F.struct(parcel_of("o_orderkey").alias("id")),
+            buyer=F.struct(F.col("o_custkey").alias("id"),
+                           F.concat(F.lit("buyer_"), F.col("o_custkey")).alias("nickname")),
+            seller=F.struct(F.lit(SELLER_ID).cast("bigint").alias("id"),
+                            F.lit("seller").alias("nickname")),
+            payments=payments, order_items=items, _ingested_at=_text(updated))
+        return [(vals[f.name] if f.name in vals else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in BRONZE_ORDERS.fields]
+
+    with_lines = o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(
+        *record("l_shipdate", pays, F.array(item)))
+    lineless = o.join(li.select("l_orderkey").distinct(), o["o_orderkey"] == F.col("l_orderkey"),
+                      "left_anti")
+    no_lines = lineless.select(*record("o_orderdate", F.lit(None), F.array()))
+    return with_lines.unionByName(no_lines)
+
+
+def bronze_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipment-cost records: one fetch per order of the parcel, listing a
+    carrier (user 1) and the customer-derived sender ``o_custkey % 3``."""
+    from ..schemas import BRONZE_SHIPMENTS, SENDER
+    o = table(spark, sf_dir, "orders")
+    senders = F.array(
+        build_struct(SENDER, user_id=F.lit(1), cost=F.col("o_totalprice") * F.lit(0.25),
+                     save=F.lit(0.0)),
+        build_struct(SENDER, user_id=F.col("o_custkey") % 3, cost=F.col("o_totalprice"),
+                     save=F.col("o_totalprice") * F.lit(0.5)))
+    k = F.col("o_orderkey")
+    return o.select((k - k % 4).alias("shipment_id"), senders.alias("senders"),
+                    _text("o_orderdate").alias("_ingested_at")).select(*BRONZE_SHIPMENTS.names)
+
+
+def shipment_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver-shaped shipment rows, one version per order of the parcel."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select((k - k % 4).alias("shipment_id"), F.col("o_totalprice").alias("cost"),
+                    (F.col("o_totalprice") * F.lit(0.5)).alias("save"),
+                    F.col("o_orderdate").alias("_ingested_at"))
+
+
+def cost_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finance-system product costs with two versions per SKU and month: the
+    second is newer for odd SKUs and older for even ones."""
+    p = table(spark, sf_dir, "part")
+    m = p.select("p_partkey", "p_name", "p_brand", "p_retailprice",
+                 F.explode(order_months(spark, sf_dir)).alias("vigencia"))
+    price = F.col("p_retailprice") * (F.lit(10) + F.month("vigencia"))
+    odd = F.col("p_partkey") % 2 == 1
+    shift = F.make_dt_interval(F.when(odd, F.lit(1)).otherwise(F.lit(-1)))
+    base = [F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("produto"),
+            F.col("p_brand").alias("marca"), "vigencia"]
+    first = m.select((F.col("p_partkey") * 2).alias("id"), *base, price.alias("preco"),
+                     F.col("vigencia").cast("timestamp_ntz").alias("updated_at"))
+    second = m.select((F.col("p_partkey") * 2 + 1).alias("id"), *base,
+                      (price + F.lit(1.0)).alias("preco"),
+                      (F.col("vigencia").cast("timestamp_ntz") + shift).alias("updated_at"))
+    return first.unionByName(second)
+
+
+def tax_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finance-system tax rates, two versions per month (second newer in odd
+    months)."""
+    m = spark.range(1).select(F.posexplode(order_months(spark, sf_dir)).alias("i", "vigencia"))
+    rate = (F.lit(40) + F.month("vigencia")).cast("double") / F.lit(1000.0)
+    odd = F.month("vigencia") % 2 == 1
+    shift = F.make_dt_interval(F.when(odd, F.lit(1)).otherwise(F.lit(-1)))
+    first = m.select((F.col("i") * 2).cast("bigint").alias("id"), rate.alias("imposto"), "vigencia",
+                     F.col("vigencia").cast("timestamp_ntz").alias("updated_at"))
+    second = m.select((F.col("i") * 2 + 1).cast("bigint").alias("id"),
+                      (rate + F.lit(0.01)).alias("imposto"), "vigencia",
+                      (F.col("vigencia").cast("timestamp_ntz") + shift).alias("updated_at"))
+    return first.unionByName(second)
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events")
+
+
+def events_now(spark: SparkSession, sf_dir: str) -> F.Column:
+    """Midnight after the last event (scalar subquery): the run's ``now``."""
+    e = events(spark, sf_dir)
+    return e.select((F.to_date(F.max("ts")).cast("timestamp_ntz")
+                     + F.make_dt_interval(F.lit(1))).alias("now")).scalar()

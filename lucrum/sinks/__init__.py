@@ -1 +1 @@
-"""sinks."""
+"""Sinks: bronze landing, partitioned tables with upsert, control cursor."""

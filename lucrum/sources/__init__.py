@@ -1 +1 @@
-"""sources."""
+"""Sources: bronze JSONL, tables, JDBC."""

@@ -1 +1,2 @@
-"""streaming."""
+"""Structured Streaming forms of the incremental jobs."""
+from .upsert_stream import stream_upsert, upsert_batch  # noqa: F401
