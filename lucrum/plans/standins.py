@@ -27,9 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over ``defaultParallelism`` partitions when its scan
+    yields fewer (a single unsplittable file, e.g. one Parquet row group), so
+    the work before the first shuffle is not single-threaded. Inputs made of
+    many files already have enough scan tasks and are returned unchanged."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def latest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest ``lineitem`` row per ``(l_orderkey, l_linenumber)`` by ship date."""
-    return latest_per_key(table(spark, sf_dir, "lineitem"),
+    return latest_per_key(spread(table(spark, sf_dir, "lineitem")),
                           ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
@@ -149,7 +161,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     an empty ``order_items`` array and no payments."""
     from ..schemas import BRONZE_ORDERS, ORDER_ITEM
     o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     rf = F.col("l_returnflag")
     pays = F.array(
         _payment(1, F.when(rf == "A", "approved").when(rf == "R", "rejected").otherwise("pending")),
