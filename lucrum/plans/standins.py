@@ -86,7 +86,7 @@ def order_months(spark: SparkSession, sf_dir: str) -> F.Column:
 def product_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(sku, effective_date, unit_cost)``; no row for every tenth SKU in even
     months (missing-cost path)."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"))
     m = p.select("p_partkey", "p_retailprice",
                  F.explode(order_months(spark, sf_dir)).alias("effective_date"))
     m = m.filter(~((F.col("p_partkey") % 10 == 0) & (F.month("effective_date") % 2 == 0)))
@@ -229,7 +229,7 @@ def shipment_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cost_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finance-system product costs with two versions per SKU and month: the
     second is newer for odd SKUs and older for even ones."""
-    p = table(spark, sf_dir, "part")
+    p = spread(table(spark, sf_dir, "part"))
     m = p.select("p_partkey", "p_name", "p_brand", "p_retailprice",
                  F.explode(order_months(spark, sf_dir)).alias("vigencia"))
     price = F.col("p_retailprice") * (F.lit(10) + F.month("vigencia"))
