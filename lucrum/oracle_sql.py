@@ -481,7 +481,19 @@ PIPELINE_END_TO_END = with_ctes(
     flat_orders_sql("DECIMAL(18,2)"), MONTHS, COST_SOURCE, LATEST_COST_CTE, TAX_SOURCE,
     LATEST_TAX_CTE, PIPELINE_SHIPMENTS, PIPELINE_GOLD) + _gold_select("pipe_gold")
 
+BACKFILL_LAND = with_ctes(WINDOWS) + """
+SELECT w.window_index,
+       'events_' || strftime(w.date_from, '%Y%m%d') || '_' || strftime(w.date_to, '%Y%m%d')
+         AS batch_label,
+       strftime(w.date_to, '%Y') AS year, strftime(w.date_to, '%m') AS month,
+       strftime(w.date_to, '%d') AS day,
+       count(*) AS n_rows, min(e.ts) AS first_ts, max(e.ts) AS last_ts
+FROM windows w JOIN events e ON e.ts >= w.date_from AND e.ts < w.date_to
+GROUP BY ALL"""
+
 SQL.update({
+    "gold_net_margin_sql": GOLD_NET_MARGIN,
+    "backfill_land": BACKFILL_LAND,
     "month_lookup_cost": MONTH_LOOKUP_COST,
     "month_lookup_tax": MONTH_LOOKUP_TAX,
     "freight_allocation": FREIGHT_ALLOCATION,

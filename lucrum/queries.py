@@ -11,6 +11,7 @@ parquet) and money columns DOUBLE, so results compare exactly with DuckDB.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,6 +47,14 @@ def gold_net_margin(spark, sf_dir):
                             S.tax_rates(spark, sf_dir), S.shipments(spark, sf_dir))
 
 
+def gold_net_margin_sql(spark, sf_dir):
+    """C8 through the SQL entry point (staging views + Spark SQL)."""
+    from .plans.gold_sql import gold_via_sql
+    g = gold_via_sql(spark, S.order_items(spark, sf_dir), S.product_costs(spark, sf_dir),
+                     S.tax_rates(spark, sf_dir), S.shipments(spark, sf_dir))
+    return _doubles(g.select(*gold.GOLD_COLUMNS))
+
+
 def month_lookup_cost(spark, sf_dir):
     """Unit cost of the SKU in the order's month."""
     f = gold.with_product_cost(S.order_items(spark, sf_dir), S.product_costs(spark, sf_dir))
@@ -215,6 +224,23 @@ def backfill_rollup(spark, sf_dir):
         "window_index", F.col("window_index").cast("bigint"))
 
 
+def backfill_land(spark, sf_dir):
+    """C11: land every event in the partition of its window's end date, then
+    summarise the landed files per window and partition."""
+    w = _windows(spark, sf_dir)
+    tagged = incremental.backfill_assign(S.events(spark, sf_dir), "ts", w)
+    stamped = bronze_sink.stamp(tagged, "execution_dt", "events", date_from="date_from",
+                                date_to="date_to")
+    root = scratch_path(spark, "bronze-events")
+    bronze_sink.land_jsonl(stamped, root)
+    data = T.StructType([f for f in stamped.schema.fields if f.name not in ("year", "month", "day")])
+    landed = bronze_src.read_jsonl(spark, root, data)
+    return (landed.groupBy("window_index", "batch_label", "year", "month", "day")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"),
+                 F.max("ts").alias("last_ts"))
+            .withColumn("window_index", F.col("window_index").cast("bigint")))
+
+
 def window_cap_audit(spark, sf_dir):
     """A4: windows that reached the source's 10,000-row page cap."""
     return W.cap_audit(backfill_counts(spark, sf_dir)).select(
@@ -328,12 +354,14 @@ def pipeline_end_to_end(spark, sf_dir):
         spark, S.bronze_orders(spark, sf_dir), S.bronze_shipments(spark, sf_dir),
         S.cost_source(spark, sf_dir), S.tax_source(spark, sf_dir),
         scratch_path(spark, "lakehouse"), seller_id=S.SELLER_ID, exact_money=True,
-        timestamp_kind=NTZ, partition_grain="month")
-    return _doubles(spark.read.parquet(paths["gold"]).select(*gold.GOLD_COLUMNS))
+        timestamp_kind=NTZ, partition_grain="month",
+        catalog_prefix=f"lucrum_{uuid.uuid4().hex[:8]}")
+    return _doubles(spark.table(paths["table_gold"]).select(*gold.GOLD_COLUMNS))
 
 
 REGISTRY: dict[str, Query] = {
     "gold_net_margin": gold_net_margin,
+    "gold_net_margin_sql": gold_net_margin_sql,
     "month_lookup_cost": month_lookup_cost,
     "month_lookup_tax": month_lookup_tax,
     "freight_allocation": freight_allocation,
@@ -352,6 +380,7 @@ REGISTRY: dict[str, Query] = {
     "backfill_windows": backfill_windows,
     "backfill_counts": backfill_counts,
     "backfill_rollup": backfill_rollup,
+    "backfill_land": backfill_land,
     "window_cap_audit": window_cap_audit,
     "incremental_batch": incremental_batch,
     "pending_shipments_id": pending_shipments_id,

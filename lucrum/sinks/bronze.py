@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.paths import partition_parts, window_label
 
 PARTITION_COLUMNS = ["year", "month", "day"]
+# ISO-8601 with microseconds, so typed timestamps survive the
+# JSON round trip (Spark's default keeps milliseconds only).
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def stamp(df: DataFrame, execution_ts: Column | str, name: str = "data",
@@ -41,5 +45,7 @@ def land_jsonl(df: DataFrame, root: str, skip_empty: bool = False) -> bool:
         return False
     (df.repartition(*[F.col(c) for c in PARTITION_COLUMNS])
        .write.mode("append").partitionBy(*PARTITION_COLUMNS)
-       .option("compression", "none").json(root))
+       .option("compression", "none")
+       .option("timestampNTZFormat", TS_NTZ_FORMAT).option("timestampFormat", TS_FORMAT)
+       .json(root))
     return True

@@ -26,8 +26,10 @@ def read_jsonl(spark: SparkSession, root: str, schema: T.StructType,
                file_glob: str = JSON_FILES) -> DataFrame:
     """All landed records under ``root`` (S1, S8), with the ``year``/``month``/
     ``day`` partition values as strings (padding kept)."""
+    from ..sinks.bronze import TS_FORMAT, TS_NTZ_FORMAT
     return (spark.read.schema(with_partitions(schema))
             .option("basePath", root).option("pathGlobFilter", file_glob)
+            .option("timestampNTZFormat", TS_NTZ_FORMAT).option("timestampFormat", TS_FORMAT)
             .option("mode", "PERMISSIVE").json(root))
 
 
