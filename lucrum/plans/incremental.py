@@ -42,7 +42,7 @@ def nonzero_ids(df: DataFrame, col: str) -> DataFrame:
 def pending_by_id(order_ids: DataFrame, done_ids: DataFrame, col: str = "shipping_id",
                   done_col: str = "shipment_id") -> DataFrame:
     """Shipping ids referenced by orders and not fetched yet (C12, id grain)."""
-    done = done_ids.select(F.col(done_col).alias("shipping_id"))
+    done = done_ids.select(F.col(done_col).alias("shipping_id")).distinct()
     return nonzero_ids(order_ids, col).join(done, "shipping_id", "left_anti")
 
 

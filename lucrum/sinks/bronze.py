@@ -38,12 +38,14 @@ def stamp(df: DataFrame, execution_ts: Column | str, name: str = "data",
 def land_jsonl(df: DataFrame, root: str, skip_empty: bool = False) -> bool:
     """Append ``df`` (already stamped) as JSON lines under ``root``.
 
-    Rows are first clustered by partition so each directory gets one file per
-    writing task that holds it. Returns False when ``skip_empty`` and there was
-    nothing to write (K13); appending zero rows is harmless otherwise."""
+    Rows are clustered by partition with the ``rebalance`` hint: each
+    directory receives few files, and AQE splits a day holding a large share
+    of the rows over several tasks instead of one. Returns False when
+    ``skip_empty`` and there was nothing to write (K13); appending zero rows
+    is harmless otherwise."""
     if skip_empty and df.isEmpty():
         return False
-    (df.repartition(*[F.col(c) for c in PARTITION_COLUMNS])
+    (df.hint("rebalance", *PARTITION_COLUMNS)
        .write.mode("append").partitionBy(*PARTITION_COLUMNS)
        .option("compression", "none")
        .option("timestampNTZFormat", TS_NTZ_FORMAT).option("timestampFormat", TS_FORMAT)
