@@ -9,7 +9,7 @@ same day never replaces an earlier one's files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.paths import partition_parts, window_label
 
@@ -35,19 +35,26 @@ def stamp(df: DataFrame, execution_ts: Column | str, name: str = "data",
         window_label(name, f, t).alias("batch_label"))
 
 
-def land_jsonl(df: DataFrame, root: str, skip_empty: bool = False) -> bool:
+def land_jsonl(df: DataFrame, root: str, skip_empty: bool = False,
+               summary_ts: str | None = None) -> dict:
     """Append ``df`` (already stamped) as JSON lines under ``root``.
 
     Rows are clustered by partition with the ``rebalance`` hint: each
     directory receives few files, and AQE splits a day holding a large share
-    of the rows over several tasks instead of one. Returns False when
-    ``skip_empty`` and there was nothing to write (K13); appending zero rows
-    is harmless otherwise."""
+    of the rows over several tasks instead of one. With ``skip_empty`` an
+    empty batch writes nothing (K13); appending zero rows is harmless
+    otherwise. Returns the run summary (K11) — rows written and, with
+    ``summary_ts``, the first and last value of that column — gathered by
+    ``observe`` during the write, without a second pass over the data."""
     if skip_empty and df.isEmpty():
-        return False
-    (df.hint("rebalance", *PARTITION_COLUMNS)
+        return {"written": False, "rows": 0, "root": root}
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if summary_ts:
+        metrics += [F.min(summary_ts).alias("first_ts"), F.max(summary_ts).alias("last_ts")]
+    obs = Observation("bronze_landing")
+    (df.observe(obs, *metrics).hint("rebalance", *PARTITION_COLUMNS)
        .write.mode("append").partitionBy(*PARTITION_COLUMNS)
        .option("compression", "none")
        .option("timestampNTZFormat", TS_NTZ_FORMAT).option("timestampFormat", TS_FORMAT)
        .json(root))
-    return True
+    return {"written": True, "root": root, **obs.get}

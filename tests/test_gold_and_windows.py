@@ -66,13 +66,15 @@ def test_bronze_roundtrip_and_day_pruning(spark, tmp_path):
     df = spark.createDataFrame([(1, dt.datetime(2026, 4, 26, 12)), (2, dt.datetime(2026, 4, 27, 1))],
                                "id long, ts timestamp_ntz")
     stamped = bronze_sink.stamp(df, "ts", "orders")
-    bronze_sink.land_jsonl(stamped, root)
-    assert not bronze_sink.land_jsonl(stamped.limit(0), root, skip_empty=True)
+    summary = bronze_sink.land_jsonl(stamped, root, summary_ts="ts")
+    assert summary["rows"] == 2 and summary["last_ts"] == dt.datetime(2026, 4, 27, 1)
+    assert not bronze_sink.land_jsonl(stamped.limit(0), root, skip_empty=True)["written"]
     schema = stamped.drop("year", "month", "day").schema
     day = bronze_src.read_day(spark, root, schema, "2026-04-26")
     assert [r.id for r in day.collect()] == [1]
-    assert "PartitionFilters: [isnotnull(year" in day._jdf.queryExecution().executedPlan().toString() \
-        or "PartitionFilters" in day._jdf.queryExecution().executedPlan().toString()
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    part_filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "year" in part_filters and "day" in part_filters  # pruned, not filtered after the scan
     files = bronze_src.with_file_date(bronze_src.read_jsonl(spark, root, schema))
     assert {r.partition_date for r in files.collect()} == {dt.date(2026, 4, 26), dt.date(2026, 4, 27)}
     assert {r.batch_label for r in stamped.collect()} == {"orders_20260426", "orders_20260427"}
