@@ -355,7 +355,7 @@ def pipeline_end_to_end(spark, sf_dir):
         S.cost_source(spark, sf_dir), S.tax_source(spark, sf_dir),
         scratch_path(spark, "lakehouse"), seller_id=S.SELLER_ID, exact_money=True,
         timestamp_kind=NTZ, partition_grain="month",
-        catalog_prefix=f"lucrum_{uuid.uuid4().hex[:8]}")
+        catalog_prefix=f"lucrum_{uuid.uuid4().hex[:8]}", dimension_months="check")
     return _doubles(spark.table(paths["table_gold"]).select(*gold.GOLD_COLUMNS))
 
 
