@@ -491,7 +491,11 @@ SELECT w.window_index,
 FROM windows w JOIN events e ON e.ts >= w.date_from AND e.ts < w.date_to
 GROUP BY ALL"""
 
+STREAM_WINDOW_COUNTS = with_ctes(WINDOWS) + """
+SELECT date_from AS window_start, n_rows FROM window_counts WHERE n_rows > 0"""
+
 SQL.update({
+    "stream_window_counts": STREAM_WINDOW_COUNTS,
     "gold_net_margin_sql": GOLD_NET_MARGIN,
     "backfill_land": BACKFILL_LAND,
     "month_lookup_cost": MONTH_LOOKUP_COST,

@@ -348,6 +348,22 @@ def stream_upsert(spark, sf_dir):
     return tables.read_table(spark, target, e.schema)
 
 
+def stream_window_counts(spark, sf_dir):
+    """C10/A2 streaming: 7-day event-time windows (aligned like the backfill
+    tiling) counted with a watermark, upserted per micro-batch."""
+    from .streaming import stream_window_counts as run_stream
+    e = S.events(spark, sf_dir)
+    src = scratch_path(spark, "event-files")
+    for i in range(5):
+        e.filter(F.col("event_id") % 5 == i).write.mode("append").parquet(src)
+    # Alignment needs the tiling start as a literal: one scalar, read once.
+    start = _windows(spark, sf_dir).agg(F.min("date_from")).first()[0]
+    target = scratch_path(spark, "event-window-counts")
+    run_stream(spark, src, e.schema, "ts", start, target, scratch_path(spark, "window-ckpt"),
+               max_files_per_trigger=8)
+    return spark.read.parquet(target).select("window_start", "n_rows")
+
+
 def pipeline_end_to_end(spark, sf_dir):
     """Bronze -> silver tables -> gold table, each step an upsert."""
     paths = pipeline.run_pipeline(
@@ -390,5 +406,6 @@ REGISTRY: dict[str, Query] = {
     "local_execution_date": local_execution_date,
     "run_summary": run_summary,
     "stream_upsert": stream_upsert,
+    "stream_window_counts": stream_window_counts,
     "pipeline_end_to_end": pipeline_end_to_end,
 }
