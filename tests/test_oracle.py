@@ -18,9 +18,16 @@ def con():
     return c
 
 
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                "MapInPandas", "PythonMapInArrow")
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sc, sr, _ = spark_rows(E.queries()[name](spark, SF))
+    df = E.queries()[name](spark, SF)
+    sc, sr, _ = spark_rows(df)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in PYTHON_NODES), "Python in the plan"
     sql = E.oracle_sql().get(name)
     assert sql is not None, f"{name} has no oracle"
     dc, dr, _ = duck_rows(con, sql)
