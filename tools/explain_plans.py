@@ -27,7 +27,8 @@ def tree(plan: str) -> list[str]:
     out = []
     for line in plan.splitlines():
         body = re.sub(r"^\*\(\d+\) ", "", line.lstrip(" :+-"))
-        if not body.startswith(KEEP) and "Scan " not in body[:40]:
+        op = body.split(" ", 1)[0]
+        if not any(k in op for k in KEEP) and "Scan " not in body[:40]:
             continue
         line = re.sub(r"#\d+L?", "", line)
         line = re.sub(r"\[plan_id=\d+\]", "", line)
