@@ -24,14 +24,16 @@ WINDOW_ROW_CAP = PAGE_SIZE * MAX_PAGES
 
 
 def tile(spark: SparkSession, now: Column, horizon_days: int = MONTHS_BACK * DAYS_PER_MONTH,
-         window_days: int = WINDOW_DAYS) -> DataFrame:
+         window_days: int = WINDOW_DAYS, ts_type: str = "timestamp_ntz") -> DataFrame:
     """``(window_index, date_from, date_to, execution_dt)``, one row per window.
 
     ``now`` is a scalar column (a literal or a scalar subquery); it is floored
-    to midnight. ``sequence`` includes its end, so it stops one microsecond
-    before ``now`` — otherwise a horizon of whole weeks would gain an empty
-    window."""
-    end = F.date_trunc("DAY", now)
+    to midnight. Bounds are ``ts_type``: ``timestamp_ntz`` (default) keeps UTC
+    wall-clock midnights whatever the session time zone; ``timestamp`` gives
+    session-zone midnights as instants. ``sequence`` includes its end, so it
+    stops one microsecond before ``now`` — otherwise a horizon of whole weeks
+    would gain an empty window."""
+    end = F.to_date(now).cast(ts_type)
     start = end - F.make_dt_interval(F.lit(horizon_days))
     step = F.make_dt_interval(F.lit(window_days))
     one_us = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
