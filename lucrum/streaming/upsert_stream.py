@@ -31,7 +31,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
                   checkpoint: str, keys: Sequence[str], version: str,
                   tiebreak: Sequence[str] | None = None, partition_by: Sequence[str] = (),
                   source_format: str = "parquet", max_files_per_trigger: int | None = None,
-                  timeout_s: float | None = None) -> None:
+                  timeout_s: float | None = 1800.0) -> None:
     """Process every file now in ``source_dir`` into ``table_path``."""
     reader = spark.readStream.schema(schema).format(source_format)
     if max_files_per_trigger:
@@ -41,6 +41,9 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"stream did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise q.exception()

@@ -44,7 +44,7 @@ def stream_window_counts(spark: SparkSession, source_dir: str, schema: T.StructT
                          start: dt.datetime, table_path: str, checkpoint: str,
                          window_days: int = 7, watermark: str = "1 day",
                          max_files_per_trigger: int | None = None,
-                         timeout_s: float | None = None) -> None:
+                         timeout_s: float | None = 1800.0) -> None:
     """Count rows per ``window_days`` window aligned on ``start`` into
     ``table_path`` as ``(window_start, window_end, n_rows)``."""
     reader = spark.readStream.schema(schema).format("parquet")
@@ -64,6 +64,9 @@ def stream_window_counts(spark: SparkSession, source_dir: str, schema: T.StructT
 
     q = (counts.writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"stream did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise q.exception()
