@@ -437,7 +437,7 @@ SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type
   ORDER BY ts DESC NULLS LAST, event_id ASC NULLS LAST) = 1"""
 
-PIPELINE_SHIPMENTS = """
+MEDALLION_SHIPMENTS = """
 pipe_shipments AS (
   SELECT shipment_id, CAST(cost AS DECIMAL(18,2)) AS cost FROM (
     SELECT o_orderkey - o_orderkey % 4 AS shipment_id, o_totalprice AS cost,
@@ -446,7 +446,7 @@ pipe_shipments AS (
   QUALIFY row_number() OVER (PARTITION BY shipment_id
     ORDER BY _ingested_at DESC NULLS LAST, cost ASC NULLS LAST, save ASC NULLS LAST) = 1)"""
 
-PIPELINE_GOLD = """
+MEDALLION_GOLD = """
 pipe_base AS (
   SELECT a.*,
          a.order_item_quantity * a.order_item_unit_price AS order_price,
@@ -477,9 +477,9 @@ pipe_gold AS (
           - CAST(freight_share AS DECIMAL(18,2)), 2) AS net_margin
   FROM pipe_shares)"""
 
-PIPELINE_END_TO_END = with_ctes(
+MEDALLION_END_TO_END = with_ctes(
     flat_orders_sql("DECIMAL(18,2)"), MONTHS, COST_SOURCE, LATEST_COST_CTE, TAX_SOURCE,
-    LATEST_TAX_CTE, PIPELINE_SHIPMENTS, PIPELINE_GOLD) + _gold_select("pipe_gold")
+    LATEST_TAX_CTE, MEDALLION_SHIPMENTS, MEDALLION_GOLD) + _gold_select("pipe_gold")
 
 BACKFILL_LAND = with_ctes(WINDOWS) + """
 SELECT w.window_index,
@@ -525,5 +525,5 @@ SQL.update({
     "local_execution_date": LOCAL_EXECUTION_DATE,
     "run_summary": RUN_SUMMARY,
     "stream_upsert": STREAM_UPSERT,
-    "pipeline_end_to_end": PIPELINE_END_TO_END,
+    "medallion_end_to_end": MEDALLION_END_TO_END,
 })

@@ -24,7 +24,7 @@ from .operators.combine import union_batches
 from .operators.dedup import latest_per_key
 from .operators.nested import first_with, stringify
 from .operators.paging import page
-from .plans import gold, incremental, pipeline, silver, standins as S
+from .plans import gold, incremental, medallion, silver, standins as S
 from .sinks import bronze as bronze_sink, control, tables
 from .sources import bronze as bronze_src
 
@@ -331,7 +331,7 @@ def run_summary(spark, sf_dir):
     return control.run_summary(items, "batch", "date_last_updated")
 
 
-# --- streaming and the whole pipeline ---------------------------------------------------
+# --- streaming and the end-to-end job ----------------------------------------------------
 
 def stream_upsert(spark, sf_dir):
     """C9 streaming + K8: events landed as five batches of files, streamed with
@@ -364,9 +364,9 @@ def stream_window_counts(spark, sf_dir):
     return spark.read.parquet(target).select("window_start", "n_rows")
 
 
-def pipeline_end_to_end(spark, sf_dir):
+def medallion_end_to_end(spark, sf_dir):
     """Bronze -> silver tables -> gold table, each step an upsert."""
-    paths = pipeline.run_pipeline(
+    paths = medallion.run_medallion(
         spark, S.bronze_orders(spark, sf_dir), S.bronze_shipments(spark, sf_dir),
         S.cost_source(spark, sf_dir), S.tax_source(spark, sf_dir),
         scratch_path(spark, "lakehouse"), seller_id=S.SELLER_ID, exact_money=True,
@@ -407,5 +407,5 @@ REGISTRY: dict[str, Query] = {
     "run_summary": run_summary,
     "stream_upsert": stream_upsert,
     "stream_window_counts": stream_window_counts,
-    "pipeline_end_to_end": pipeline_end_to_end,
+    "medallion_end_to_end": medallion_end_to_end,
 }
