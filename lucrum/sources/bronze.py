@@ -44,6 +44,15 @@ def read_day(spark: SparkSession, root: str, schema: T.StructType, day,
                      & (F.col("day") == F.date_format(d, "dd")))
 
 
+def read_days(spark: SparkSession, root: str, schema: T.StructType, start, end,
+              file_glob: str = JSON_FILES) -> DataFrame:
+    """Execution days ``start``..``end`` inclusive: a predicate on the
+    partition columns only, so the scan prunes every other directory."""
+    day = F.try_to_date(F.concat_ws("-", "year", "month", "day"), "yyyy-MM-dd")
+    df = read_jsonl(spark, root, schema, file_glob)
+    return df.filter(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
 def with_file_date(df: DataFrame, keep_invalid: bool = False) -> DataFrame:
     """Adds ``file_path`` and ``partition_date`` parsed from it (S7, X14);
     files under a path without a valid date are dropped (S9)."""

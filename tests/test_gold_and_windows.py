@@ -75,6 +75,11 @@ def test_bronze_roundtrip_and_day_pruning(spark, tmp_path):
     plan = day._jdf.queryExecution().executedPlan().toString()
     part_filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "year" in part_filters and "day" in part_filters  # pruned, not filtered after the scan
+    assert bronze_src.read_day(spark, root, schema, "2026-04-28").count() == 0  # empty day: no error
+    span = bronze_src.read_days(spark, root, schema, "2026-04-26", "2026-04-27")
+    assert sorted(r.id for r in span.collect()) == [1, 2]
+    plan = span._jdf.queryExecution().executedPlan().toString()
+    assert "year" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     files = bronze_src.with_file_date(bronze_src.read_jsonl(spark, root, schema))
     assert {r.partition_date for r in files.collect()} == {dt.date(2026, 4, 26), dt.date(2026, 4, 27)}
     assert {r.batch_label for r in stamped.collect()} == {"orders_20260426", "orders_20260427"}
