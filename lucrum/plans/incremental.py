@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import windows as W
+from ..sinks import bronze as bronze_sink, control
 
 FIRST_RUN_LOOKBACK_HOURS = 24
 
@@ -24,6 +25,24 @@ def updated_between(df: DataFrame, ts: str, start: Column, end: Column) -> DataF
     return df.filter((F.col(ts) >= start) & (F.col(ts) < end))
 
 
+def run_incremental(spark: SparkSession, source: DataFrame, ts: str, cursor_path: str,
+                    landing_root: str, now: Column, name: str = "data",
+                    ts_type: str = "timestamp_ntz") -> dict:
+    """One incremental run (C9): read the cursor (first run: last 24 h), land
+    the rows updated in ``[cursor, now)`` partitioned by ``now``'s date with
+    the window as lineage, then advance the cursor — after the landing, and
+    even when nothing came. A failed run leaves the cursor where it was, so
+    the next run re-reads the window; the upsert downstream absorbs repeats.
+    Returns the landing summary (rows, first/last ``ts``, window)."""
+    start, end = window_bounds(control.read_cursor(spark, cursor_path, ts_type), now)
+    batch = updated_between(source, ts, start, end)
+    stamped = bronze_sink.stamp(batch.withColumn("_run", end), "_run", name,
+                                date_from=start, date_to=end).drop("_run")
+    summary = bronze_sink.land_jsonl(stamped, landing_root, summary_ts=ts)
+    control.save_cursor(spark, cursor_path, end)
+    return summary
+
+
 def backfill_assign(rows: DataFrame, ts: str, windows: DataFrame) -> DataFrame:
     """Each row tagged with its window and that window's end, the execution
     date that decides its landing partition (C11)."""

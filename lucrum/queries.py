@@ -250,13 +250,18 @@ def window_cap_audit(spark, sf_dir):
 # --- incremental (C9, F5, K9, K10, X16) and work lists (C12) ------------------------
 
 def incremental_batch(spark, sf_dir):
-    """Events updated since the saved cursor, then advance the cursor."""
+    """Events updated since the saved cursor (a week before the run) are
+    landed, the cursor advances, and the landed batch is read back with its
+    window."""
     path = scratch_path(spark, "cursor")
     now = S.events_now(spark, sf_dir)
-    control.save_cursor(spark, path, (now - F.make_dt_interval(F.lit(7))).cast(NTZ))
-    start, end = incremental.window_bounds(control.read_cursor(spark, path, NTZ), now)
-    batch = incremental.updated_between(S.events(spark, sf_dir), "ts", start, end)
-    return batch.select("*", start.alias("batch_from"), end.alias("batch_to"))
+    start = (now - F.make_dt_interval(F.lit(7))).cast(NTZ)
+    control.save_cursor(spark, path, start)  # the previous run's end
+    root = scratch_path(spark, "bronze-events-incremental")
+    e = S.events(spark, sf_dir)
+    incremental.run_incremental(spark, e, "ts", path, root, now, name="events")
+    landed = bronze_src.read_jsonl(spark, root, e.schema)
+    return landed.select(*e.columns, start.alias("batch_from"), now.alias("batch_to"))
 
 
 def _land_pending_inputs(spark, sf_dir):

@@ -102,3 +102,22 @@ def test_page_and_union(spark):
     assert [r.id for r in page(df, ["id"], 1, 50).collect()] == list(range(50, 100))
     u = union_batches(df.filter("g = 0"), df.filter("g = 1").drop("g"))
     assert u.count() == 40 and u.filter(F.col("g").isNull()).count() == 20
+
+
+def test_run_incremental_lands_then_advances(spark, tmp_path):
+    ev = spark.createDataFrame(
+        [(1, dt.datetime(2026, 4, 25, 5)), (2, dt.datetime(2026, 4, 25, 7)),
+         (3, dt.datetime(2026, 4, 26, 8)), (4, dt.datetime(2026, 4, 27, 9))],
+        "id long, ts timestamp_ntz")
+    cursor, land = str(tmp_path / "cursor"), str(tmp_path / "land")
+    now1 = F.lit(dt.datetime(2026, 4, 26, 6)).cast("timestamp_ntz")
+    s1 = incremental.run_incremental(spark, ev, "ts", cursor, land, now1, name="ev")
+    assert s1["rows"] == 1  # first run: [now - 24 h, now) holds id 2 only
+    now2 = F.lit(dt.datetime(2026, 4, 27, 12)).cast("timestamp_ntz")
+    s2 = incremental.run_incremental(spark, ev, "ts", cursor, land, now2, name="ev")
+    assert s2["rows"] == 2 and s2["last_ts"] == dt.datetime(2026, 4, 27, 9)
+    from lucrum.sources.bronze import read_jsonl
+    landed = read_jsonl(spark, land, ev.schema)
+    assert sorted(r.id for r in landed.collect()) == [2, 3, 4]
+    assert {r.batch_label for r in read_jsonl(spark, land, spark.createDataFrame(
+        [], "batch_label string").schema).collect()} == {"ev_20260425_20260426", "ev_20260426_20260427"}
