@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lucrum.queries import REGISTRY
 from tools.oracle_check import TABLES, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")
