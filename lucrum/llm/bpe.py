@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lucrum.llm.common import widened
+
 MAX_FILE_BYTES = 64_000_000    # a vocabulary file is sent to every worker
 KEPT_PIECES = 400_000          # pieces whose ids a worker keeps
 GROUP_CHARS = 1_000_000        # characters that are encoded together
@@ -248,7 +250,7 @@ def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: st
     source = _source(docs, vocab_path)
     keep = [c for c in docs.columns if c not in (text_col, ids_col, count_col)]
     src = docs.select(*(F.col(f"`{c}`") for c in keep),
-                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
+                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _model(source)
@@ -261,8 +263,7 @@ def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: st
                     [*(part.column(i) for i in range(len(keep))), pa.array(ids, pa.binary()),
                      pa.array([len(x) // 4 for x in ids], pa.int64())], [*keep, ids_col, count_col])
 
-    out = src.select(*(F.col(f"`{c}`") for c in keep)).schema.add(ids_col, "binary").add(count_col, "long")
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(run, widened(src.drop("__text"), **{ids_col: "binary", count_col: "long"}))
 
 
 def decode(tokens: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -280,4 +281,4 @@ def decode(tokens: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: s
                 text = [None if x is None else bpe.decode(x) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], [*keep, text_col])
 
-    return src.mapInArrow(run, src.schema.add(text_col, "string"))
+    return src.mapInArrow(run, widened(src, **{text_col: "string"}))

@@ -11,6 +11,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lucrum.config import scratch_path
 
@@ -145,3 +146,8 @@ def split_parts(keys: np.ndarray, n_parts: int) -> tuple[np.ndarray, np.ndarray]
     cut = np.flatnonzero(np.diff(part)) + 1
     edges = np.concatenate(([0], cut, [len(keys)])) if len(keys) else np.zeros(1, np.int64)
     return part[edges[:-1]].astype(np.int64), edges
+
+
+def widened(df: DataFrame, **kinds: str) -> T.StructType:
+    """df's schema with further columns, name=type."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k in kinds.items())])
