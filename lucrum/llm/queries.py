@@ -34,3 +34,18 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(tokens, vocabulary()).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def fifth(column: str = "doc_id"):
+    """crc32 of the id as text, modulo 5."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 5
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text, learnt from four fifths of the labels."""
+    from lucrum.llm import toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", use=fifth() != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fifth() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
