@@ -9,13 +9,13 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lucrum.config import scratch_path
 
-BLOCK_BYTES = 2_000_000       # text bytes in a block; a longer text is a block of its own
+BLOCK_BYTES = 3_000_000       # text bytes in a block; a longer text is a block of its own
 PART_KEYS = 1_000_000         # keys that one counting group holds, about
 SEED = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D    # odd, so it has an inverse modulo 2**64
@@ -73,49 +73,52 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(buf, start, end), np.searchsorted(start, at)
 
 
-def pack_blocks(docs: DataFrame, id_col: str, text_col: str, more: tuple[str, ...] = ()) -> DataFrame:
+def pack_blocks(docs: DataFrame, id_col: str, text_col: str, derive=None, derived: tuple[str, ...] = (),
+                kind: Column | None = None) -> DataFrame:
     """Texts packed into blocks of about ``BLOCK_BYTES``, written to the shared
     scratch folder and read back, so that block numbers stay as they are when
     tasks run again.
 
-    Columns: block (long), ids (list of long), sizes (bytes of each text, list
-    of int), body (compressed concatenation), and a list of long for each
-    column of ``more``. A null text is packed as empty."""
+    Columns: block (long), kind (int, of all its texts; 0 without ``kind``),
+    ids (list of long), sizes (bytes of each text, list of int), body
+    (compressed concatenation), and for each name in ``derived`` a list of long
+    that ``derive(texts)`` returns. A null text is packed as empty."""
     spark = docs.sparkSession
-    names = ["_id", "_text", *(f"_m{i}" for i in range(len(more)))]
-    src = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")),
-                      *(F.col(c).cast("long") for c in more)).toDF(*names)
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
+                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                      (F.lit(0) if kind is None else kind).cast("int").alias("kind"))
+    schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())),
+                        ("sizes", pa.list_(pa.int32())), ("body", pa.binary()),
+                        *((n, pa.list_(pa.int64())) for n in derived)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         press = zstandard.ZstdCompressor(level=1)
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal first, held, size
-            cols = list(zip(*held))
-            row = {"block": [first], "ids": [list(cols[0])], "sizes": [[len(t) for t in cols[1]]],
-                   "body": [press.compress(b"".join(cols[1]))],
-                   **{f"more{i}": [list(cols[2 + i])] for i in range(len(more))}}
-            first, held, size = first + 1, [], 0
-            return pa.RecordBatch.from_pydict(row, schema=schema)
+        held: dict[int, list] = {}      # by kind: ids, texts, bytes
+
+        def flush(k: int) -> pa.RecordBatch:
+            nonlocal number
+            ids, texts, _ = held.pop(k)
+            more = derive(texts) if derive else ()
+            number += 1
+            row = [[number - 1], [k], [ids], [[len(t) for t in texts]], [press.compress(b"".join(texts))],
+                   *([m] for m in more)]
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            rest = [batch.column(i).to_pylist() for i in range(2, batch.num_columns)]
-            for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+            for key, text, k in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 body = text.as_py().encode()
-                if held and size + len(body) > BLOCK_BYTES:
-                    yield flush()
-                held.append((key, body, *(r[i] for r in rest)))
-                size += len(body)
-        if held:
-            yield flush()
-
-    schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
-                        ("body", pa.binary()), *((f"more{i}", pa.list_(pa.int64())) for i in range(len(more)))])
-    ddl = "block long, ids array<long>, sizes array<int>, body binary" + "".join(
-        f", more{i} array<long>" for i in range(len(more)))
+                if k in held and held[k][2] + len(body) > BLOCK_BYTES:
+                    yield flush(k)
+                own = held.setdefault(k, [[], [], 0])
+                own[0].append(key)
+                own[1].append(body)
+                own[2] += len(body)
+        for k in list(held):
+            yield flush(k)
+
+    ddl = "block long, kind int, ids array<long>, sizes array<int>, body binary" + "".join(
+        f", {n} array<long>" for n in derived)
     return stored(spark, src.mapInArrow(run, ddl), "blocks", compression="none")
 
 
@@ -139,13 +142,73 @@ def parts_for(n_keys: int) -> int:
     return max(8, -(-n_keys // PART_KEYS))
 
 
-def split_parts(keys: np.ndarray, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """For sorted 64-bit keys: the parts that occur, and where each begins and
-    the last ends. A part is a range of keys."""
+def pack_keys(block: int, kind: int, keys: np.ndarray, counts: np.ndarray, n_parts: int, first: int = 0,
+              exact: bool = False) -> pa.RecordBatch:
+    """A block's distinct keys (64-bit hashes, ascending) and their counts, cut
+    into the parts ``first`` and on that count them. A part is a range of the
+    hash's upper half; the lower half names a key within its part, so about one
+    key in two thousand shares its count with another, at any input size. With
+    ``exact`` the whole hash names it."""
     part = ((keys >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
-    cut = np.flatnonzero(np.diff(part)) + 1
-    edges = np.concatenate(([0], cut, [len(keys)])) if len(keys) else np.zeros(1, np.int64)
-    return part[edges[:-1]].astype(np.int64), edges
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(keys)])) if len(keys) else np.zeros(1, int)
+    cut = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+    names = keys.astype("<u8" if exact else "<u4")     # <u4 keeps the lower half
+    counts = counts.astype("<u4")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[edges[:-1]].astype(np.int32) + np.int32(first)), pa.array([block] * len(cut), pa.int64()),
+         pa.array([kind] * len(cut), pa.int32()),
+         pa.array([names[a:b].tobytes() for a, b in cut], pa.binary()),
+         pa.array([squeeze(counts[a:b]) for a, b in cut], pa.binary())], ["part", "block", "kind", "names", "counts"])
+
+
+PACKED = "part int, block long, kind int, names binary, counts binary"
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Compressed unsigned integers in the narrowest fitting width."""
+    top = int(values.max()) if len(values) else 0
+    code = "<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8"
+    return code[-1:].encode() + zstandard.ZstdCompressor(level=1).compress(values.astype(code).tobytes())
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), "<u" + data[:1].decode()).astype(np.int64)
+
+
+def count_keys(packed: DataFrame, kinds: tuple[tuple[int, ...], ...], exact_parts: int = 0,
+               cap: int | None = None) -> DataFrame:
+    """For every packed row (block, kind, part) the totals of its keys over all
+    blocks, in the row's order: one column t0, t1, ... for each group of block
+    kinds in ``kinds``, cut off at ``cap``. The parts below ``exact_parts`` were packed with ``exact``. A further row with a null block
+    holds, for each part, how many keys have a total above 0 (d0, d1, ...) and the
+    sum of totals (s0, s1, ...).
+
+    A key reaches its part once from each block that has it, already summed
+    there, so a frequent key is no larger than the number of blocks."""
+    n = len(kinds)
+    schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), *((f"t{i}", pa.binary()) for i in range(n)),
+                        *((f"{c}{i}", pa.int64()) for i in range(n) for c in "ds")])
+
+    def total(rows: pa.Table) -> pa.Table:
+        part = rows["part"][0].as_py()
+        names = [np.frombuffer(x.as_py(), "<u8" if part < exact_parts else "<u4") for x in rows["names"]]
+        sizes = [len(x) for x in names]
+        kind = np.repeat(rows["kind"].to_numpy(), sizes)
+        counts = np.concatenate([unsqueeze(x.as_py()) for x in rows["counts"]])
+        found, at = np.unique(np.concatenate(names), return_inverse=True)
+        ends = np.cumsum(sizes)
+        out = {"block": [*rows["block"].to_pylist(), None], "kind": [*rows["kind"].to_pylist(), None], "part": [part] * (len(sizes) + 1)}
+        for i, group in enumerate(kinds):
+            sums = np.bincount(at, np.where(np.isin(kind, group), counts, 0), len(found)).astype(np.int64)
+            out[f"d{i}"] = [None] * len(sizes) + [int((sums > 0).sum())]
+            out[f"s{i}"] = [None] * len(sizes) + [int(sums.sum())]
+            own = (sums if cap is None else np.minimum(sums, cap))[at]
+            out[f"t{i}"] = [squeeze(own[e - s:e]) for s, e in zip(sizes, ends)] + [None]
+        return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema})
+
+    ddl = "block long, kind int, part int" + "".join(f", t{i} binary" for i in range(n)) + "".join(
+        f", {c}{i} long" for i in range(n) for c in "ds")
+    return packed.groupBy("part").applyInArrow(total, ddl)
 
 
 def widened(df: DataFrame, **kinds: str) -> T.StructType:

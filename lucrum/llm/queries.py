@@ -59,3 +59,21 @@ def op9_lzprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lzprint.neighbours(docs).select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share nine tenths of their 3-word runs."""
+    from lucrum.llm import jaccard
+    return jaccard.similar(table(spark, sf_dir, "documents"), words=3, percent=90).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query
+def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under the unigram base and the model."""
+    from lucrum.llm import interpolation as lm
+    part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    kind = F.when(part == 1, lm.HELD).when(part == 4, lm.TUNED).otherwise(lm.COUNTED)
+    return lm.score(table(spark, sf_dir, "documents"), kind).select(
+        "doc_id", (F.col("kind") == lm.HELD).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
