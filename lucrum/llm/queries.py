@@ -77,3 +77,10 @@ def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(part == 1, lm.HELD).when(part == 4, lm.TUNED).otherwise(lm.COUNTED)
     return lm.score(table(spark, sf_dir, "documents"), kind).select(
         "doc_id", (F.col("kind") == lm.HELD).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    from lucrum.llm import topk
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
