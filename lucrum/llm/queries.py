@@ -84,3 +84,13 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest rows of every fiftieth vector."""
     from lucrum.llm import topk
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, in the order of training."""
+    from lucrum.llm import mixing
+    return mixing.allocate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target",
+        F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"),
+        F.try_element_at("copies", F.lit(1))["position"].alias("position")).orderBy(F.col("position").asc_nulls_last(), "doc_id")
