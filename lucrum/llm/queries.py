@@ -94,3 +94,16 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target",
         F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"),
         F.try_element_at("copies", F.lit(1))["position"].alias("position")).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, places and digest of the secrets in every text."""
+    from lucrum.llm import secrets
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    listed = lambda rows: F.array_join(F.transform(
+        rows, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda *kinds: F.filter("findings", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.CERTAIN),
+        F.sha2(listed(of(*secrets.CERTAIN)), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"))
