@@ -3,3 +3,69 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+_DIGIT = "ascii(substr(md5(list || ':' || entry), {}, 1)) % 16"
+
+SQL["op5_urlfilter"] = rf"""
+WITH captured AS (
+  SELECT page_id, url, 1704067200 + (page_id * 7919) % (120 * 86400) AS fetched,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#@\s]+)', 1)), '') AS host,
+         nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]+/([^/?#\s]+)', 1), '') AS segment
+  FROM pages),
+named AS (
+  SELECT DISTINCT 'spam' AS list, host AS entry, 8 AS share FROM captured WHERE host IS NOT NULL
+  UNION SELECT DISTINCT 'adult', regexp_extract(host, '([^.]+\.[^.]+)$', 1), 6 FROM captured
+    WHERE host IS NOT NULL AND regexp_extract(host, '([^.]+\.[^.]+)$', 1) <> ''
+  UNION SELECT DISTINCT 'allow', host || '/' || segment, 5 FROM captured WHERE host IS NOT NULL AND segment IS NOT NULL),
+life AS (
+  SELECT list, entry, 1704067200 + 86400 * (2 * ({_DIGIT.format(2)})) AS born, 1 + {_DIGIT.format(3)} AS pace
+  FROM named WHERE {_DIGIT.format(1)} < share),
+active AS (
+  SELECT list, entry, born AS since, born + 86400 * 2 * pace AS until FROM life
+  UNION ALL SELECT list, entry, born + 86400 * 5 * pace, NULL FROM life),
+names AS (
+  SELECT page_id, fetched, host AS key, 1000 AS depth FROM captured WHERE host IS NOT NULL
+  UNION ALL SELECT page_id, fetched, host || '/' || segment, 1001 FROM captured WHERE host IS NOT NULL AND segment IS NOT NULL
+  UNION ALL SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), i, 99), '.'), 1001 - i
+    FROM captured, range(2, 20) r(i) WHERE i < len(string_split(host, '.'))),
+hits AS (
+  SELECT n.page_id, n.fetched, a.list, a.entry,
+         row_number() OVER (PARTITION BY n.page_id ORDER BY n.depth DESC, (a.list <> 'allow')::INT, a.list, a.entry) AS place,
+         count(*) OVER (PARTITION BY n.page_id) AS n_active
+  FROM names n JOIN active a ON n.key = a.entry AND n.fetched >= a.since AND (a.until IS NULL OR n.fetched < a.until))
+SELECT c.page_id, c.fetched, coalesce(h.list <> 'allow', false) AS blocked, h.list, h.entry, coalesce(h.n_active, 0) AS n_active
+FROM captured c LEFT JOIN hits h ON c.page_id = h.page_id AND h.place = 1
+"""
+
+_WORDY = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("'", "''")
+_KINDS = [("assign", _WORDY, 2, "length(part) >= 6", 1), ("access", "AKIA[A-Z0-9]+", 0, "length(part) >= 20", 2),
+          ("hex", "[0-9a-f]{24,}", 0, "true", 3),
+          ("key", "[A-Za-z0-9+/=_-]{40,}", 0, "length(part) = 40 AND regexp_matches(part, '[a-z]') AND regexp_matches(part, '[A-Z]')"
+           " AND regexp_matches(part, '[0-9]')", 4),
+          ("endpoint", r"https?://[A-Za-z0-9.-]+(:[0-9]+)?(/[A-Za-z0-9_./?&=%#-]*)?", 0, "true", 5)]
+_FOUND = "\nUNION ALL ".join(f"""
+  SELECT doc_id, '{kind}' AS kind, {number} AS number, stop - length(hit) AS start, stop AS "end" FROM (
+    SELECT doc_id, hit, part, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM (
+      SELECT doc_id, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS hit, unnest(parts) AS part,
+             unnest(list_slice(gaps, 1, len(hits))) AS gap FROM (
+        SELECT doc_id, regexp_extract_all(text, '{pattern}') AS hits, regexp_extract_all(text, '{pattern}', {group}) AS parts,
+               string_split_regex(text, '{pattern}') AS gaps FROM documents WHERE regexp_matches(text, '{pattern}'))))
+  WHERE {test}""" for kind, pattern, group, test, number in _KINDS)
+
+SQL["op6_secrets"] = f"""
+WITH found AS ({_FOUND}),
+reported AS (
+  SELECT * FROM found WHERE number <= 3
+  UNION ALL SELECT * FROM found w WHERE number > 3 AND EXISTS (
+    SELECT 1 FROM found p WHERE p.doc_id = w.doc_id AND w.start <= p."end" + 200 AND p.start <= w."end" + 200
+      AND (p.kind = 'access' OR (p.kind = 'assign' AND w.kind = 'endpoint')))),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, number) FILTER (number <= 3) AS base,
+         string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, number) AS spans
+  FROM reported GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN listed USING (doc_id)
+"""

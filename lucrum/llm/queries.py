@@ -107,3 +107,40 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.CERTAIN),
         F.sha2(listed(of(*secrets.CERTAIN)), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"))
+
+
+DAY = 86_400
+#: When page 0 was fetched, seconds; pages follow over 120 days.
+FETCHED = 1_704_067_200
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated list entries for the addresses that occur, by digits of a name's
+    hash: hosts and their domains that come on a list, leave it and some return,
+    and path segments that are allowed again."""
+    from lucrum.llm import urlfilter
+    name = urlfilter.host(F.col("url"))
+    digit = lambda key, i: F.ascii(F.substring(F.md5(key), i, 1)) % 16
+    segment = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]+/([^/?#\s]+)", 1)
+    hosts = pages.select(name.alias("entry")).where("entry is not null").distinct()
+    domains = hosts.select(F.regexp_extract("entry", r"([^.]+\.[^.]+)$", 1).alias("entry")).where("entry <> ''").distinct()
+    spots = pages.select(F.concat(name, F.lit("/"), segment).alias("entry")).where(
+        name.isNotNull() & (segment != "")).distinct()
+    out = None
+    for list_name, entries, share in (("spam", hosts, 8), ("adult", domains, 6), ("allow", spots, 5)):
+        key = F.concat(F.lit(list_name), F.lit(":"), F.col("entry"))
+        steps = F.array(*(F.struct((F.lit(FETCHED) + DAY * (digit(key, 2) * 2 + after * (1 + digit(key, 3)))).cast("long").alias("at"),
+                                   F.lit(after != 2).alias("added")) for after in (0, 2, 5)))
+        some = entries.where(digit(key, 1) < share).select(F.lit(list_name).alias("list"), "entry", F.explode(steps).alias("e"))
+        some = some.select("list", "entry", "e.at", "e.added")
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+@query
+def op5_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active when it was fetched."""
+    from lucrum.llm import urlfilter
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.lit(FETCHED) + F.pmod(F.col("page_id") * 7919, F.lit(120 * DAY)))
+    return urlfilter.judge(captures, list_events(pages)).select("page_id", "fetched", "blocked", "list", "entry", "n_active")
