@@ -144,3 +144,11 @@ def op5_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched", F.lit(FETCHED) + F.pmod(F.col("page_id") * 7919, F.lit(120 * DAY)))
     return urlfilter.judge(captures, list_events(pages)).select("page_id", "fetched", "blocked", "list", "entry", "n_active")
+
+
+@query
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, from its text, markup, address and host."""
+    from lucrum.llm import langid
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    return langid.identify(table(spark, sf_dir, "pages"), model)
