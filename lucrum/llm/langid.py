@@ -179,7 +179,7 @@ def identify(pages: DataFrame, model: TextModel | None, id_col: str = "page_id",
     for column, wider in (("tld", None), ("domain", "p_tld"), ("host", "p_domain")):
         rows = rows.withColumn(f"o_{column}", others(f"in_{column}")).withColumn(
             f"p_{column}", smoothed(f"o_{column}", F.col(wider) if wider else top, SMOOTH[column]))
-    logs = [F.transform("p_host", F.log), F.transform("p", lambda x: F.log(F.greatest(x, F.lit(1e-300))))]
+    logs = [F.transform("p_host", lambda x: F.log(x)), F.transform("p", lambda x: F.log(F.greatest(x, F.lit(1e-300))))]
     for column in ("declared", "code"):
         # P(declaration | language) among the other pages, next to that of any declaration
         seen = others(f"as_{column}")
@@ -188,7 +188,7 @@ def identify(pages: DataFrame, model: TextModel | None, id_col: str = "page_id",
     total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), logs)
     rows = rows.withColumn("log", total).withColumn("best", F.array_max("log"))
     names = F.array(*map(F.lit, languages))
-    first = lambda a, top: F.element_at(names, F.array_position(a, top).cast("int"))
+    first = lambda a, most: F.element_at(names, F.array_position(a, most).cast("int"))
     return rows.select(
         F.col("id").alias(id_col), first("log", F.col("best")).alias("lang"),
         (1 / size(F.transform("log", lambda x: F.exp(x - F.col("best"))))).alias("confidence"),
