@@ -45,11 +45,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set on the session only where it is unset (local tests)."""
+    Set on the session only where it is unset and the master is ``local[...]``,
+    whose executor is this process; on a cluster it must be set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lucrum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

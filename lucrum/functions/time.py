@@ -12,11 +12,12 @@ def _c(x) -> Column:
 def local_date_of(text) -> Column:
     """Calendar date written in an ISO-8601 string.
 
-    ``to_date`` on the raw text keeps the writer's local date and ignores the
+    The date cast of the raw text keeps the writer's local date and ignores the
     offset, so ``2026-04-25T23:30-04:00`` gives 2026-04-25 although the instant
     falls on 04-26 in UTC. Applied to a timestamp it gives the session-zone date.
+    Malformed text gives null.
     """
-    return F.to_date(_c(text))
+    return _c(text).try_cast("date")
 
 
 def month_start(d) -> Column:
@@ -53,21 +54,11 @@ def plus_days(ts, days) -> Column:
     return _c(ts) + F.make_dt_interval(d)
 
 
-def plus_hours(ts, hours) -> Column:
-    h = hours if isinstance(hours, Column) else F.lit(int(hours))
-    return _c(ts) + F.make_dt_interval(F.lit(0), h)
-
-
 def earliest(a, b) -> Column:
     """``min(a, b)`` of two instants."""
     return F.least(_c(a), _c(b))
 
 
-def to_zone(ts, zone: str = "America/Sao_Paulo") -> Column:
-    """Wall-clock time of a UTC instant in ``zone``."""
-    return F.from_utc_timestamp(_c(ts), zone)
-
-
 def default(x, fallback) -> Column:
     """Value or a default when absent."""
     fb = fallback if isinstance(fallback, Column) else F.lit(fallback)

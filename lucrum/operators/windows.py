@@ -74,8 +74,7 @@ def counts(rows: DataFrame, ts: str, windows: DataFrame, window_days: int = WIND
     """Rows per window, 0 for empty windows (A2)."""
     per = (assign(rows, ts, windows, window_days)
            .groupBy("window_index").agg(F.count(F.lit(1)).alias(name)))
-    # The window table is bounded by horizon / step rows.
-    return (F.broadcast(windows).join(per, "window_index", "left")
+    return (windows.join(per, "window_index", "left")
             .select(*windows.columns, F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)))
 
 

@@ -9,6 +9,8 @@ DOUBLE.
 
 from __future__ import annotations
 
+from .plans.gold import GOLD_COLUMNS
+
 LATEST_LINEITEM = """
 latest_lineitem AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -60,76 +62,90 @@ shipments AS (
   SELECT o_orderkey AS shipment_id, CAST(o_totalprice AS DECIMAL(18,2)) AS cost
   FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 20 <> 0)"""
 
-GOLD_BASE = """
-gold_base AS (
-  SELECT a.*,
-         a.order_item_quantity * a.order_item_unit_price AS order_price,
-         a.order_item_quantity * a.order_item_sale_fee AS order_sale_fee,
-         a.order_item_quantity * b.unit_cost AS product_cost,
-         c.rate AS tax_rate,
-         a.total_amount * c.rate AS tax_amount,
-         d.cost AS freight_total,
-         SUM(a.total_amount) OVER (PARTITION BY a.shipping_id) AS total_amount_shipment
-  FROM order_items a
-  LEFT JOIN product_costs b
-    ON a.order_item_item_seller_sku = b.sku
-   AND year(a.order_date) = year(b.effective_date) AND month(a.order_date) = month(b.effective_date)
-  LEFT JOIN tax_rates c
-    ON year(a.order_date) = year(c.effective_date) AND month(a.order_date) = month(c.effective_date)
-  LEFT JOIN shipments d ON a.shipping_id = d.shipment_id),
-gold_shares AS (
-  SELECT *,
-    ROUND(CAST(total_amount AS DOUBLE) / NULLIF(CAST(total_amount_shipment AS DOUBLE), 0), 4)
-      AS shipment_share,
-    ROUND(CAST(freight_total AS DOUBLE)
-          * (CAST(total_amount AS DOUBLE) / NULLIF(CAST(total_amount_shipment AS DOUBLE), 0)), 2)
-      AS freight_share
-  FROM gold_base),
-gold AS (
-  SELECT *,
-    ROUND(order_price - order_sale_fee - product_cost - tax_amount
-          - CAST(freight_share AS DECIMAL(18,2)), 2) AS net_margin
-  FROM gold_shares)"""
+GOLD_ITEMS = """
+gold_items AS (
+  SELECT o.o_orderkey AS id, o.o_orderstatus AS status, o.o_orderdate AS date_created,
+         CASE WHEN l.l_linestatus = 'F' THEN l.l_shipdate END AS date_closed,
+         l.l_shipdate AS date_last_updated, o.o_orderkey - o.o_orderkey % 2 AS pack_id,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount, l.l_shipdate AS _ingested_at,
+         CASE WHEN o.o_orderkey % 11 <> 0 THEN o.o_orderkey - o.o_orderkey % 4 END AS shipping_id,
+         o.o_custkey AS buyer_id, 'buyer_' || o.o_custkey AS buyer_nickname,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS payment_transaction_amount,
+         CASE WHEN l.l_returnflag = 'R' THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) ELSE 0 END
+           AS payment_transaction_amount_refunded,
+         CAST(l.l_linenumber AS INTEGER) AS payment_installments,
+         o.o_orderkey * 10 + l.l_linenumber AS payment_id, l.l_shipdate AS payment_date_last_modified,
+         o.o_orderdate AS payment_date_created, lower(l.l_linestatus) AS payment_method_id,
+         'card' AS payment_type, o.o_orderkey AS payment_order_id,
+         CASE l.l_returnflag WHEN 'A' THEN 'approved' WHEN 'R' THEN 'rejected' ELSE 'pending' END AS payment_status,
+         CAST(l.l_quantity AS INTEGER) AS order_item_quantity,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS order_item_unit_price,
+         CAST(l.l_discount AS DECIMAL(18,2)) AS order_item_sale_fee, l.l_linenumber AS order_item_item_id,
+         'part ' || l.l_partkey AS order_item_item_title, l.l_returnflag AS order_item_item_category_id,
+         l.l_partkey AS order_item_item_seller_sku, CAST(o.o_orderdate AS DATE) AS order_date
+  FROM orders o JOIN latest_lineitem l ON o.o_orderkey = l.l_orderkey)"""
+
+
+def margin_ctes(items: str, costs: str, taxes: str, ships: str, money: str = "DECIMAL(18,2)",
+                rate: str = "DECIMAL(6,4)") -> str:
+    """``margin``: every item with the terms of its margin, each from a
+    sub-result of its own: months of the dimensions, parcels, then terms."""
+    return f"""
+cost_months AS (
+  SELECT sku, date_trunc('month', effective_date) AS month, CAST(unit_cost AS {money}) AS unit_cost FROM {costs}),
+tax_months AS (
+  SELECT date_trunc('month', effective_date) AS month, CAST(rate AS {rate}) AS rate FROM {taxes}),
+parcel_sums AS (
+  SELECT shipping_id AS parcel, sum(total_amount) AS parcel_total, count(*) AS parcel_items FROM {items} GROUP BY ALL),
+parcels AS (
+  SELECT parcel, parcel_total, cost AS parcel_cost FROM parcel_sums LEFT JOIN {ships} ON shipment_id = parcel),
+terms AS (
+  SELECT i.*, date_trunc('month', i.order_date) AS month, parcel_total AS total_amount_shipment, parcel_cost AS freight_total,
+         CAST(i.total_amount AS DOUBLE) / nullif(CAST(parcel_total AS DOUBLE), 0) AS part
+  FROM {items} i JOIN parcels ON i.shipping_id IS NOT DISTINCT FROM parcel),
+priced AS (
+  SELECT terms.* EXCLUDE (month, part), order_item_quantity * order_item_unit_price AS order_price,
+         order_item_quantity * order_item_sale_fee AS order_sale_fee, order_item_quantity * unit_cost AS product_cost,
+         rate AS tax_rate, total_amount * rate AS tax_amount, round(part, 4) AS shipment_share,
+         round(CAST(freight_total AS DOUBLE) * part, 2) AS freight_share
+  FROM terms LEFT JOIN cost_months c ON c.month = terms.month AND sku = order_item_item_seller_sku
+  LEFT JOIN tax_months t ON t.month = terms.month),
+margin AS (
+  SELECT *, round(order_price - order_sale_fee - product_cost - tax_amount - CAST(freight_share AS {money}), 2) AS net_margin
+  FROM priced)"""
 
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-GOLD_STANDINS = with_ctes(LATEST_LINEITEM, ORDER_ITEMS, MONTHS, PRODUCT_COSTS, TAX_RATES,
-                          SHIPMENTS, GOLD_BASE)
+GOLD_STANDINS = with_ctes(LATEST_LINEITEM, GOLD_ITEMS, MONTHS, PRODUCT_COSTS, TAX_RATES, SHIPMENTS,
+                          margin_ctes("gold_items", "product_costs", "tax_rates", "shipments"))
 
-GOLD_NET_MARGIN = GOLD_STANDINS + """
-SELECT id, status, date_created, date_last_updated, CAST(total_amount AS DOUBLE) AS total_amount,
-       shipping_id, buyer_id, order_item_quantity,
-       CAST(order_item_unit_price AS DOUBLE) AS order_item_unit_price,
-       CAST(order_price AS DOUBLE) AS order_price, CAST(order_sale_fee AS DOUBLE) AS order_sale_fee,
-       order_item_item_id, order_item_item_seller_sku, order_date,
-       CAST(product_cost AS DOUBLE) AS product_cost, CAST(tax_rate AS DOUBLE) AS tax_rate,
-       CAST(tax_amount AS DOUBLE) AS tax_amount, CAST(freight_total AS DOUBLE) AS freight_total,
-       CAST(total_amount_shipment AS DOUBLE) AS total_amount_shipment,
-       shipment_share, freight_share, CAST(net_margin AS DOUBLE) AS net_margin
-FROM gold"""
+# Columns of the gold table that are money or rates.
+AMOUNTS = {"total_amount", "payment_transaction_amount", "payment_transaction_amount_refunded", "order_item_unit_price",
+           "order_price", "order_sale_fee", "product_cost", "tax_rate", "tax_amount", "freight_total",
+           "total_amount_shipment", "net_margin"}
+GOLD_SELECT = "\nSELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in AMOUNTS else c for c in GOLD_COLUMNS) + " FROM margin"
+
+GOLD_NET_MARGIN = GOLD_STANDINS + GOLD_SELECT
+
+GOLD_DOUBLE = with_ctes(LATEST_LINEITEM, GOLD_ITEMS, MONTHS, PRODUCT_COSTS, TAX_RATES, SHIPMENTS, """
+items AS (SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount,
+  CAST(order_item_unit_price AS DOUBLE) AS order_item_unit_price, CAST(order_item_sale_fee AS DOUBLE) AS order_item_sale_fee)
+  FROM gold_items),
+ships AS (SELECT shipment_id, CAST(cost AS DOUBLE) AS cost FROM shipments)""",
+                        margin_ctes("items", "product_costs", "tax_rates", "ships", "DOUBLE", "DOUBLE")) + """
+SELECT id, order_item_item_id, round(total_amount_shipment, 3) AS total_amount_shipment, round(order_price, 7) AS order_price,
+       round(product_cost, 7) AS product_cost, round(tax_amount, 7) AS tax_amount, freight_share,
+       round(order_price - order_sale_fee - product_cost - tax_amount - freight_share, 7) AS margin_terms
+FROM margin"""
 
 SQL: dict[str, str] = {
     "gold_net_margin": GOLD_NET_MARGIN,
 }
 
 
-def _gold_select(src: str = "gold") -> str:
-    return f"""
-SELECT id, status, date_created, date_last_updated, CAST(total_amount AS DOUBLE) AS total_amount,
-       shipping_id, buyer_id, order_item_quantity,
-       CAST(order_item_unit_price AS DOUBLE) AS order_item_unit_price,
-       CAST(order_price AS DOUBLE) AS order_price, CAST(order_sale_fee AS DOUBLE) AS order_sale_fee,
-       order_item_item_id, order_item_item_seller_sku, order_date,
-       CAST(product_cost AS DOUBLE) AS product_cost, CAST(tax_rate AS DOUBLE) AS tax_rate,
-       CAST(tax_amount AS DOUBLE) AS tax_amount, CAST(freight_total AS DOUBLE) AS freight_total,
-       CAST(total_amount_shipment AS DOUBLE) AS total_amount_shipment,
-       shipment_share, freight_share, CAST(net_margin AS DOUBLE) AS net_margin
-FROM {src}"""
-
-
 ITEM_COLS_DOUBLE = """id, status, date_created, date_last_updated, CAST(total_amount AS DOUBLE) AS total_amount,
   shipping_id, buyer_id, order_item_quantity,
   CAST(order_item_unit_price AS DOUBLE) AS order_item_unit_price,
@@ -153,7 +169,7 @@ FREIGHT_ALLOCATION = GOLD_STANDINS + """
 SELECT id, order_item_item_id, shipping_id, CAST(total_amount AS DOUBLE) AS total_amount,
        CAST(total_amount_shipment AS DOUBLE) AS total_amount_shipment,
        CAST(freight_total AS DOUBLE) AS freight_total, shipment_share, freight_share
-FROM gold_shares"""
+FROM priced"""
 
 LATEST_ORDER_ITEM = with_ctes(LATEST_LINEITEM) + "\nSELECT * FROM latest_lineitem"
 
@@ -218,7 +234,7 @@ def _upsert(always: bool) -> str:
         "s.id IS NULL OR NOT COALESCE(s.date_last_updated > t.date_last_updated, FALSE)"
     upd = "" if always else "WHERE s.date_last_updated > t.date_last_updated"
     return with_ctes(LATEST_LINEITEM, ORDER_ITEMS, """
-t AS (SELECT * FROM order_items WHERE id % 3 <> 0),
+t AS (SELECT * FROM order_items WHERE id % 3 <> 0 OR id % 2 <> 0),
 s AS (SELECT * REPLACE ('U' AS status,
         date_last_updated + CASE WHEN id % 7 <= 2 THEN INTERVAL (-1) DAY
                                  WHEN id % 7 = 3 THEN INTERVAL 0 DAY
@@ -236,6 +252,26 @@ merged AS (
         f"\nSELECT {ITEM_COLS_DOUBLE} FROM merged"
 
 
+_ROUTE = "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 THEN '{}' WHEN id % 5 = 2 THEN 'x y/z=%' ELSE 'n' END AS route"
+UPSERT_ODD_PARTITIONS = with_ctes(LATEST_LINEITEM, ORDER_ITEMS, f"""
+old AS (SELECT *, shipping_id IS NOT NULL AS has_parcel, {_ROUTE.format("a:b")} FROM order_items
+        WHERE id % 3 <> 0 OR id % 2 <> 0),
+new AS (SELECT * REPLACE ('U' AS status, date_last_updated + to_days(CASE WHEN id % 7 <= 2 THEN -1 WHEN id % 7 = 3 THEN 0 ELSE 1 END)
+          AS date_last_updated), shipping_id IS NOT NULL AS has_parcel, {_ROUTE.format("z")} FROM order_items WHERE id % 2 = 0),
+both_rows AS (SELECT *, 0 AS rank_ FROM old UNION ALL SELECT *, 1 FROM new)""") + """
+SELECT id, order_item_item_id, status, date_last_updated, has_parcel, route FROM both_rows
+QUALIFY row_number() OVER (PARTITION BY id, order_item_item_id ORDER BY date_last_updated DESC, rank_) = 1"""
+
+BRONZE_ONE_DAY = """
+SELECT * FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)"""
+
+INSTANTS_WITH_OFFSETS = """
+SELECT o_orderkey AS id,
+       CASE WHEN o_orderkey % 17 <> 0 THEN epoch_us(date_trunc('day', o_orderdate)) + CAST(1650 AS BIGINT) * 60000000 END AS instant_us,
+       CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderdate AS DATE) END AS local_date
+FROM orders"""
+
+
 PAYMENTS_LIST = """[
   {'id': l.l_orderkey * 10 + l.l_linenumber * 100 + 1,
    'status': CASE l.l_returnflag WHEN 'A' THEN 'approved' WHEN 'R' THEN 'rejected' ELSE 'pending' END,
@@ -277,7 +313,7 @@ def flat_orders_sql(money: str = "DOUBLE", name: str = "flat_orders") -> str:
         "shipping_id": "CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_orderkey - o.o_orderkey % 4 END",
         "buyer_id": "o.o_custkey", "buyer_nickname": "'buyer_' || CAST(o.o_custkey AS VARCHAR)",
         "seller_id": "CAST(2 AS BIGINT)", "seller_nickname": "'seller'",
-        "payment_transaction_amount": m(f"{pay}.amt"),
+        "payment_transaction_amount": m(f"{pay}.amt" if money == "DOUBLE" else f"CAST({pay}.amt AS VARCHAR)"),
         "payment_date_approved": f"CASE WHEN {pay} IS NULL THEN NULL ELSE l.l_shipdate END",
         "payment_installments": f"CAST({pay}.inst AS INTEGER)", "payment_id": f"{pay}.id",
         "payment_available_actions": f"CASE WHEN {pay} IS NULL THEN NULL ELSE '[]' END",
@@ -446,40 +482,9 @@ pipe_shipments AS (
   QUALIFY row_number() OVER (PARTITION BY shipment_id
     ORDER BY _ingested_at DESC NULLS LAST, cost ASC NULLS LAST, save ASC NULLS LAST) = 1)"""
 
-MEDALLION_GOLD = """
-pipe_base AS (
-  SELECT a.*,
-         a.order_item_quantity * a.order_item_unit_price AS order_price,
-         a.order_item_quantity * a.order_item_sale_fee AS order_sale_fee,
-         a.order_item_quantity * CAST(b.unit_cost AS DECIMAL(18,2)) AS product_cost,
-         CAST(c.rate AS DECIMAL(6,4)) AS tax_rate,
-         a.total_amount * CAST(c.rate AS DECIMAL(6,4)) AS tax_amount,
-         d.cost AS freight_total,
-         SUM(a.total_amount) OVER (PARTITION BY a.shipping_id) AS total_amount_shipment
-  FROM flat_orders a
-  LEFT JOIN latest_cost b
-    ON a.order_item_item_seller_sku = b.sku
-   AND year(a.order_date) = year(b.effective_date) AND month(a.order_date) = month(b.effective_date)
-  LEFT JOIN latest_tax c
-    ON year(a.order_date) = year(c.effective_date) AND month(a.order_date) = month(c.effective_date)
-  LEFT JOIN pipe_shipments d ON a.shipping_id = d.shipment_id),
-pipe_shares AS (
-  SELECT *,
-    ROUND(CAST(total_amount AS DOUBLE) / NULLIF(CAST(total_amount_shipment AS DOUBLE), 0), 4)
-      AS shipment_share,
-    ROUND(CAST(freight_total AS DOUBLE)
-          * (CAST(total_amount AS DOUBLE) / NULLIF(CAST(total_amount_shipment AS DOUBLE), 0)), 2)
-      AS freight_share
-  FROM pipe_base),
-pipe_gold AS (
-  SELECT *,
-    ROUND(order_price - order_sale_fee - product_cost - tax_amount
-          - CAST(freight_share AS DECIMAL(18,2)), 2) AS net_margin
-  FROM pipe_shares)"""
-
 MEDALLION_END_TO_END = with_ctes(
     flat_orders_sql("DECIMAL(18,2)"), MONTHS, COST_SOURCE, LATEST_COST_CTE, TAX_SOURCE,
-    LATEST_TAX_CTE, MEDALLION_SHIPMENTS, MEDALLION_GOLD) + _gold_select("pipe_gold")
+    LATEST_TAX_CTE, MEDALLION_SHIPMENTS, margin_ctes("flat_orders", "latest_cost", "latest_tax", "pipe_shipments")) + GOLD_SELECT
 
 BACKFILL_LAND = with_ctes(WINDOWS) + """
 SELECT w.window_index,
@@ -507,6 +512,10 @@ SQL.update({
     "latest_tax": LATEST_TAX,
     "upsert_order_items": _upsert(False),
     "upsert_always": _upsert(True),
+    "upsert_odd_partitions": UPSERT_ODD_PARTITIONS,
+    "bronze_one_day": BRONZE_ONE_DAY,
+    "instants_with_offsets": INSTANTS_WITH_OFFSETS,
+    "gold_net_margin_double": GOLD_DOUBLE,
     "first_approved_payment": FIRST_APPROVED_PAYMENT,
     "flatten_order_items": FLATTEN_ORDER_ITEMS,
     "stringify_nested": STRINGIFY_NESTED,

@@ -33,8 +33,15 @@ def run_incremental(spark: SparkSession, source: DataFrame, ts: str, cursor_path
     the window as lineage, then advance the cursor — after the landing, and
     even when nothing came. A failed run leaves the cursor where it was, so
     the next run re-reads the window; the upsert downstream absorbs repeats.
-    Returns the landing summary (rows, first/last ``ts``, window)."""
-    start, end = window_bounds(control.read_cursor(spark, cursor_path, ts_type), now)
+    Returns the landing summary (rows, first/last ``ts``, window).
+
+    ``now`` may be any expression, ``current_timestamp()`` too: it and the start
+    are evaluated once, and the run works with these two instants."""
+    bounds = window_bounds(control.read_cursor(spark, cursor_path, ts_type), now.cast(ts_type))
+    epoch = F.lit("1970-01-01").cast(ts_type)
+    fixed = spark.range(1).select(*[F.timestamp_diff("MICROSECOND", epoch, b.cast(ts_type)) for b in bounds]).first()
+    start, end = (epoch + F.make_dt_interval(F.lit(us // 86_400_000_000), F.lit(0), F.lit(0),
+                                             F.lit(f"{us % 86_400_000_000 / 1e6:.6f}").cast("decimal(18,6)")) for us in fixed)
     batch = updated_between(source, ts, start, end)
     stamped = bronze_sink.stamp(batch.withColumn("_run", end), "_run", name,
                                 date_from=start, date_to=end).drop("_run")

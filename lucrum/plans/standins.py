@@ -73,6 +73,37 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items with every column that the gold table carries through, landed
+    once as the silver table that gold reads."""
+    from ..config import scratch_path
+    o = table(spark, sf_dir, "orders")
+    li = latest_lineitem(spark, sf_dir)
+    key, flag, price = F.col("o_orderkey"), F.col("l_returnflag"), F.col("l_extendedprice").cast(MONEY)
+    items = o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(
+        key.alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("date_created"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("date_closed"),
+        F.col("l_shipdate").alias("date_last_updated"), (key - key % 2).alias("pack_id"),
+        F.col("o_totalprice").cast(MONEY).alias("total_amount"), F.col("l_shipdate").alias("_ingested_at"),
+        parcel_of("o_orderkey").alias("shipping_id"), F.col("o_custkey").alias("buyer_id"),
+        F.concat(F.lit("buyer_"), F.col("o_custkey")).alias("buyer_nickname"),
+        price.alias("payment_transaction_amount"),
+        F.when(flag == "R", price).otherwise(F.lit(0).cast(MONEY)).alias("payment_transaction_amount_refunded"),
+        F.col("l_linenumber").cast("int").alias("payment_installments"), (key * 10 + F.col("l_linenumber")).alias("payment_id"),
+        F.col("l_shipdate").alias("payment_date_last_modified"), F.col("o_orderdate").alias("payment_date_created"),
+        F.lower("l_linestatus").alias("payment_method_id"), F.lit("card").alias("payment_type"),
+        key.alias("payment_order_id"),
+        F.when(flag == "A", "approved").when(flag == "R", "rejected").otherwise("pending").alias("payment_status"),
+        F.col("l_quantity").cast("int").alias("order_item_quantity"), price.alias("order_item_unit_price"),
+        F.col("l_discount").cast(MONEY).alias("order_item_sale_fee"), F.col("l_linenumber").alias("order_item_item_id"),
+        F.concat(F.lit("part "), F.col("l_partkey")).alias("order_item_item_title"),
+        flag.alias("order_item_item_category_id"), F.col("l_partkey").alias("order_item_item_seller_sku"),
+        F.col("o_orderdate").cast("date").alias("order_date"))
+    path = scratch_path(spark, "silver-items")
+    items.write.parquet(path)
+    return spark.read.schema(items.schema).parquet(path)
+
+
 def order_months(spark: SparkSession, sf_dir: str) -> F.Column:
     """``array<date>`` of every month from the first to the last order month.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .config import scratch_path
-from .functions.time import month_start
+from .functions.time import local_date_of, month_start, parse_instant
 from .operators import windows as W
 from .operators.combine import union_batches
 from .operators.dedup import latest_per_key
@@ -43,14 +43,14 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 def gold_net_margin(spark, sf_dir):
     """C8 flagship: net margin of every order item."""
-    return gold.gold_orders(S.order_items(spark, sf_dir), S.product_costs(spark, sf_dir),
+    return gold.gold_orders(S.gold_items(spark, sf_dir), S.product_costs(spark, sf_dir),
                             S.tax_rates(spark, sf_dir), S.shipments(spark, sf_dir))
 
 
 def gold_net_margin_sql(spark, sf_dir):
     """C8 through the SQL entry point (staging views + Spark SQL)."""
     from .plans.gold_sql import gold_via_sql
-    g = gold_via_sql(spark, S.order_items(spark, sf_dir), S.product_costs(spark, sf_dir),
+    g = gold_via_sql(spark, S.gold_items(spark, sf_dir), S.product_costs(spark, sf_dir),
                      S.tax_rates(spark, sf_dir), S.shipments(spark, sf_dir))
     return _doubles(g.select(*gold.GOLD_COLUMNS))
 
@@ -72,7 +72,7 @@ def month_lookup_tax(spark, sf_dir):
 def freight_allocation(spark, sf_dir):
     """Each item's share of its parcel's freight (null parcel = one group)."""
     from .operators.allocate import allocate
-    f = allocate(S.order_items(spark, sf_dir), "shipping_id", "total_amount",
+    f = allocate(S.gold_items(spark, sf_dir), "shipping_id", "total_amount",
                  S.shipments(spark, sf_dir), "shipment_id", "cost")
     return _doubles(f.select("id", "order_item_item_id", "shipping_id", "total_amount",
                              "total_amount_shipment", "freight_total", "shipment_share",
@@ -137,7 +137,7 @@ def seller_freight(spark, sf_dir):
 
 def _upsert_inputs(spark, sf_dir):
     items = S.order_items(spark, sf_dir)
-    target = items.filter(F.col("id") % 3 != 0)
+    target = items.filter((F.col("id") % 3 != 0) | (F.col("id") % 2 != 0))
     r = F.col("id") % 7
     shift = F.when(r <= 2, -1).when(r == 3, 0).otherwise(1)
     source = (items.filter(F.col("id") % 2 == 0)
@@ -164,6 +164,23 @@ def upsert_order_items(spark, sf_dir):
     return _upsert_query(spark, sf_dir, "newer")
 
 
+def upsert_odd_partitions(spark, sf_dir):
+    """K8 over a boolean and a text partition column with nulls and characters
+    that folder names escape; newer rows move to another partition."""
+    target, source = _upsert_inputs(spark, sf_dir)
+    route = F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 5 == 1, "a:b").when(
+        F.col("id") % 5 == 2, "x y/z=%").otherwise("n")
+    parcel = F.col("shipping_id").isNotNull().alias("has_parcel")
+    cols = ["id", "order_item_item_id", "status", "date_last_updated"]
+    target = target.select(*cols, parcel, route.alias("route"))
+    source = source.select(*cols, parcel, F.when(F.col("id") % 5 == 1, "z").otherwise(route).alias("route"))
+    path = scratch_path(spark, "upsert-odd-partitions")
+    parts = ["has_parcel", "route"]
+    tables.upsert_table(spark, path, target, cols[:2], cols[3], parts)
+    tables.upsert_table(spark, path, source, cols[:2], cols[3], parts)
+    return tables.read_table(spark, path, target.schema)
+
+
 def upsert_always(spark, sf_dir):
     """K8 with ``on_match='always'``: every matched row takes the source."""
     return _upsert_query(spark, sf_dir, "always")
@@ -198,6 +215,40 @@ def bronze_file_dates(spark, sf_dir):
     return df.groupBy("partition_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def bronze_one_day(spark, sf_dir):
+    """Events landed by day; an empty batch writes nothing; one day read
+    back through its partition."""
+    root = scratch_path(spark, "bronze-event-days")
+    e = S.events(spark, sf_dir)
+    stamped = bronze_sink.stamp(e, "ts", "events")
+    bronze_sink.land_jsonl(stamped.where("false"), root, skip_empty=True)
+    bronze_sink.land_jsonl(stamped, root, skip_empty=True)
+    day = e.agg(F.date_format(F.max("ts"), "yyyy-MM-dd")).first()[0]
+    return bronze_src.read_day(spark, root, e.schema, day).select(*e.columns)
+
+
+def instants_with_offsets(spark, sf_dir):
+    """Order dates written with an offset, as instants and as the writer's
+    local dates; text that is no timestamp gives null for both."""
+    o = S.table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 17 == 0, "n/a").otherwise(
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'"), F.lit("23:30:00.000-04:00")))
+    return o.select(F.col("o_orderkey").alias("id"), F.unix_micros(parse_instant(text)).alias("instant_us"),
+                    local_date_of(text).alias("local_date"))
+
+
+def gold_net_margin_double(spark, sf_dir):
+    """C8 with DOUBLE money, the reference's type. Amounts are rounded where no
+    tie can fall; the margin is shown by its terms, unrounded likewise."""
+    items = S.gold_items(spark, sf_dir)
+    g = gold.gold_orders(_doubles(items), _doubles(S.product_costs(spark, sf_dir)),
+                         _doubles(S.tax_rates(spark, sf_dir)), _doubles(S.shipments(spark, sf_dir)))
+    terms = F.col("order_price") - F.col("order_sale_fee") - F.col("product_cost") - F.col("tax_amount") - F.col("freight_share")
+    return g.select("id", "order_item_item_id", F.round("total_amount_shipment", 3).alias("total_amount_shipment"),
+                    *[F.round(c, 7).alias(c) for c in ("order_price", "product_cost", "tax_amount")], "freight_share",
+                    F.round(terms, 7).alias("margin_terms"))
+
+
 # --- backfill windows and audits (C10, C11, A2-A4, X10-X12) -----------------------
 
 def _windows(spark, sf_dir):
@@ -339,8 +390,8 @@ def run_summary(spark, sf_dir):
 # --- streaming and the end-to-end job ----------------------------------------------------
 
 def stream_upsert(spark, sf_dir):
-    """C9 streaming + K8: events landed as five batches of files, streamed with
-    availableNow into a table keyed (user_id, event_type)."""
+    """C9 streaming + K8: events landed as five batches of files, streamed one
+    file at a time with availableNow into a table keyed (user_id, event_type)."""
     from .streaming import stream_upsert as run_stream
     e = S.events(spark, sf_dir)
     src = scratch_path(spark, "event-batches")
@@ -349,13 +400,13 @@ def stream_upsert(spark, sf_dir):
     target = scratch_path(spark, "events-latest")
     run_stream(spark, src, e.schema, target, scratch_path(spark, "stream-ckpt"),
                ["user_id", "event_type"], "ts", tiebreak=["event_id"],
-               partition_by=["event_type"], max_files_per_trigger=8)
+               partition_by=["event_type"], max_files_per_trigger=1)
     return tables.read_table(spark, target, e.schema)
 
 
 def stream_window_counts(spark, sf_dir):
     """C10/A2 streaming: 7-day event-time windows (aligned like the backfill
-    tiling) counted with a watermark, upserted per micro-batch."""
+    tiling) counted, upserted per micro-batch; files arrive one at a time."""
     from .streaming import stream_window_counts as run_stream
     e = S.events(spark, sf_dir)
     src = scratch_path(spark, "event-files")
@@ -365,7 +416,7 @@ def stream_window_counts(spark, sf_dir):
     start = _windows(spark, sf_dir).agg(F.min("date_from")).first()[0]
     target = scratch_path(spark, "event-window-counts")
     run_stream(spark, src, e.schema, "ts", start, target, scratch_path(spark, "window-ckpt"),
-               max_files_per_trigger=8)
+               max_files_per_trigger=1)
     return spark.read.parquet(target).select("window_start", "n_rows")
 
 
@@ -392,6 +443,10 @@ REGISTRY: dict[str, Query] = {
     "latest_tax": latest_tax,
     "upsert_order_items": upsert_order_items,
     "upsert_always": upsert_always,
+    "upsert_odd_partitions": upsert_odd_partitions,
+    "bronze_one_day": bronze_one_day,
+    "instants_with_offsets": instants_with_offsets,
+    "gold_net_margin_double": gold_net_margin_double,
     "first_approved_payment": first_approved_payment,
     "flatten_order_items": flatten_order_items,
     "stringify_nested": stringify_nested,

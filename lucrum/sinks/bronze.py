@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.paths import partition_parts, window_label
+from ..operators.nested import tag
 
 PARTITION_COLUMNS = ["year", "month", "day"]
 # ISO-8601 with microseconds, so typed timestamps survive the
@@ -30,7 +31,7 @@ def stamp(df: DataFrame, execution_ts: Column | str, name: str = "data",
     t = ts if date_to is None else (F.col(date_to) if isinstance(date_to, str) else date_to)
     ing = F.date_format(ts, ingested_at_format) if ingested_at_format else ts
     parts = partition_parts(ts)
-    return df.withColumn("_ingested_at", ing).select(
+    return tag(df, "_ingested_at", ing).select(
         "*", *[c.alias(n) for n, c in parts.items()],
         window_label(name, f, t).alias("batch_label"))
 

@@ -31,8 +31,9 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
                   checkpoint: str, keys: Sequence[str], version: str,
                   tiebreak: Sequence[str] | None = None, partition_by: Sequence[str] = (),
                   source_format: str = "parquet", max_files_per_trigger: int | None = None,
-                  timeout_s: float | None = 1800.0) -> None:
-    """Process every file now in ``source_dir`` into ``table_path``."""
+                  timeout_s: float | None = None) -> None:
+    """Process every file now in ``source_dir`` into ``table_path``; with
+    ``timeout_s`` a run that takes longer is stopped and raises."""
     reader = spark.readStream.schema(schema).format(source_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -1,10 +1,13 @@
 """Streaming form of the backfill tiling (C10 + A2): event-time windows.
 
-``F.window(ts, '7 days', startTime=...)`` over a file stream, with a watermark
-bounding the state to windows that can still change. Each micro-batch emits
-its updated window counts (update mode) and upserts them, keyed by window
-start, into a table — so the table converges to the batch counts, a replayed
-batch is harmless, and nothing is collected to the driver.
+``F.window(ts, '7 days', startTime=...)`` over a file stream, without a
+watermark: files may come in any order, and a row that comes late must count.
+State is one number per window, so it is bounded by the span of the events. Each
+micro-batch emits its updated window counts (update mode) and upserts them, keyed
+by window start, into a table. A count only grows, so it is its own version: the
+table converges to the batch counts for any number of files per trigger, and a
+replay, also from a new checkpoint, changes nothing. Nothing is collected to the
+driver.
 
 ``timestamp_ntz`` event times are mapped to instants as UTC wall clock (and
 back), so window boundaries do not depend on the session time zone.
@@ -42,25 +45,24 @@ def window_start_offset(start: dt.datetime, window_days: int) -> str:
 
 def stream_window_counts(spark: SparkSession, source_dir: str, schema: T.StructType, ts: str,
                          start: dt.datetime, table_path: str, checkpoint: str,
-                         window_days: int = 7, watermark: str = "1 day",
+                         window_days: int = 7,
                          max_files_per_trigger: int | None = None,
-                         timeout_s: float | None = 1800.0) -> None:
+                         timeout_s: float | None = None) -> None:
     """Count rows per ``window_days`` window aligned on ``start`` into
     ``table_path`` as ``(window_start, window_end, n_rows)``."""
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     events = reader.load(source_dir).select(wall_to_instant(F.col(ts)).alias("_t"))
-    counts = (events.withWatermark("_t", watermark)
-              .groupBy(F.window("_t", f"{window_days} days",
+    counts = (events.groupBy(F.window("_t", f"{window_days} days",
                                 startTime=window_start_offset(start, window_days)))
               .agg(F.count(F.lit(1)).alias("n_rows")))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         out = batch.select(instant_to_wall(F.col("window.start")).alias("window_start"),
                            instant_to_wall(F.col("window.end")).alias("window_end"),
-                           "n_rows", F.lit(epoch_id).cast("bigint").alias("batch_id"))
-        upsert_table(spark, table_path, out, ["window_start"], "batch_id", on_match="newer")
+                           "n_rows")
+        upsert_table(spark, table_path, out, ["window_start"], "n_rows", on_match="newer")
 
     q = (counts.writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

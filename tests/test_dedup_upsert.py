@@ -46,15 +46,13 @@ def _tables(spark):
     return target, source
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_merge_semantics(spark, bounded):
+def test_merge_semantics(spark):
     target, source = _tables(spark)
-    out = merge(target, source, ["k"], "v", broadcast_rows=1000 if bounded else None)
+    out = merge(target, source, ["k"], "v")
     got = sorted((r.k if r.k is not None else -1, r.val) for r in out.collect())
     assert got == [(-1, "sn"), (-1, "tn"), (1, "t1"), (2, "t2"), (3, "s3"), (4, "t4"),
                    (5, "s5"), (6, "s6")]
-    always = merge(target, source, ["k"], "v", on_match="always",
-                   broadcast_rows=1000 if bounded else None)
+    always = merge(target, source, ["k"], "v", on_match="always")
     assert {r.val for r in always.collect() if r.k in (1, 2, 4)} == {"s1", "s2", "s4"}
 
 
@@ -80,3 +78,65 @@ def test_upsert_table_partitions_and_idempotence(spark, tmp_path):
     upsert_table(spark, path, source.filter(F.col("k").isNotNull()), ["k"], "v", ["part"])
     second = sorted(map(tuple, read_table(spark, path, target.schema).collect()), key=str)
     assert second == first
+
+
+def _rows(spark, path, schema):
+    return sorted(map(tuple, read_table(spark, path, schema).collect()), key=str)
+
+
+def test_upsert_keeps_rows_of_null_boolean_and_escaped_partitions(spark, tmp_path):
+    schema = "k int, v int, flag boolean, route string"
+    target = spark.createDataFrame([(1, 1, True, None), (2, 1, None, "a:b"), (3, 1, False, "c d/e"), (4, 1, True, "a:b")], schema)
+    source = spark.createDataFrame([(5, 1, True, None), (4, 2, True, "z"), (3, 2, False, "c d/e"), (6, 1, None, None)], schema)
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, target, ["k"], "v", ["flag", "route"])
+    done = upsert_table(spark, path, source, ["k"], "v", ["flag", "route"])
+    want = [(1, 1, True, None), (2, 1, None, "a:b"), (3, 2, False, "c d/e"), (4, 2, True, "z"), (5, 1, True, None), (6, 1, None, None)]
+    assert _rows(spark, path, target.schema) == sorted(want, key=str)
+    assert done["partitions_emptied"] == 1      # (true, a:b) held only the moved row
+    again = upsert_table(spark, path, source, ["k"], "v", ["flag", "route"])
+    assert again["partitions_rewritten"] == 0
+    assert _rows(spark, path, target.schema) == sorted(want, key=str)
+
+
+def test_upsert_rejects_other_columns_and_types(spark, tmp_path):
+    target = spark.createDataFrame([(1, 1, "x")], "k int, v int, extra string")
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, target, ["k"], "v")
+    with pytest.raises(ValueError, match="extra"):
+        upsert_table(spark, path, target.drop("extra").withColumn("v", F.lit(2)), ["k"], "v")
+    with pytest.raises(ValueError, match="types"):
+        upsert_table(spark, path, target.withColumn("extra", F.lit(2)), ["k"], "v")
+    assert _rows(spark, path, target.schema) == [(1, 1, "x")]
+
+
+@pytest.mark.parametrize("parts", [[], ["part"]])
+@pytest.mark.parametrize("stop", ["write", "publish"])
+def test_upsert_that_fails_midway_loses_nothing(spark, tmp_path, monkeypatch, parts, stop):
+    from lucrum.sinks import tables
+    target, source = _tables(spark)
+    target, source = target.where("k is not null"), source.where("k is not null")
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, target, ["k"], "v", parts)
+    before = _rows(spark, path, target.schema)
+    if stop == "write":
+        def fail(*a, **k):
+            raise OSError("lost")
+        monkeypatch.setattr(tables, "write_table", fail)
+    else:
+        real, calls = tables._children, []
+
+        def fail(fs, folder):       # after some files were moved
+            calls.append(folder.getName())
+            if len(calls) > 2:
+                raise OSError("lost")
+            return real(fs, folder)
+        monkeypatch.setattr(tables, "_children", fail)
+    with pytest.raises(OSError):
+        upsert_table(spark, path, source, ["k"], "v", parts)
+    monkeypatch.undo()
+    if stop == "write":
+        assert _rows(spark, path, target.schema) == before
+    upsert_table(spark, path, source, ["k"], "v", parts)
+    got = {r[0]: r[2] for r in _rows(spark, path, target.schema)}
+    assert got == {1: "t1", 2: "t2", 3: "s3", 4: "t4", 5: "s5", 6: "s6"}

@@ -121,3 +121,21 @@ def test_run_incremental_lands_then_advances(spark, tmp_path):
     assert sorted(r.id for r in landed.collect()) == [2, 3, 4]
     assert {r.batch_label for r in read_jsonl(spark, land, spark.createDataFrame(
         [], "batch_label string").schema).collect()} == {"ev_20260425_20260426", "ev_20260426_20260427"}
+
+
+def test_a_run_works_with_one_instant(spark, tmp_path):
+    """With now = current_timestamp() the saved cursor is the landed batch's end."""
+    import json
+    ev = spark.range(3).select("id", F.expr("current_timestamp() - make_dt_interval(0, cast(id as int))").cast("timestamp_ntz").alias("ts"))
+    cursor, land = str(tmp_path / "cursor"), str(tmp_path / "land")
+    incremental.run_incremental(spark, ev, "ts", cursor, land, F.current_timestamp().cast("timestamp_ntz"))
+    labels = {json.loads(line)["batch_label"] for f in (tmp_path / "land").rglob("*.json") for line in f.read_text().splitlines()}
+    end = spark.range(1).select(control.read_cursor(spark, cursor, "timestamp_ntz").alias("c")).first().c
+    stamps = {json.loads(line)["_ingested_at"] for f in (tmp_path / "land").rglob("*.json") for line in f.read_text().splitlines()}
+    assert len(labels) == 1 and stamps == {end.strftime("%Y-%m-%dT%H:%M:%S.%f")}
+
+
+def test_malformed_dates_give_null(spark):
+    from lucrum.functions.time import local_date_of
+    df = spark.createDataFrame([("2026-04-25T23:30:00-04:00",), ("nonsense",), ("",), (None,)], "t string")
+    assert [r.d and r.d.isoformat() for r in df.select(local_date_of("t").alias("d")).collect()] == ["2026-04-25", None, None, None]

@@ -95,3 +95,31 @@ def test_gold_plan_has_no_python(spark, sf_small):
     from lucrum.queries import REGISTRY
     plan = REGISTRY["gold_net_margin"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_allocation_splits_a_hot_parcel(spark):
+    """One parcel with a third of the rows, no broadcast: the join of the facts
+    is split, and hot and null groups get the same numbers as a window."""
+    from lucrum.operators.allocate import allocate, allocate_window
+    facts = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7).cast("long")).when(F.col("id") % 31 == 1, None)
+        .otherwise(F.col("id") % 40_000).alias("parcel"), (F.col("id") % 97 + 1).cast("double").alias("w"), "id",
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    costs = spark.range(0, 40_000, 2).select(F.col("id").alias("pid"), (F.col("id") % 50).cast("double").alias("cost"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = allocate(facts, "parcel", "w", costs, "pid", "cost")
+        got = {r.id: (r.parcel, r.total_amount_shipment, r.freight_total, r.shipment_share, r.freight_share) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    want = allocate_window(facts, "parcel", "w", costs, "pid", "cost")
+    assert got == {r.id: (r.parcel, r.total_amount_shipment, r.freight_total, r.shipment_share, r.freight_share)
+                   for r in want.collect()}

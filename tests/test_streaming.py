@@ -41,3 +41,17 @@ def test_stream_window_counts_equal_batch(spark, sf_small, tmp_path):
     got = {r.window_start: r.n_rows for r in spark.read.parquet(target).collect()}
     want = {r.date_from: r.n_rows for r in W.counts(e, "ts", windows).collect() if r.n_rows}
     assert got == want
+
+
+def test_window_counts_do_not_depend_on_files_per_trigger_or_checkpoint(spark, sf_small, tmp_path):
+    src = str(tmp_path / "src")
+    e = _land_batches(spark, sf_small, src, n=5)
+    windows = W.tile(spark, S.events_now(spark, sf_small))
+    start = windows.agg(F.min("date_from")).first()[0]
+    want = {r.date_from: r.n_rows for r in W.counts(e, "ts", windows).collect() if r.n_rows}
+    for files in (1, 2, 8):
+        target = str(tmp_path / f"counts{files}")
+        for run in range(2 if files == 2 else 1):       # the second with a new checkpoint
+            stream_window_counts(spark, src, e.schema, "ts", start, target, str(tmp_path / f"c{files}-{run}"),
+                                 max_files_per_trigger=files)
+            assert {r.window_start: r.n_rows for r in spark.read.parquet(target).collect()} == want
