@@ -1,8 +1,8 @@
 """Toxicity: a linear classifier on character n-grams whose features are scaled
 by naive Bayes log-count ratios.
 
-A text's features are the distinct character n-grams (3, 4 and 5 bytes of the
-lower-cased UTF-8) hashed to 2**20 numbers. On labelled texts each number gets
+A text's features are the distinct character n-grams (4, 6 and 8 bytes of the
+lower-cased UTF-8) hashed to 2**21 numbers. On labelled texts each number gets
 the log ratio of its smoothed document frequencies in toxic and clean texts;
 the numbers with the strongest evidence are kept, a text is the vector of their
 ratios scaled to length 1, and a ridge logistic regression with balanced
@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from lucrum.llm.common import widened
 
-ORDERS = (3, 4, 5)
-BITS = 20
+ORDERS = (4, 6, 8)
+BITS = 21
 MAX_ROWS = 4_000          # labelled rows of the fit, at most
-KEPT = 8_000              # features of the model, at most
+KEPT = 20_000             # features of the model, at most
 LEAST_DOCS = 3            # labelled texts that a feature occurs in, at least
 RIDGE = 0.1
 STEPS = 60
+OUT_ROWS = 512
 CHUNK = 1 << 20           # bytes of a text that are hashed at a time
 
 
@@ -67,12 +68,16 @@ class Linear:
         self.slot[index] = np.arange(len(index), dtype=np.int32)
         self.weight, self.square, self.bias = weight * ratio, ratio * ratio, bias
 
-    def score(self, text: str) -> float:
+    def margin(self, found: np.ndarray) -> float:
+        """Signed distance from the feature numbers of a text."""
         hit = np.zeros(len(self.weight) + 1, bool)
-        hit[self.slot[features(text)]] = True
+        hit[self.slot[found]] = True
         hit = hit[:-1]
         size = math.sqrt(float(self.square[hit].sum())) or 1.0
-        z = float(self.weight[hit].sum()) / size + self.bias
+        return float(self.weight[hit].sum()) / size + self.bias
+
+    def score(self, text: str) -> float:
+        z = self.margin(features(text))
         return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
 
 
@@ -117,11 +122,11 @@ def train(rows: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray, np.nda
     strength = np.where(pos + neg >= LEAST_DOCS, np.abs(ratio) * np.sqrt(pos + neg), 0)
     index = np.argsort(-strength, kind="stable")[:KEPT]
     index = np.sort(index[strength[index] > 0])
-    slot = np.full(1 << BITS, -1)
+    slot = np.full(1 << BITS, -1, np.int32)
     slot[index] = np.arange(len(index))
     kept = [s[s >= 0] for s in (slot[own] for own in rows)]
     col = np.concatenate(kept) if kept else np.zeros(0, int)
-    row = np.repeat(np.arange(len(rows)), [len(k) for k in kept])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(k) for k in kept])
     value = ratio[index][col]
     size = np.sqrt(np.bincount(row, value * value, len(rows)))
     value = value / np.where(size > 0, size, 1)[row]
@@ -190,7 +195,9 @@ def score(docs: DataFrame, model: Linear | None, text_col: str = "text", score_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            got = [own.score(t.as_py() or "") if own else 0.0 for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], [*names, score_col])
+            for i in range(0, len(batch), OUT_ROWS):
+                part = batch.slice(i, OUT_ROWS)
+                got = [own.score(t.as_py() or "") if own else 0.0 for t in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.float64())], [*names, score_col])
 
     return src.mapInArrow(run, widened(src, **{score_col: "double"}))
