@@ -1,7 +1,9 @@
 """Ordered pages (O1, O3): ``ORDER BY k LIMIT size OFFSET page * size``.
 
-Planned as a top-k (``TakeOrderedAndProject`` with offset): each task keeps
-only its first ``offset + size`` rows, so no global sort of the input."""
+``page`` is planned as a top-k (``TakeOrderedAndProject`` with offset): each task
+keeps only its first ``offset + size`` rows, so no global sort of the input. What
+a task keeps grows with the page number; to go deep, or through all pages, use
+``page_after``, which keeps ``size`` rows however far it has come."""
 
 from __future__ import annotations
 
@@ -19,3 +21,16 @@ def page(df: DataFrame, order: Sequence[str], page_number: int, page_size: int =
     """Rows ``page_number * page_size`` .. ``+ page_size`` in ``order``
     (ascending; include a unique column in ``order`` for stable pages)."""
     return sort_by(df, order).offset(page_number * page_size).limit(page_size)
+
+
+def page_after(df: DataFrame, order: Sequence[str], last: Sequence, page_size: int = 50) -> DataFrame:
+    """The ``page_size`` rows that follow the one whose ``order`` columns hold
+    ``last`` (the last row of the page before; nulls first, as in ``page``)."""
+    if len(last) != len(order):
+        raise ValueError("last needs a value for each order column")
+    follows, same = F.lit(False), F.lit(True)
+    for name, value in zip(order, last):
+        later = F.col(name).isNotNull() if value is None else F.col(name) > F.lit(value)
+        follows = follows | (same & F.coalesce(later, F.lit(False)))
+        same = same & F.col(name).eqNullSafe(F.lit(value))
+    return sort_by(df.where(follows), order).limit(page_size)

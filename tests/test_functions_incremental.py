@@ -139,3 +139,13 @@ def test_malformed_dates_give_null(spark):
     from lucrum.functions.time import local_date_of
     df = spark.createDataFrame([("2026-04-25T23:30:00-04:00",), ("nonsense",), ("",), (None,)], "t string")
     assert [r.d and r.d.isoformat() for r in df.select(local_date_of("t").alias("d")).collect()] == ["2026-04-25", None, None, None]
+
+
+def test_pages_one_after_another_are_the_whole_order(spark):
+    from lucrum.operators.paging import page_after
+    df = spark.createDataFrame([(None if i % 7 == 0 else i % 5, i) for i in range(40)], "a int, b int")
+    seen, rows = [], page(df, ["a", "b"], 0, 6).collect()
+    while rows:
+        seen += map(tuple, rows)
+        rows = page_after(df, ["a", "b"], rows[-1], 6).collect()
+    assert seen == [tuple(r) for r in page(df, ["a", "b"], 0, 100).collect()]
