@@ -61,7 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     rows = docs.select("doc_id", "source", "lang", "text", _text_hash().alias("__hash"))
-    tokens = bpe.decode(bpe.encode(rows, vocabulary()), vocabulary())
+    tokens = bpe.encode(rows, vocabulary(), decoded_col="decoded")
     return tokens.select("doc_id", "source", "lang", "n_tokens", "ids", (F.xxhash64("decoded") == F.col("__hash")).alias("round_trip"))
 
 

@@ -8,8 +8,8 @@ pairs that are known, and a pair is worked out the first time it is met. Only
 pre-tokens with a failing pair are merged step by step.
 
 Texts are cut into pieces before each white space that follows a solid
-character, which never divides a pre-token; ids of pieces are kept in the
-worker in a table of bounded size, so a frequent piece is encoded once.
+character, which never divides a pre-token; ids of pieces are kept
+during a task in a table of bounded size, so a frequent piece is encoded once.
 
 Null texts count as empty and give no ids. Null ids, repeated rows and extra
 columns pass through unchanged. Texts of any length are encoded whole.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lucrum.llm.common import widened
 
 MAX_FILE_BYTES = 64_000_000    # a vocabulary file is sent to every worker
-KEPT_PIECES = 400_000          # pieces whose ids a worker keeps
+KEPT_PIECES = 300_000          # pieces whose ids a worker keeps
 GROUP_CHARS = 1_000_000        # characters that are encoded together
 OUT_ROWS = 256
 
@@ -202,6 +202,11 @@ class Bpe:
         return [b"".join([p.to_bytes(4, "little") if isinstance(p, int) else have[p] for p in own]) if i in mixed
                 else b"".join(map(have.__getitem__, own)) for i, own in enumerate(parts)]
 
+    def forget(self) -> None:
+        """Gives the kept pieces' memory back: a worker outlives its task."""
+        self.pieces.clear()
+        self.words.clear()
+
     def decode(self, ids: bytes) -> str:
         """Text of the ids; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -242,13 +247,15 @@ def _lengths(column: pa.Array) -> list[int]:
 
 
 def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: str = "ids",
-           count_col: str = "n_tokens") -> DataFrame:
+           count_col: str = "n_tokens", decoded_col: str | None = None) -> DataFrame:
     """docs with ``ids_col`` (binary, little-endian unsigned 32-bit ids) and
-    ``count_col`` (long) in place of ``text_col``. The vocabulary is a
+    ``count_col`` (long) in place of ``text_col``; with ``decoded_col`` also the
+    text that decode() makes of the ids, in the same pass. The vocabulary is a
     tokenizer file at ``vocab_path``, read once on the driver. Existing columns
-    of those two names are replaced."""
+    of these names are replaced."""
     source = _source(docs, vocab_path)
-    keep = [c for c in docs.columns if c not in (text_col, ids_col, count_col)]
+    new = {ids_col: "binary", count_col: "long", **({decoded_col: "string"} if decoded_col else {})}
+    keep = [c for c in docs.columns if c != text_col and c not in new]
     src = docs.select(*(F.col(f"`{c}`") for c in keep),
                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
 
@@ -261,9 +268,11 @@ def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: st
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(len(keep))), pa.array(ids, pa.binary()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64())], [*keep, ids_col, count_col])
+                     pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     *([pa.array(map(bpe.decode, ids), pa.string())] if decoded_col else [])], [*keep, *new])
+        bpe.forget()
 
-    return src.mapInArrow(run, widened(src.drop("__text"), **{ids_col: "binary", count_col: "long"}))
+    return src.mapInArrow(run, widened(src.drop("__text"), **new))
 
 
 def decode(tokens: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

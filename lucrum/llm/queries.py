@@ -30,8 +30,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and their text again, as digests."""
     from lucrum.llm import bpe
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, vocabulary())
-    return bpe.decode(tokens, vocabulary()).select(
+    return bpe.encode(docs, vocabulary(), decoded_col="decoded").select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
