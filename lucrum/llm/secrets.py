@@ -1,12 +1,17 @@
 """Secret scans with multipart credential linking. DataFrame functions only.
 
 Certain findings (an assigned secret, an access identifier, a long hex run) are
-reported by themselves. Weak candidates, a 40-character key-like run or an
-endpoint address, prove nothing alone: they are reported only when a
+reported by themselves. Weak candidates, a 40-character key or an endpoint
+address, prove nothing alone: they are reported only when a
 complementary part stands within ``reach`` code points, which an interval join
 on (document, stretch of text) finds. A key needs an access identifier near it;
 an endpoint needs an access identifier or an assigned secret.
 
+A key is 40 of the characters that may stand in one, ``[A-Za-z0-9+/]``, with
+none of them after it and none but "/" before it, so a name and "=", "_", "-" or
+"/" in front are not taken for a part of it; or a run of exactly 40 that has
+"=", "_" or "-" in it as well.
+
 Spans are code points, end exclusive. A pattern's places follow from the
 lengths of the stretches between its matches, so one pass of ``split`` and one
 of ``regexp_extract_all`` over a text that has a match give all spans.
@@ -26,7 +31,9 @@ from lucrum.llm.common import stored
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind: (pattern, group that is measured, its least length, its greatest length)
 CERTAIN = {"assign": (ASSIGN, 2, 6, None), "access": (r"AKIA[A-Z0-9]+", 0, 20, None), "hex": (r"[0-9a-f]{24,}", 0, 24, None)}
-WEAK = {"key": (r"[A-Za-z0-9+/=_-]{40,}", 0, 40, 40), "endpoint": (r"https?://[A-Za-z0-9.-]+(:[0-9]+)?(/[A-Za-z0-9_./?&=%#-]*)?", 0, 1, None)}
+KEY = (r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{40}(?![A-Za-z0-9+/=_-])"
+       r"|(?<![A-Za-z0-9+])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])")
+WEAK = {"key": (KEY, 0, 40, 40), "endpoint": (r"https?://[A-Za-z0-9.-]+(:[0-9]+)?(/[A-Za-z0-9_./?&=%#-]*)?", 0, 1, None)}
 NEEDS = {"key": ("access",), "endpoint": ("access", "assign")}
 KINDS = [*CERTAIN, *WEAK]
 REACH = 200
