@@ -12,7 +12,9 @@ last, so nothing grows with the number of rows that tie. Queries are not
 broadcast; a block of rows meets every block of queries in the join.
 
 Vectors that are null, or hold a null or a component that isn't finite, take no
-part, nor do those with a component of 2**21 or more once it is scaled. Vectors
+part. Products too large for a double are summed as longs, and where even those
+could overflow, modulo 2**64 beside an estimate in doubles that tells which sums
+to check with unbounded numbers; a score that is no long is an error. Vectors
 are compared with those of equal length. A row with a null id is a candidate
 (after other ids in ties) and no query. Repeated rows are rows of their own:
 only the query's own row is left out. With fewer than k candidates all are
@@ -36,13 +38,43 @@ BINS = 256
 QUERY_ROWS = 512        # queries of a block
 LEAST_ROWS, MOST_ROWS = 1_024, 32_768     # rows of a block
 SLICE = 4_096           # rows scored at a time
-TOP = 1 << 21           # below it, sums of 2**10 products are exact in a double
+LONG = 1 << 63
 NONE = np.iinfo(np.int64).min
 
 
 def quantise(values: np.ndarray) -> np.ndarray:
-    """floor(SCALE * x) of each component, as a double."""
-    return np.floor(SCALE * values.astype(np.float64))
+    """floor(SCALE * x) / SCALE of each component, exact in a double; from 2**44
+    on a double is a multiple of 1 / SCALE."""
+    v = values.astype(np.float64)
+    with np.errstate(over="ignore"):
+        return np.where(np.abs(v) < 2.0 ** 44, np.floor(SCALE * v) / SCALE, v)
+
+
+def _body(whole: np.ndarray) -> tuple[int, bytes]:
+    """The greatest size of the scaled components, cut off at a long, and their
+    bytes: scaled as ints if they fit, else as quantised."""
+    top = min(_scaled(np.abs(whole).max()), LONG - 1)
+    return top, (SCALE * whole).astype("<i4").tobytes() if top < 1 << 31 else whole.astype("<f8").tobytes()
+
+
+def _unpacked(body: bytes, dim: int, rows: int) -> np.ndarray:
+    return np.frombuffer(body, "<i4" if len(body) == 4 * dim * rows else "<f8").reshape(rows, dim)
+
+
+def _scaled(x: float) -> int:
+    return int(x * SCALE) if abs(x) < 2.0 ** 54 else int(x) * SCALE
+
+
+def _quantised(v: np.ndarray) -> np.ndarray:
+    return v / SCALE if v.dtype == np.int32 else v
+
+
+def _wrapped(whole: np.ndarray) -> np.ndarray:
+    """Quantised components scaled to longs, modulo 2**64."""
+    small = np.abs(whole) < 2.0 ** 54
+    out = (SCALE * np.where(small, whole, 0)).astype(np.int64)
+    out[~small] = [(_scaled(x) + LONG) % (2 * LONG) - LONG for x in whole[~small]]
+    return out
 
 
 def pack(vectors: DataFrame, queries: Column, id_col: str, vec_col: str, rows: int) -> DataFrame:
@@ -60,9 +92,8 @@ def pack(vectors: DataFrame, queries: Column, id_col: str, vec_col: str, rows: i
         def flush(dim: int) -> pa.RecordBatch:
             nonlocal number
             own = held.pop(dim)
-            body = np.stack([v for _, _, v in own])
-            row = [[number], [dim], [int(np.abs(body).max())], [[k for k, _, _ in own]], [[q for _, q, _ in own]],
-                   [body.astype("<i4").tobytes()]]
+            top, body = _body(np.stack([v for _, _, v in own]))
+            row = [[number], [dim], [top], [[k for k, _, _ in own]], [[q for _, q, _ in own]], [body]]
             number += len(own)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema)], schema=schema)
 
@@ -71,7 +102,7 @@ def pack(vectors: DataFrame, queries: Column, id_col: str, vec_col: str, rows: i
                 if not v.is_valid or not len(v.values) or v.values.null_count:
                     continue
                 whole = quantise(v.values.to_numpy())
-                if not np.isfinite(whole).all() or np.abs(whole).max() >= TOP:
+                if not np.isfinite(whole).all():
                     continue
                 own = held.setdefault(len(whole), [])
                 own.append((key, q, whole))
@@ -88,19 +119,44 @@ def _scores(row: dict) -> Iterator[tuple[int, np.ndarray]]:
     """For slices of a block: where it begins, and its scores with each query
     of a query block; a query's own row counts as none."""
     dim = row["dim"]
-    body = np.frombuffer(row["body"], "<i4").reshape(-1, dim)
+    body = _unpacked(row["body"], dim, len(row["ids"]))
     members = row["members"]
     own = np.array([m["uid"] for m in members]) - row["first"]
-    q = np.stack([np.frombuffer(m["vec"], "<i4") for m in members])
-    exact = dim * float(np.abs(body).max() if body.size else 0) * float(np.abs(q).max()) < 2.0 ** 53
-    q = q.astype(np.float64 if exact else np.int64).T
+    vecs = [_unpacked(m["vec"], dim, 1)[0] for m in members]
+    if all(v.dtype == np.int32 for v in (body, *vecs)):
+        q = np.stack(vecs).astype(np.int64)
+        bound = dim * int(np.abs(body.astype(np.int64)).max() if body.size else 0) * int(np.abs(q).max())
+        wide = bound >= LONG
+        q = q.astype(np.float64 if bound < 1 << 53 else np.int64).T
+    else:
+        wide = True
+    if wide:
+        whole = np.stack([_quantised(v) for v in vecs])
+        q = _wrapped(whole).T
     for lo in range(0, len(body), SLICE):
-        s = (body[lo:lo + SLICE].astype(q.dtype) @ q).astype(np.int64)
+        part = _quantised(body[lo:lo + SLICE]) if wide else body[lo:lo + SLICE]
+        s = ((_wrapped(part) if wide else part.astype(q.dtype)) @ q).astype(np.int64)
         at = np.flatnonzero((own >= lo) & (own < lo + len(s)))
+        if wide:
+            sure = _surely_long(part, whole)
+            sure[own[at] - lo, at] = True
+            for r, c in np.argwhere(~sure):
+                if abs(sum(_scaled(x) * _scaled(y) for x, y in zip(part[r], whole[c]))) >= LONG:
+                    raise ValueError("the score of two vectors exceeds a long; scale the vectors down")
         s[own[at] - lo, at] = NONE
         yield lo, s
 
 
+def _surely_long(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Whether a score, estimated in doubles with the most its error can be, is
+    certainly a long; false also where the estimate overflows."""
+    n = rows.shape[1]
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = np.abs(rows @ queries.T)
+        off = np.outer(np.abs(rows).sum(1), np.abs(queries).max(1)) * ((n + 2) * 2.0 ** -52)
+        return near + off < 2.0 ** 62 / SCALE ** 2
+
+
 def _highest(s: np.ndarray, k: int) -> np.ndarray:
     return s if len(s) <= k else np.partition(s, len(s) - k, axis=0)[-k:]
 
@@ -120,7 +176,7 @@ def search(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec_id",
         for batch in batches:
             for row in batch.to_pylist():
                 at = [i for i, q in enumerate(row["is_query"]) if q]
-                body = np.frombuffer(row["body"], "<i4").reshape(-1, row["dim"])
+                body = _unpacked(row["body"], row["dim"], len(row["ids"]))
                 for lo in range(0, len(at), QUERY_ROWS):
                     part = at[lo:lo + QUERY_ROWS]
                     yield pa.RecordBatch.from_pydict({
@@ -129,7 +185,7 @@ def search(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec_id",
 
     asked = stored(spark, blocks.mapInArrow(take_queries, "uid long, query_id long, dim int, vec binary"), "queries")
     n_blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    bound = dim * top * top
+    bound = min(dim * top * top, LONG - 1)
     levels = 1
     while BINS ** levels < 2 * bound + 1:
         levels += 1
@@ -155,7 +211,10 @@ def search(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec_id",
                     lo = np.array([m["lo"] for m in row["members"]])
                     best = np.zeros((0, len(uid)), np.int64)
                     for _, s in _scores(row):
-                        bins = np.where((s >= lo) & (s - lo < width * BINS), (s - lo) // width, -1)
+                        # the difference of two longs fits 64 bits without a sign
+                        bins = (s.astype(np.uint64) - lo.astype(np.uint64)) // np.uint64(width)
+                        bins = np.where((s >= lo) & (bins < BINS), bins, BINS).astype(np.int64)
+                        bins[bins == BINS] = -1
                         best = _highest(np.concatenate((best, _highest(bins, k))), k)
                     code, count = np.unique(np.arange(len(uid)) * BINS + best, return_counts=True)
                     real = np.isin(code, (np.arange(len(uid)) * BINS + best)[best >= 0])
@@ -170,7 +229,8 @@ def search(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec_id",
                   .groupBy("uid").agg(F.min_by(F.struct("bin", "above", "n"), "bin").alias("p"), F.first("lo").alias("lo"),
                                       F.first("need").alias("need")))
         # fewer scores than needed: the range stays open downwards, all of them are returned
-        moved = picked.select("uid", F.when(F.expr("p.above + p.n >= need"), F.expr(f"lo + p.bin * {width}"))
+        moved = picked.select("uid", F.when(F.expr("p.above + p.n >= need"),
+                                            F.expr(f"cast(lo as decimal(20)) + cast(p.bin as decimal(3)) * {width}").cast("long"))
                               .otherwise(F.lit(-bound)).cast("long").alias("lo"),
                               F.when(F.expr("p.above + p.n >= need"), F.expr("need - p.above")).otherwise(F.lit(k)).cast("int").alias("need"))
         short = state.join(picked, "uid", "left_anti").select("uid", F.lit(-bound).cast("long").alias("lo"), F.lit(k).alias("need"))

@@ -48,3 +48,24 @@ def test_fewer_candidates_than_k_and_no_rows(spark):
     assert run(spark, rows, 5) == brute(rows, 5, lambda i: i % 10 == 0)
     assert run(spark, [(0, [1.0])], 5) == []
     assert run(spark, [], 5) == []
+
+
+def test_large_components(spark):
+    r = random.Random(2)
+    rows = [(i, [r.gauss(0, 1.0) for _ in range(8)]) for i in range(200)]
+    rows += [(200 + i, [r.choice((1e4, -1e4, 1e5, 8192.0, 0.3)) for _ in range(8)]) for i in range(60)]
+    assert run(spark, rows, 5) == brute(rows, 5, lambda i: i % 10 == 0)
+    # beyond 32 bits, and sums of products beyond 64 that come to a long
+    rows = [(i, [0.0, 0.0, *v[2:7], 0.0]) for i, v in rows] + [
+        (300, [0.0, 0.0, 1e7] + [0.0] * 5), (310, [1e12, 1e12, 1.0] + [0.0] * 5), (311, [1e12, -1e12, 2.0] + [0.0] * 5), (320, [0.0] * 7 + [1e300])]
+    assert run(spark, rows, 5) == brute(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_scores_up_to_a_long_and_beyond(spark):
+    big = 2.0 ** 54 - 256                      # 2**62 - 2**16 once scaled
+    rows = [(0, [1.0 / 256, 1.0]), (1, [big, 0.0]), (2, [-big, 0.0]), (3, [big, 2.0]), (4, [0.5, -3.0]), (5, [2 * big, -1.0])]
+    assert run(spark, rows, 5) == brute(rows, 5, lambda i: i % 10 == 0)
+    with pytest.raises(Exception, match="exceeds a long"):
+        run(spark, rows + [(6, [2.0 ** 55, 0.0])], 5)
+    with pytest.raises(Exception, match="exceeds a long"):
+        run(spark, [(0, [1e200, 1.0]), (1, [1e200, 1.0])], 5)
