@@ -109,11 +109,11 @@ def score(docs: DataFrame, kind: Column, id_col: str = "doc_id", text_col: str =
             for block, k, sizes, body in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens, pairs, _ = sequence(unpack(body, sizes))
                 yield pack_keys(block, k, *np.unique(tokens, return_counts=True), word_parts, exact=True)
-                yield pack_keys(block, k, *np.unique(pairs, return_counts=True), pair_parts, first=word_parts)
+                yield pack_keys(block, k, *np.unique(pairs, return_counts=True), pair_parts, first=word_parts, exact=True)
 
     counted = stored(docs.sparkSession, count_keys(
         blocks.select("block", "kind", "sizes", "body").mapInArrow(pack, PACKED),
-        ((COUNTED,), (COUNTED, TUNED)), exact_parts=word_parts), "counts")
+        ((COUNTED,), (COUNTED, TUNED)), exact_parts=word_parts + pair_parts), "counts")
     words = counted.where(F.col("block").isNull() & (F.col("part") < word_parts)).agg(
         *(F.coalesce(F.sum(c), F.lit(0)) for c in ("s0", "d0", "s1", "d1"))).first()
     counted = counted.where("block is not null")

@@ -81,3 +81,19 @@ def test_probabilities_sum_to_one():
     cells = np.array([(3 * lm.BINS + 30) * lm.BINS + 20, (3 * lm.BINS + 0) * lm.BINS + 18, (0 * lm.BINS + 0) * lm.BINS + 25])
     weight = lm.learn_weights(cells, np.array([5.0, 4.0, 2.0]))
     assert np.allclose(weight.sum(1), 1) and weight[0, 0] == 0 and (weight >= 0).all()
+
+
+def test_bigrams_of_the_same_lower_half_are_told_apart(spark):
+    r = np.random.default_rng(5)
+    at = r.integers(0, 1000, 1_500_000)
+    _, pairs, _ = lm.sequence([" ".join(f"w{i}" for i in at).encode()])
+    keys, first = np.unique(pairs[1:-1], return_index=True)         # the pair of at[i] and at[i + 1]
+    short = ((keys >> np.uint64(61)) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))     # of eight parts, the name in it
+    order = np.argsort(short, kind="stable")
+    same = np.flatnonzero(np.diff(short[order]) == 0)
+    assert len(same)
+    rows = []
+    for n, s in enumerate(same):
+        one, two = (" ".join(f"w{i}" for i in at[first[order[s + k]]:][:2]) for k in (0, 1))
+        rows += [(10 * n, one, 0), (10 * n + 1, one, 0), (10 * n + 2, two, 0), (10 * n + 3, one, 1), (10 * n + 4, two, 2), (10 * n + 5, one, 2)]
+    check(spark, rows)
