@@ -104,3 +104,48 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id,
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
+
+SQL["op12_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM whole a JOIN whole c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (
+         PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+SQL["op13_quality"] = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM split),
+twice AS (
+  SELECT doc_id, i FROM places
+  QUALIFY count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 7)) > 1),
+again AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(0, 8) r(j) GROUP BY doc_id),
+counted AS (
+  SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(a.n, 0)::BIGINT AS n_repeat_words,
+         len(l) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_lettered,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*(- |\* |•)'))) AS n_items,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipses
+  FROM split s LEFT JOIN again a USING (doc_id)),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 100 * n_lettered < 80 * n_words
+            OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_items > 90 * n_lines
+            OR 100 * n_ellipses > 30 * n_lines) AS kept
+FROM base
+"""

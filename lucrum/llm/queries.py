@@ -151,3 +151,22 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lucrum.llm import langid
     model = langid.fit(table(spark, sf_dir, "documents"))
     return langid.identify(table(spark, sf_dir, "pages"), model)
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and the cascade's verdict of every text."""
+    from lucrum.llm import quality
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), report=counts)
+    q = F.col("quality")
+    return judged.select("doc_id", *(q[c].alias(c) for c in counts),
+                         ((q["n_words"] < 20) | (100 * q["n_repeat_words"] > 30 * q["n_words"])).alias("base_failed"), q["kept"].alias("kept"))
+
+
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, a seventh of the labels moved on."""
+    from lucrum.llm import negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
