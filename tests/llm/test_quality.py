@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lucrum.llm import quality
 
@@ -56,7 +57,7 @@ def test_statistics_and_verdicts_equal_brute_force(spark, make_docs, odd_rows):
 
 
 def test_extra_columns_pass_and_a_result_of_the_same_name_is_replaced(spark, make_docs):
-    docs = make_docs([(1, "a b"), (1, "a b")]).withColumn("quality", make_docs([(1, "")]).id * 0)
+    docs = make_docs([(1, "a b"), (1, "a b")]).withColumn("quality", F.lit(0))
     out = quality.judge(docs)
     assert set(docs.columns) == set(out.columns) and out.count() == 2
     assert {r.quality.failed for r in out.collect()} <= {"few_words", "word_length"}
