@@ -149,3 +149,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 100 * n_ellipses > 30 * n_lines) AS kept
 FROM base
 """
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(list_slice(w, i, i + size - 1), ' '))) AS phrase
+  FROM split, range(1, 5) s(size) WHERE len(w) >= size),
+freq AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL),
+words AS (SELECT lang, sum(f)::BIGINT AS n FROM freq WHERE size = 1 GROUP BY lang),
+often AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM freq WHERE f >= 30),
+inside AS (
+  SELECT DISTINCT p.lang, p.phrase FROM often p
+  JOIN (SELECT lang, a, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(list_slice(w, i, i + m - 1), ' '))) AS phrase
+        FROM often, range(2, 4) r(m) WHERE m < size) q
+  ON p.lang = q.lang AND p.phrase = q.phrase AND 100 * q.a::HUGEINT >= 80 * p.a::HUGEINT),
+cuts AS (
+  SELECT p.lang, p.phrase, p.a, k, x.f AS l, y.f AS r, (2000000 * p.a::HUGEINT // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1) p
+  JOIN freq x ON x.lang = p.lang AND x.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  JOIN freq y ON y.lang = p.lang AND y.phrase = array_to_string(list_slice(w, k + 1, p.size), ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase, a, l, r, n, score
+FROM weakest w JOIN words USING (lang) ANTI JOIN inside i ON i.lang = w.lang AND i.phrase = w.phrase
+QUALIFY rank <= 2000
+"""

@@ -170,3 +170,10 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lucrum.llm import negatives
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's strongest phrases of two to four words."""
+    from lucrum.llm import collocations
+    return collocations.mine(table(spark, sf_dir, "documents"))
