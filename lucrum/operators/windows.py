@@ -5,12 +5,16 @@ Windows are contiguous ``[from, to)`` spans of ``window_days`` starting
 assigned to a window by arithmetic on their timestamp (an equi-key), never by
 a range join, so counting is one partial aggregation plus a join against the
 window table, whose size is fixed by ``horizon_days / window_days``.
+
+:func:`split` goes on until no window reaches the source's cap, so that none is cut
+short there.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..config import scratch_path
 from ..functions.paths import partition_parts
 from ..functions.time import WINDOW_STAMP
 
@@ -89,3 +93,57 @@ def cap_audit(window_counts: DataFrame, name: str = "n_rows", cap: int = WINDOW_
     """Flags windows whose count reached the source's page cap and may have
     been cut short (A4)."""
     return window_counts.withColumn("may_be_truncated", F.col(name) >= F.lit(cap))
+
+
+EPOCH = "timestamp_ntz'1970-01-01'"
+SPLIT = 4
+
+
+def _micros(ts: str) -> Column:
+    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, cast(`{ts}` as timestamp_ntz))")
+
+
+def _instant(us: str) -> Column:
+    return F.expr(f"timestampadd(MICROSECOND, {us}, {EPOCH})")
+
+
+def split(rows: DataFrame, ts: str, windows: DataFrame, cap: int = WINDOW_ROW_CAP, parts: int = SPLIT,
+          window_days: int = WINDOW_DAYS) -> DataFrame:
+    """Windows that stay below the source's cap (A4, C10): ``(date_from, date_to,
+    n_rows, over_cap)``, contiguous over the span of ``windows`` (from :func:`tile`,
+    ``timestamp_ntz``).
+
+    A window of ``cap`` rows or more is cut into ``parts`` equal ones, these again,
+    until each is below; only one of a microsecond can't be cut, and is flagged
+    ``over_cap`` if it still reaches the cap. The rows are read once, for the count
+    of each distinct instant; a round then works on the instants and windows that
+    are left, so rounds get smaller, and there are at most log(window / 1 us) of
+    them."""
+    if cap < 1 or parts < 2:
+        raise ValueError("cap must be 1 or more, parts 2 or more")
+    spark = rows.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"split-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    left = windows.select("window_index", _micros("date_from").alias("s"), _micros("date_to").alias("e"))
+    instants = (assign(rows, ts, windows, window_days).groupBy("window_index", _micros(ts).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+                .join(left, "window_index").select("s", "e", "t", "n"))
+    left, instants, out = left.select("s", "e"), kept(instants, "instants"), []
+    while True:
+        counted = kept(left.join(instants.groupBy("s", "e").agg(F.sum("n").alias("n")), ["s", "e"], "left")
+                       .select("s", "e", F.coalesce("n", F.lit(0)).cast("long").alias("n_rows")), "windows")
+        full = (F.col("n_rows") >= cap) & (F.col("e") - F.col("s") > 1)
+        out.append(counted.where(~full))
+        cut = counted.where(full).withColumn("width", F.expr(f"(e - s + {parts - 1}) div {parts}"))
+        if cut.isEmpty():
+            break
+        left = cut.select(F.explode(F.expr("transform(sequence(s, e - 1, width), x -> named_struct('s', x, 'e', least(x + width, e)))")).alias("w")).select("w.*")
+        instants = kept(instants.join(cut, ["s", "e"]).withColumn("s", F.expr("s + (t - s) div width * width")).select(
+            "s", F.expr("least(s + width, e)").alias("e"), "t", "n"), "instants")
+    done = out[0]
+    for more in out[1:]:
+        done = done.unionByName(more)
+    return done.select(_instant("s").alias("date_from"), _instant("e").alias("date_to"), "n_rows", (F.col("n_rows") >= cap).alias("over_cap"))

@@ -141,8 +141,57 @@ SELECT id, order_item_item_id, round(total_amount_shipment, 3) AS total_amount_s
        round(order_price - order_sale_fee - product_cost - tax_amount - freight_share, 7) AS margin_terms
 FROM margin"""
 
+FREIGHT_TO_THE_CENT = with_ctes(LATEST_LINEITEM, GOLD_ITEMS, SHIPMENTS) + """,
+due AS (
+  SELECT id, order_item_item_id, shipping_id, total_amount, cast(round(cost * 100) AS HUGEINT) AS cents,
+         cast(total_amount * 100 AS HUGEINT) AS w, sum(cast(total_amount * 100 AS HUGEINT)) OVER (PARTITION BY shipping_id) AS total
+  FROM gold_items LEFT JOIN shipments ON shipment_id = shipping_id),
+shares AS (SELECT *, cents * w // total AS base, cents * w % total AS rest FROM due),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY shipping_id ORDER BY rest DESC, id, order_item_item_id) AS place,
+         cents - sum(base) OVER (PARTITION BY shipping_id) AS spare
+  FROM shares)
+SELECT id, order_item_item_id, shipping_id, cast(total_amount AS DOUBLE) AS total_amount,
+       cast(cast(base + CASE WHEN place <= spare THEN 1 ELSE 0 END AS DECIMAL(18,0)) / 100 AS DOUBLE) AS freight_share_exact
+FROM ranked"""
+
+DISTINCT_SHIPPING_IDS = """
+SELECT cast(date_trunc('month', o_orderdate) AS DATE) AS month, count(DISTINCT o_orderkey - o_orderkey % 4) AS n_shipping_ids
+FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey - o_orderkey % 4 <> 0 GROUP BY ROLLUP (month)"""
+
+PAGE_DEEP = """
+WITH numbered AS (
+  SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, count(*) OVER () AS n,
+         row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS place
+  FROM lineitem)
+SELECT * EXCLUDE (n, place) FROM numbered WHERE place // 50 = n // 100"""
+
+PAGE_NEXT = "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET 150"
+
+BRONZE_QUARANTINE = """
+WITH lines AS (
+  SELECT *, event_id % 10 AS c, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+         '{"event_id":' || event_id || ',"user_id":' || CASE WHEN event_id % 10 = 1 THEN '"u"' ELSE user_id::VARCHAR END
+           || ',"event_type":"' || event_type || '"' AS head
+  FROM events)
+SELECT CASE WHEN c IN (0, 3) THEN NULL ELSE event_id END AS event_id,
+       CASE WHEN c IN (0, 1, 3) THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN c IN (0, 1, 3) THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN c = 2 THEN user_id END AS more,
+       CASE c WHEN 0 THEN 'broken' WHEN 1 THEN 'mistyped' WHEN 3 THEN 'not_object' END AS reason,
+       CASE c WHEN 0 THEN head WHEN 1 THEN head || '}' WHEN 3 THEN '[' || event_id || ']' END AS line, year, month, day
+FROM lines
+"""
+
+
 SQL: dict[str, str] = {
     "gold_net_margin": GOLD_NET_MARGIN,
+    "freight_to_the_cent": FREIGHT_TO_THE_CENT,
+    "distinct_shipping_ids": DISTINCT_SHIPPING_IDS,
+    "page_deep": PAGE_DEEP,
+    "page_next": PAGE_NEXT,
+    "bronze_quarantine": BRONZE_QUARANTINE,
+    "gold_incremental": GOLD_NET_MARGIN,        # whatever the batches, gold is what all of them give
 }
 
 
@@ -417,6 +466,19 @@ FROM window_counts GROUP BY ROLLUP (window_index)"""
 WINDOW_CAP_AUDIT = with_ctes(WINDOWS) + """
 SELECT window_index, n_rows, n_rows >= 10000 AS may_be_truncated FROM window_counts"""
 
+WINDOW_SPLIT = "WITH RECURSIVE" + with_ctes(WINDOWS)[4:] + """,
+instants AS (SELECT epoch_us(ts) AS t FROM events),
+cut AS (
+  SELECT epoch_us(date_from) AS s, epoch_us(date_to) AS e, n_rows FROM window_counts
+  UNION ALL
+  SELECT c.s, c.e, count(t)
+  FROM (SELECT p.s + i * width AS s, least(p.s + (i + 1) * width, p.e) AS e
+        FROM (SELECT s, e, (e - s + 3) // 4 AS width FROM cut WHERE n_rows >= 50 AND e - s > 1) p, range(0, 4) r(i)
+        WHERE p.s + i * width < p.e) c
+  LEFT JOIN instants ON t >= c.s AND t < c.e GROUP BY c.s, c.e)
+SELECT make_timestamp(s) AS date_from, make_timestamp(e) AS date_to, n_rows, n_rows >= 50 AS over_cap
+FROM cut WHERE n_rows < 50 OR e - s = 1"""
+
 INCREMENTAL_BATCH = """
 WITH run AS (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS now_ FROM events)
 SELECT e.*, run.now_ - INTERVAL 7 DAY AS batch_from, run.now_ AS batch_to
@@ -522,6 +584,7 @@ SQL.update({
     "seller_freight": SELLER_FREIGHT,
     "bronze_roundtrip": BRONZE_ROUNDTRIP,
     "bronze_file_dates": BRONZE_FILE_DATES,
+    "window_split": WINDOW_SPLIT,
     "backfill_windows": BACKFILL_WINDOWS,
     "backfill_counts": BACKFILL_COUNTS,
     "backfill_rollup": BACKFILL_ROLLUP,

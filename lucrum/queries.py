@@ -23,8 +23,9 @@ from .operators import windows as W
 from .operators.combine import union_batches
 from .operators.dedup import latest_per_key
 from .operators.nested import first_with, stringify
-from .operators.paging import page
-from .plans import gold, incremental, medallion, silver, standins as S
+from .operators.paging import page, page_after
+from .plans import gold, gold_changes, incremental, medallion, silver, standins as S
+from .schemas import ORDER_KEYS, ORDER_VERSION
 from .sinks import bronze as bronze_sink, control, tables
 from .sources import bronze as bronze_src
 
@@ -79,6 +80,68 @@ def freight_allocation(spark, sf_dir):
                              "freight_share"))
 
 
+def gold_batches(spark, sf_dir):
+    """Two batches of gold's inputs whose second brings the items, freights, unit
+    costs and one tax rate that the first lacks or has wrong: of the newest ten
+    parcels, one SKU in a hundred in the first month, and the rate of the second."""
+    items = S.gold_items(spark, sf_dir).withColumn("order_month", month_start("order_date"))
+    costs, taxes = S.product_costs(spark, sf_dir), S.tax_rates(spark, sf_dir)
+    ships = S.shipments(spark, sf_dir)
+    last = items.select(F.max("shipping_id")).scalar()
+    first = costs.select(F.min("effective_date")).scalar()
+    late = F.coalesce(F.col("shipping_id") > last - 40, F.lit(False)) & (F.col("id") % 2 == 0)
+    late_ship = F.col("shipment_id") > last - 80
+    late_cost = (F.col("effective_date") == first) & (F.col("sku") % 100 == 1)
+    late_tax = F.col("effective_date") == F.add_months(first, 1)
+    at = lambda df, v: df.withColumn("v", F.lit(v))
+    wrong = lambda df, c, when: at(df.withColumn(c, F.when(when, F.col(c) * 2).otherwise(F.col(c)).cast(df.schema[c].dataType)), 1)
+    return ({"items": items.where(~late), "costs": wrong(costs, "unit_cost", late_cost), "taxes": wrong(taxes, "rate", late_tax),
+             "shipments": wrong(ships, "cost", late_ship)},
+            {"items": items.where(late), "costs": at(costs.where(late_cost), 2), "taxes": at(taxes.where(late_tax), 2),
+             "shipments": at(ships.where(late_ship), 2)})
+
+
+def build_gold(spark, batches):
+    """Gold computed whole from the first batch and refreshed after each later
+    one; the tables' names, and the summary of the last refresh."""
+    names = {n: f"lucrum_{uuid.uuid4().hex[:12]}" for n in ("items", "costs", "taxes", "shipments", "gold", "index")}
+    keys = {"items": ORDER_KEYS, "costs": ["sku", "effective_date"], "taxes": ["effective_date"], "shipments": ["shipment_id"]}
+    layout = {"items": ["order_month"], "costs": ["effective_date"]}
+    out, done = None, None
+    for n, df in batches[0].items():
+        tables.create_table(spark, names[n], df.schema, scratch_path(spark, names[n]), layout.get(n, ()))
+    gold_changes.create_index(spark, names["index"], scratch_path(spark, names["index"]), batches[0]["items"].schema["order_month"])
+    for batch in batches:
+        changes = {n: tables.upsert(spark, names[n], df, keys[n], "date_last_updated" if n == "items" else "v",
+                                    partition_can_change=False, keep_old=["shipping_id"] if n == "items" else ())["changes"]
+                   for n, df in batch.items()}
+        gold_changes.note_parcels(spark, names["index"], changes["items"], "order_month")
+        inputs = [spark.table(names[n]) for n in ("costs", "taxes", "shipments")]
+        if out is None:
+            out = gold.gold_orders(spark.table(names["items"]), *inputs, columns=[*gold.GOLD_COLUMNS, "order_month"])
+            tables.create_table(spark, names["gold"], out.schema, scratch_path(spark, names["gold"]), ["order_month"])
+            tables.upsert(spark, names["gold"], out, ORDER_KEYS, ORDER_VERSION, partition_can_change=False)
+        else:
+            done = gold_changes.refresh(spark, names["gold"], names["items"], *inputs, names["index"], changes, "order_month")
+    return names, done
+
+
+def gold_incremental(spark, sf_dir):
+    """Gold after a second batch of items, freights, costs and rates, by
+    recomputing only the rows these can reach."""
+    names, _ = build_gold(spark, gold_batches(spark, sf_dir))
+    return spark.table(names["gold"]).select(*gold.GOLD_COLUMNS)
+
+
+def freight_to_the_cent(spark, sf_dir):
+    """Every parcel's freight apportioned to its items to the cent."""
+    from .operators.allocate import allocate_cents
+    items = S.order_items(spark, sf_dir).select("id", "order_item_item_id", "shipping_id", "total_amount")
+    f = allocate_cents(items, "shipping_id", "total_amount", S.shipments(spark, sf_dir), "shipment_id", "cost",
+                       ["id", "order_item_item_id"])
+    return _doubles(f)
+
+
 # --- latest version per key (W1, F1, O2) ---------------------------------------
 
 def latest_order_item(spark, sf_dir):
@@ -147,16 +210,22 @@ def _upsert_inputs(spark, sf_dir):
     return target, source
 
 
+def _new_table(spark, schema, partition_by=()) -> str:
+    """An empty catalog table of a name of its own, files in the scratch folder."""
+    name = f"lucrum_{uuid.uuid4().hex[:12]}"
+    tables.create_table(spark, name, schema, scratch_path(spark, name), partition_by)
+    return name
+
+
 def _upsert_query(spark, sf_dir, on_match):
     # Month partitions: at test scale a day holds a handful of rows, so daily
     # directories would measure file-system overhead, not the upsert.
     target, source = (d.withColumn("order_month", month_start("order_date"))
                       for d in _upsert_inputs(spark, sf_dir))
-    path = scratch_path(spark, "upsert-order-items")
-    tables.write_table(target, path, ["order_month"])
-    tables.upsert_table(spark, path, source, ["id", "order_item_item_id"], "date_last_updated",
-                        ["order_month"], on_match=on_match)
-    return _doubles(tables.read_table(spark, path, target.schema).drop("order_month"))
+    name = _new_table(spark, target.schema, ["order_month"])
+    for batch in (target, source):
+        tables.upsert(spark, name, batch, ["id", "order_item_item_id"], "date_last_updated", on_match=on_match)
+    return _doubles(spark.table(name).drop("order_month"))
 
 
 def upsert_order_items(spark, sf_dir):
@@ -174,11 +243,10 @@ def upsert_odd_partitions(spark, sf_dir):
     cols = ["id", "order_item_item_id", "status", "date_last_updated"]
     target = target.select(*cols, parcel, route.alias("route"))
     source = source.select(*cols, parcel, F.when(F.col("id") % 5 == 1, "z").otherwise(route).alias("route"))
-    path = scratch_path(spark, "upsert-odd-partitions")
-    parts = ["has_parcel", "route"]
-    tables.upsert_table(spark, path, target, cols[:2], cols[3], parts)
-    tables.upsert_table(spark, path, source, cols[:2], cols[3], parts)
-    return tables.read_table(spark, path, target.schema)
+    name = _new_table(spark, target.schema, ["has_parcel", "route"])
+    for batch in (target, source):
+        tables.upsert(spark, name, batch, cols[:2], cols[3])
+    return spark.table(name)
 
 
 def upsert_always(spark, sf_dir):
@@ -227,6 +295,30 @@ def bronze_one_day(spark, sf_dir):
     return bronze_src.read_day(spark, root, e.schema, day).select(*e.columns)
 
 
+def bronze_quarantine(spark, sf_dir):
+    """Events landed as JSON lines of which some are cut off, some hold
+    text for a number, some are arrays and some have a field more; every line comes
+    back once, as a row or quarantined."""
+    e = S.events(spark, sf_dir)
+    root, case = scratch_path(spark, "bronze-checked"), F.col("event_id") % 10
+    head = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user_id":'),
+                    F.when(case == 1, F.lit('"u"')).otherwise(F.col("user_id").cast("string")),
+                    F.lit(',"event_type":"'), "event_type", F.lit('"'))
+    line = (F.when(case == 0, head).when(case == 2, F.concat(head, F.lit(',"more":{"n":'), F.col("user_id").cast("string"), F.lit("}}")))
+            .when(case == 3, F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit("]"))).otherwise(F.concat(head, F.lit("}"))))
+    stamped = bronze_sink.stamp(e, "ts", "events").select(line.alias("value"), "year", "month", "day")
+    stamped.hint("rebalance", "year", "month", "day").write.partitionBy("year", "month", "day").option("compression", "none").text(root)
+    good, bad = bronze_src.read_checked(spark, root, T.StructType(
+        [T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType())]),
+        file_glob="*.txt")
+    none = F.lit(None)
+    return good.select("event_id", "user_id", "event_type", F.try_variant_get("_unknown", "$.more.n", "long").alias("more"),
+                       none.cast("string").alias("reason"), none.cast("string").alias("line"), "year", "month", "day").unionByName(
+        bad.select(F.when(F.col("reason") == bronze_src.MISTYPED, F.try_variant_get("document", "$.event_id", "long")).alias("event_id"),
+                   none.cast("long").alias("user_id"), none.cast("string").alias("event_type"), none.cast("long").alias("more"),
+                   "reason", "line", "year", "month", "day"))
+
+
 def instants_with_offsets(spark, sf_dir):
     """Order dates written with an offset, as instants and as the writer's
     local dates; text that is no timestamp gives null for both."""
@@ -298,6 +390,22 @@ def window_cap_audit(spark, sf_dir):
         "window_index", "n_rows", "may_be_truncated")
 
 
+def window_split(spark, sf_dir):
+    """The 7-day windows cut on until none reaches a page of 50 rows."""
+    return W.split(S.events(spark, sf_dir), "ts", _windows(spark, sf_dir), cap=W.PAGE_SIZE)
+
+
+def distinct_shipping_ids(spark, sf_dir):
+    """A1/A3: distinct shipping ids per month of the order and in total, from
+    bitmaps kept per day."""
+    from .operators.distinct import count_distinct, daily_bitmaps
+    o = S.table(spark, sf_dir, "orders").select("o_orderdate", S.parcel_of("o_orderkey").alias("shipping_id"))
+    path = scratch_path(spark, "daily-ids")
+    daily = daily_bitmaps(o, "o_orderdate", "shipping_id")
+    daily.withColumn("month", F.trunc("day", "month")).hint("rebalance", "month").write.partitionBy("month").parquet(path)
+    return count_distinct(spark.read.schema(daily.schema).parquet(path), F.trunc("day", "month").alias("month"), "n_shipping_ids")
+
+
 # --- incremental (C9, F5, K9, K10, X16) and work lists (C12) ------------------------
 
 def incremental_batch(spark, sf_dir):
@@ -362,6 +470,22 @@ def page_of_orders(spark, sf_dir):
     return page(S.table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], 2, 50)
 
 
+def page_deep(spark, sf_dir):
+    """O3: the page of 50 in the middle of lineitem by ship date, through a page index."""
+    from .operators.paging import build_page_index, indexed_page
+    li = S.table(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    index = build_page_index(li, li.columns, scratch_path(spark, "pages"), ranges=64)
+    return indexed_page(index, index.rows // 100, 50)
+
+
+def page_next(spark, sf_dir):
+    """O3: the page of 50 orders that follows the third, by its last row."""
+    order = ["o_orderdate", "o_orderkey"]
+    o = S.table(spark, sf_dir, "orders")
+    last = page(o, order, 2, 50).select(*order).tail(1)[0]
+    return page_after(o, order, list(last), 50)
+
+
 def union_batches_query(spark, sf_dir):
     """Three batches with different columns, unioned by name."""
     e = S.events(spark, sf_dir)
@@ -397,11 +521,10 @@ def stream_upsert(spark, sf_dir):
     src = scratch_path(spark, "event-batches")
     for i in range(5):
         e.filter(F.col("event_id") % 5 == i).write.mode("append").parquet(src)
-    target = scratch_path(spark, "events-latest")
+    target = _new_table(spark, e.schema, ["event_type"])
     run_stream(spark, src, e.schema, target, scratch_path(spark, "stream-ckpt"),
-               ["user_id", "event_type"], "ts", tiebreak=["event_id"],
-               partition_by=["event_type"], max_files_per_trigger=1)
-    return tables.read_table(spark, target, e.schema)
+               ["user_id", "event_type"], "ts", tiebreak=["event_id"], max_files_per_trigger=1)
+    return spark.table(target)
 
 
 def stream_window_counts(spark, sf_dir):
@@ -414,26 +537,27 @@ def stream_window_counts(spark, sf_dir):
         e.filter(F.col("event_id") % 5 == i).write.mode("append").parquet(src)
     # Alignment needs the tiling start as a literal: one scalar, read once.
     start = _windows(spark, sf_dir).agg(F.min("date_from")).first()[0]
-    target = scratch_path(spark, "event-window-counts")
-    run_stream(spark, src, e.schema, "ts", start, target, scratch_path(spark, "window-ckpt"),
-               max_files_per_trigger=1)
-    return spark.read.parquet(target).select("window_start", "n_rows")
+    target = f"lucrum_{uuid.uuid4().hex[:12]}"
+    run_stream(spark, src, e.schema, "ts", start, target, scratch_path(spark, target),
+               scratch_path(spark, "window-ckpt"), max_files_per_trigger=1)
+    return spark.table(target).select("window_start", "n_rows")
 
 
 def medallion_end_to_end(spark, sf_dir):
     """Bronze -> silver tables -> gold table, each step an upsert."""
-    paths = medallion.run_medallion(
+    names = medallion.run_medallion(
         spark, S.bronze_orders(spark, sf_dir), S.bronze_shipments(spark, sf_dir),
         S.cost_source(spark, sf_dir), S.tax_source(spark, sf_dir),
         scratch_path(spark, "lakehouse"), seller_id=S.SELLER_ID, exact_money=True,
         timestamp_kind=NTZ, partition_grain="month",
         catalog_prefix=f"lucrum_{uuid.uuid4().hex[:8]}", dimension_months="check")
-    return _doubles(spark.table(paths["table_gold"]).select(*gold.GOLD_COLUMNS))
+    return _doubles(spark.table(names["gold"]).select(*gold.GOLD_COLUMNS))
 
 
 REGISTRY: dict[str, Query] = {
     "gold_net_margin": gold_net_margin,
     "gold_net_margin_sql": gold_net_margin_sql,
+    "gold_incremental": gold_incremental,
     "month_lookup_cost": month_lookup_cost,
     "month_lookup_tax": month_lookup_tax,
     "freight_allocation": freight_allocation,
@@ -445,6 +569,7 @@ REGISTRY: dict[str, Query] = {
     "upsert_always": upsert_always,
     "upsert_odd_partitions": upsert_odd_partitions,
     "bronze_one_day": bronze_one_day,
+    "bronze_quarantine": bronze_quarantine,
     "instants_with_offsets": instants_with_offsets,
     "gold_net_margin_double": gold_net_margin_double,
     "first_approved_payment": first_approved_payment,
@@ -462,6 +587,11 @@ REGISTRY: dict[str, Query] = {
     "pending_shipments_id": pending_shipments_id,
     "pending_shipments_partition": pending_shipments_partition,
     "page_of_orders": page_of_orders,
+    "page_deep": page_deep,
+    "page_next": page_next,
+    "window_split": window_split,
+    "distinct_shipping_ids": distinct_shipping_ids,
+    "freight_to_the_cent": freight_to_the_cent,
     "union_batches": union_batches_query,
     "local_execution_date": local_execution_date,
     "run_summary": run_summary,

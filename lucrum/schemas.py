@@ -239,6 +239,24 @@ def silver_orders_schema() -> T.StructType:
     return T.StructType(fields)
 
 
+def gold_schema() -> T.StructType:
+    """StructType of the 38-column gold table: silver's types, derived columns DOUBLE."""
+    silver = silver_orders_schema()
+    return T.StructType([*(silver[c] for c in GOLD_PASSTHROUGH), *(T.StructField(c, T.DoubleType()) for c in GOLD_DERIVED[:2]),
+                         *(silver[c] for c in GOLD_ITEM_COLUMNS), *(T.StructField(c, T.DoubleType()) for c in GOLD_DERIVED[2:])])
+
+
+def declared(schema: T.StructType, timestamp_kind: str = "timestamp", **kinds: str) -> T.StructType:
+    """The schema with timestamps as ``timestamp_kind``, and single columns with
+    other types (``unit_cost="decimal(18,2)"``)."""
+    def kind(f: T.StructField) -> T.DataType:
+        if f.name in kinds:
+            return T._parse_datatype_string(kinds[f.name])
+        return T._parse_datatype_string(timestamp_kind) if isinstance(f.dataType, T.TimestampType) else f.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f)) for f in schema.fields])
+
+
 def ddl_columns(schema: T.StructType) -> str:
     """``name type, ...`` column list for CREATE TABLE from a StructType."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -1,8 +1,12 @@
-"""Bronze reads.
+"""Bronze reads.
 
 Always with an explicit schema (inference breaks on absent fields and
 all-empty arrays). The whole bronze root is read with partition discovery, so
 a day filter becomes partition pruning instead of a hand-built path.
+
+:func:`read_jsonl` takes well-formed lines for granted: what doesn't parse becomes
+null. :func:`read_checked` accounts for every line: it is a good row or it is
+quarantined with the reason.
 """
 
 from __future__ import annotations
@@ -33,6 +37,57 @@ def read_jsonl(spark: SparkSession, root: str, schema: T.StructType,
             .option("mode", "PERMISSIVE").json(root))
 
 
+#: why a line is quarantined
+BROKEN, NOT_OBJECT, MISTYPED, UNKNOWN = "broken", "not_object", "mistyped", "unknown_fields"
+_LINE, _CORRUPT = "value", "_corrupt_record"
+
+
+def read_checked(spark: SparkSession, root: str, schema: T.StructType, file_glob: str = JSON_FILES,
+                 unknown: str = "keep") -> tuple[DataFrame, DataFrame]:
+    """All landed lines under ``root`` as two DataFrames, each line in exactly one.
+
+    The first holds the lines that parse into ``schema``: its columns, the
+    partition values, and ``_unknown``, a VARIANT object of the top-level fields
+    that ``schema`` doesn't have (null if there are none).
+
+    The second holds the others: ``reason``, ``line`` (the text as landed),
+    ``document`` (the line as a VARIANT where it is JSON at all, so that nothing a
+    repair needs is lost), ``file_path`` and the partition values. Reasons:
+
+    * ``broken``: no JSON, such as a line cut off;
+    * ``not_object``: JSON, but an array or a single value;
+    * ``mistyped``: a field, nested ones too, holds what its type can't;
+    * ``unknown_fields``: only with ``unknown="quarantine"``.
+
+    Blank lines hold no record, as for the JSON source, and count for neither. A
+    null or absent field is no error. Each DataFrame scans the files once."""
+    if unknown not in ("keep", "quarantine"):
+        raise ValueError(f"unknown must be 'keep' or 'quarantine', not {unknown!r}")
+    from ..sinks.bronze import TS_FORMAT, TS_NTZ_FORMAT
+    parts = [f.name for f in PART_FIELDS if f.name not in schema.names]
+    lines = (spark.read.schema(with_partitions(T.StructType([T.StructField(_LINE, T.StringType())])))
+             .option("basePath", root).option("pathGlobFilter", file_glob).text(root)
+             .select("*", F.col("_metadata.file_path").alias("file_path")).where(F.trim(_LINE) != ""))
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    row = F.from_json(_LINE, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
+                                    "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_NTZ_FORMAT})
+    document = F.try_parse_json(F.col(_LINE))
+    known = F.array(*[F.lit(c) for c in schema.names]) if schema.names else F.array().cast("array<string>")
+    others = F.array_except(F.json_object_keys(_LINE), known)
+    object_like = F.ltrim(_LINE).startswith("{")
+    reason = (F.when(F.col("_row").isNull() | F.col(f"_row.{_CORRUPT}").isNotNull() | ~object_like,
+                     F.when(F.col("document").isNull(), BROKEN).when(~object_like, NOT_OBJECT).otherwise(MISTYPED)))
+    if unknown == "quarantine":
+        reason = reason.when(F.size("_others") > 0, UNKNOWN)
+    read = lines.select("*", row.alias("_row"), document.alias("document"), others.alias("_others")).withColumn("reason", reason)
+    # only the unknown fields, each as it stands in the line
+    fields = F.from_json(_LINE, "map<string, variant>")
+    rest = F.when(F.size("_others") > 0, F.parse_json(F.to_json(F.map_filter(fields, lambda k, _: F.array_contains("_others", k)))))
+    good = read.where("reason is null").select(*[F.col(f"_row.`{c}`").alias(c) for c in schema.names], *parts, rest.alias("_unknown"))
+    bad = read.where("reason is not null").select("reason", F.col(_LINE).alias("line"), "document", "file_path", *parts)
+    return good, bad
+
+
 def read_day(spark: SparkSession, root: str, schema: T.StructType, day,
              file_glob: str = JSON_FILES) -> DataFrame:
     """One execution day (S2): a partition filter the scan prunes on. A day

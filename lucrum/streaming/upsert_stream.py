@@ -15,30 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
-from ..sinks.tables import upsert_table
+from ..sinks.tables import upsert
 
 
-def upsert_batch(spark: SparkSession, table_path: str, keys: Sequence[str], version: str,
-                 tiebreak: Sequence[str] | None = None, partition_by: Sequence[str] = (),
-                 on_match: str = "newer"):
+def upsert_batch(spark: SparkSession, table: str, keys: Sequence[str], version: str,
+                 tiebreak: Sequence[str] | None = None, on_match: str = "newer"):
     def run(batch: DataFrame, epoch_id: int) -> None:
         latest = latest_per_key(batch, keys, version, tiebreak)
-        upsert_table(spark, table_path, latest, keys, version, partition_by, on_match)
+        upsert(spark, table, latest, keys, version, on_match, check_unique=False)
     return run
 
 
-def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, table_path: str,
+def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, table: str,
                   checkpoint: str, keys: Sequence[str], version: str,
-                  tiebreak: Sequence[str] | None = None, partition_by: Sequence[str] = (),
+                  tiebreak: Sequence[str] | None = None,
                   source_format: str = "parquet", max_files_per_trigger: int | None = None,
                   timeout_s: float | None = None) -> None:
-    """Process every file now in ``source_dir`` into ``table_path``; with
-    ``timeout_s`` a run that takes longer is stopped and raises."""
+    """Process every file now in ``source_dir`` into ``table`` (made by
+    ``create_table``); with ``timeout_s`` a run that takes longer is stopped and raises."""
     reader = spark.readStream.schema(schema).format(source_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (reader.load(source_dir).writeStream
-         .foreachBatch(upsert_batch(spark, table_path, keys, version, tiebreak, partition_by))
+         .foreachBatch(upsert_batch(spark, table, keys, version, tiebreak))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

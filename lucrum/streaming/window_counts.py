@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..sinks.tables import upsert_table
+from ..sinks.tables import create_table, upsert
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -43,13 +43,18 @@ def window_start_offset(start: dt.datetime, window_days: int) -> str:
     return f"{seconds} seconds"
 
 
+COUNTS = T.StructType([T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+                       T.StructField("n_rows", T.LongType())])
+
+
 def stream_window_counts(spark: SparkSession, source_dir: str, schema: T.StructType, ts: str,
-                         start: dt.datetime, table_path: str, checkpoint: str,
+                         start: dt.datetime, table: str, table_root: str, checkpoint: str,
                          window_days: int = 7,
                          max_files_per_trigger: int | None = None,
                          timeout_s: float | None = None) -> None:
-    """Count rows per ``window_days`` window aligned on ``start`` into
-    ``table_path`` as ``(window_start, window_end, n_rows)``."""
+    """Count rows per ``window_days`` window aligned on ``start`` into the
+    table ``table`` under ``table_root`` as ``(window_start, window_end, n_rows)``."""
+    create_table(spark, table, COUNTS, table_root)
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -58,13 +63,13 @@ def stream_window_counts(spark: SparkSession, source_dir: str, schema: T.StructT
                                 startTime=window_start_offset(start, window_days)))
               .agg(F.count(F.lit(1)).alias("n_rows")))
 
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
+    def save(batch: DataFrame, epoch_id: int) -> None:
         out = batch.select(instant_to_wall(F.col("window.start")).alias("window_start"),
                            instant_to_wall(F.col("window.end")).alias("window_end"),
                            "n_rows")
-        upsert_table(spark, table_path, out, ["window_start"], "n_rows", on_match="newer")
+        upsert(spark, table, out, ["window_start"], "n_rows", check_unique=False)
 
-    q = (counts.writeStream.outputMode("update").foreachBatch(upsert)
+    q = (counts.writeStream.outputMode("update").foreachBatch(save)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:

@@ -1,13 +1,15 @@
 """W1 latest-per-key and K8 upsert semantics."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from lucrum.operators.dedup import latest_per_key
 from lucrum.operators.upsert import DuplicateKeyError, merge
-from lucrum.sinks.tables import read_table, upsert_table, write_table
+from lucrum.sinks import tables
+from lucrum.sinks.tables import create_table, upsert
 
 D = dt.datetime
 
@@ -64,79 +66,123 @@ def test_merge_rejects_duplicate_source_keys(spark):
         merge(target, dup, ["k"], "v")
 
 
-def test_upsert_table_partitions_and_idempotence(spark, tmp_path):
+def _new(spark, tmp_path, schema, parts=()):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    create_table(spark, name, schema, str(tmp_path / name), parts)
+    return name
+
+
+def _rows(spark, name):
+    return sorted(map(tuple, spark.table(name).collect()), key=str)
+
+
+def test_upsert_partitions_and_idempotence(spark, tmp_path):
     target, source = _tables(spark)
-    path = str(tmp_path / "t")
-    write_table(target, path, ["part"])
-    upsert_table(spark, path, source, ["k"], "v", ["part"])
-    first = sorted(map(tuple, read_table(spark, path, target.schema).collect()), key=str)
+    name = _new(spark, tmp_path, target.schema, ["part"])
+    assert _rows(spark, name) == []
+    assert upsert(spark, name, target, ["k"], "v")["created"]
+    untouched = {r.part: r._version for r in tables.current_versions(spark, name).collect()}
+    done = upsert(spark, name, source, ["k"], "v", keep_old=["val"])
+    first = _rows(spark, name)
     assert ("s6" in {r[2] for r in first}) and ("t6" not in {r[2] for r in first})
-    # partition c held only the moved row: it is gone
-    parts = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("part=")}
-    assert "part=c" not in parts and "part=d" in parts
+    # partition c held only the moved row: it is gone; a has no change and keeps its version
+    now = {r.part: r._version for r in tables.current_versions(spark, name).collect()}
+    assert set(now) == {"a", "b", "d", "e"} and now["a"] == untouched["a"] and now["b"] != untouched["b"]
+    assert done["partitions_emptied"] == 1 and done["partitions_rewritten"] == 3
+    assert {(r.val, r._old.val if r._old else None) for r in done["changes"].collect()} == {
+        ("s3", "t3"), ("s5", None), ("sn", None), ("s6", "t6")}
     # same batch again: nothing changes except the null-key insert repeats (MERGE semantics)
-    upsert_table(spark, path, source.filter(F.col("k").isNotNull()), ["k"], "v", ["part"])
-    second = sorted(map(tuple, read_table(spark, path, target.schema).collect()), key=str)
-    assert second == first
-
-
-def _rows(spark, path, schema):
-    return sorted(map(tuple, read_table(spark, path, schema).collect()), key=str)
+    again = upsert(spark, name, source.filter(F.col("k").isNotNull()), ["k"], "v")
+    assert again["partitions_rewritten"] == 0 and _rows(spark, name) == first
+    always = upsert(spark, name, source.filter("k = 1"), ["k"], "v", on_match="always")
+    assert always["partitions_rewritten"] == 1 and (1, D(2026, 1, 1), "s1", "a") in _rows(spark, name)
 
 
 def test_upsert_keeps_rows_of_null_boolean_and_escaped_partitions(spark, tmp_path):
     schema = "k int, v int, flag boolean, route string"
-    target = spark.createDataFrame([(1, 1, True, None), (2, 1, None, "a:b"), (3, 1, False, "c d/e"), (4, 1, True, "a:b")], schema)
+    target = spark.createDataFrame([(1, 1, True, None), (2, 1, None, "a:b"), (3, 1, False, "c d/e"), (4, 1, True, "a:b"), (7, 1, True, "")], schema)
     source = spark.createDataFrame([(5, 1, True, None), (4, 2, True, "z"), (3, 2, False, "c d/e"), (6, 1, None, None)], schema)
-    path = str(tmp_path / "t")
-    upsert_table(spark, path, target, ["k"], "v", ["flag", "route"])
-    done = upsert_table(spark, path, source, ["k"], "v", ["flag", "route"])
-    want = [(1, 1, True, None), (2, 1, None, "a:b"), (3, 2, False, "c d/e"), (4, 2, True, "z"), (5, 1, True, None), (6, 1, None, None)]
-    assert _rows(spark, path, target.schema) == sorted(want, key=str)
+    name = _new(spark, tmp_path, target.schema, ["flag", "route"])
+    upsert(spark, name, target, ["k"], "v")
+    done = upsert(spark, name, source, ["k"], "v")
+    want = [(1, 1, True, None), (2, 1, None, "a:b"), (3, 2, False, "c d/e"), (4, 2, True, "z"), (5, 1, True, None), (6, 1, None, None),
+            (7, 1, True, None)]      # a folder name can't tell an empty text from null
+    assert _rows(spark, name) == sorted(want, key=str)
     assert done["partitions_emptied"] == 1      # (true, a:b) held only the moved row
-    again = upsert_table(spark, path, source, ["k"], "v", ["flag", "route"])
-    assert again["partitions_rewritten"] == 0
-    assert _rows(spark, path, target.schema) == sorted(want, key=str)
+    assert upsert(spark, name, source, ["k"], "v")["partitions_rewritten"] == 0
+    assert _rows(spark, name) == sorted(want, key=str)
 
 
-def test_upsert_rejects_other_columns_and_types(spark, tmp_path):
+def test_upsert_holds_a_batch_against_the_declared_columns_and_types(spark, tmp_path):
     target = spark.createDataFrame([(1, 1, "x")], "k int, v int, extra string")
-    path = str(tmp_path / "t")
-    upsert_table(spark, path, target, ["k"], "v")
+    name = _new(spark, tmp_path, target.schema)
+    upsert(spark, name, target.select("extra", "v", "k"), ["k"], "v")
     with pytest.raises(ValueError, match="extra"):
-        upsert_table(spark, path, target.drop("extra").withColumn("v", F.lit(2)), ["k"], "v")
+        upsert(spark, name, target.drop("extra").withColumn("v", F.lit(2)), ["k"], "v")
     with pytest.raises(ValueError, match="types"):
-        upsert_table(spark, path, target.withColumn("extra", F.lit(2)), ["k"], "v")
-    assert _rows(spark, path, target.schema) == [(1, 1, "x")]
+        upsert(spark, name, target.withColumn("extra", F.lit(2)), ["k"], "v")
+    assert _rows(spark, name) == [(1, 1, "x")]
+    # the first batch too, and a narrower decimal fits
+    other = _new(spark, tmp_path, spark.createDataFrame([], "k int, v int, m decimal(18,2)").schema)
+    with pytest.raises(ValueError, match="types"):
+        upsert(spark, other, target.select("k", "v", F.lit(1.5).alias("m")), ["k"], "v")
+    upsert(spark, other, target.select("k", "v", F.lit("1.5").cast("decimal(3,1)").alias("m")), ["k"], "v")
+    assert spark.table(other).schema["m"].dataType.simpleString() == "decimal(18,2)"
 
 
 @pytest.mark.parametrize("parts", [[], ["part"]])
-@pytest.mark.parametrize("stop", ["write", "publish"])
-def test_upsert_that_fails_midway_loses_nothing(spark, tmp_path, monkeypatch, parts, stop):
-    from lucrum.sinks import tables
+@pytest.mark.parametrize("stop", ["merge", "in_partitions", "_point"])
+def test_upsert_that_fails_midway_leaves_the_old_version_readable(spark, tmp_path, monkeypatch, parts, stop):
+    """Before any write, between data and list, and just before the view is replaced."""
     target, source = _tables(spark)
     target, source = target.where("k is not null"), source.where("k is not null")
-    path = str(tmp_path / "t")
-    upsert_table(spark, path, target, ["k"], "v", parts)
-    before = _rows(spark, path, target.schema)
-    if stop == "write":
-        def fail(*a, **k):
+    name = _new(spark, tmp_path, target.schema, parts)
+    upsert(spark, name, target, ["k"], "v")
+    before, calls, real = _rows(spark, name), [], getattr(tables, stop)
+
+    def fail(*a, **k):
+        calls.append(1)
+        if stop != "in_partitions" or len(calls) > 1:      # its second call comes after the data are written
             raise OSError("lost")
-        monkeypatch.setattr(tables, "write_table", fail)
-    else:
-        real, calls = tables._children, []
-
-        def fail(fs, folder):       # after some files were moved
-            calls.append(folder.getName())
-            if len(calls) > 2:
-                raise OSError("lost")
-            return real(fs, folder)
-        monkeypatch.setattr(tables, "_children", fail)
+        return real(*a, **k)
+
+    monkeypatch.setattr(tables, stop, fail)
     with pytest.raises(OSError):
-        upsert_table(spark, path, source, ["k"], "v", parts)
+        upsert(spark, name, source, ["k"], "v")
     monkeypatch.undo()
-    if stop == "write":
-        assert _rows(spark, path, target.schema) == before
-    upsert_table(spark, path, source, ["k"], "v", parts)
-    got = {r[0]: r[2] for r in _rows(spark, path, target.schema)}
-    assert got == {1: "t1", 2: "t2", 3: "s3", 4: "t4", 5: "s5", 6: "s6"}
+    assert _rows(spark, name) == before
+    upsert(spark, name, source, ["k"], "v")
+    assert {r[0]: r[2] for r in _rows(spark, name)} == {1: "t1", 2: "t2", 3: "s3", 4: "t4", 5: "s5", 6: "s6"}
+
+
+def test_a_reader_that_began_before_keeps_its_version(spark, tmp_path):
+    target, source = _tables(spark)
+    name = _new(spark, tmp_path, target.schema, ["part"])
+    upsert(spark, name, target, ["k"], "v")
+    before, reader = _rows(spark, name), spark.table(name)
+    upsert(spark, name, source, ["k"], "v")
+    assert sorted(map(tuple, reader.collect()), key=str) == before != _rows(spark, name)
+
+
+def test_a_catalog_without_the_table_takes_up_what_was_published(spark, tmp_path):
+    target, source = _tables(spark)
+    name = _new(spark, tmp_path, target.schema, ["part"])
+    upsert(spark, name, target, ["k"], "v")
+    upsert(spark, name, source, ["k"], "v")
+    other = f"{name}_again"
+    create_table(spark, other, target.schema, str(tmp_path / name), ["part"])
+    assert _rows(spark, other) == _rows(spark, name)
+
+
+def test_upsert_reads_only_affected_partitions_and_dead_versions_are_pruned(spark, tmp_path):
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"), (F.col("id") % 10).cast("string").alias("part"))
+    name = _new(spark, tmp_path, rows.schema, ["part"])
+    upsert(spark, name, rows, ["k"], "v")
+    there = tables.in_partitions(["part"], rows.schema, [("3",), ("7",)])
+    plan = spark.table(name).where(there)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("DataFilters")[0]
+    assert "part" in filters and "dynamicpruning" in filters
+    for _ in range(2):
+        upsert(spark, name, rows.where("part = '3'").withColumn("v", F.lit(2)), ["k"], "v", on_match="always")
+    assert spark.table(name).select(F.input_file_name().alias("f")).where("f like '%part=3%'").distinct().count() >= 1
+    assert len({r.f.split("_version=")[1][:20] for r in spark.table(name).select(F.input_file_name().alias("f")).distinct().collect()}) == 2

@@ -1,11 +1,13 @@
 """Streaming forms equal their batch forms; replays change nothing."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lucrum.operators import windows as W
 from lucrum.operators.dedup import latest_per_key
 from lucrum.plans import standins as S
-from lucrum.sinks.tables import read_table
+from lucrum.sinks.tables import create_table
 from lucrum.streaming import stream_upsert, stream_window_counts
 
 
@@ -17,28 +19,29 @@ def _land_batches(spark, sf, root, n=4):
 
 
 def test_stream_upsert_equals_batch_and_replay_is_noop(spark, sf_small, tmp_path):
-    src, target = str(tmp_path / "src"), str(tmp_path / "target")
+    src, target = str(tmp_path / "src"), f"t_{uuid.uuid4().hex[:8]}"
     e = _land_batches(spark, sf_small, src)
+    create_table(spark, target, e.schema, str(tmp_path / "target"), ["event_type"])
     keys = ["user_id", "event_type"]
     stream_upsert(spark, src, e.schema, target, str(tmp_path / "ckpt"), keys, "ts",
-                  tiebreak=["event_id"], partition_by=["event_type"], max_files_per_trigger=2)
-    got = sorted(map(tuple, read_table(spark, target, e.schema).collect()))
+                  tiebreak=["event_id"], max_files_per_trigger=2)
+    got = sorted(map(tuple, spark.table(target).collect()))
     want = sorted(map(tuple, latest_per_key(e, keys, "ts", ["event_id"]).collect()))
     assert got == want
     # same files through a new checkpoint: every version is equal -> unchanged
     stream_upsert(spark, src, e.schema, target, str(tmp_path / "ckpt2"), keys, "ts",
-                  tiebreak=["event_id"], partition_by=["event_type"])
-    assert sorted(map(tuple, read_table(spark, target, e.schema).collect())) == want
+                  tiebreak=["event_id"])
+    assert sorted(map(tuple, spark.table(target).collect())) == want
 
 
 def test_stream_window_counts_equal_batch(spark, sf_small, tmp_path):
-    src, target = str(tmp_path / "src"), str(tmp_path / "counts")
+    src, target = str(tmp_path / "src"), f"t_{uuid.uuid4().hex[:8]}"
     e = _land_batches(spark, sf_small, src)
     windows = W.tile(spark, S.events_now(spark, sf_small))
     start = windows.agg(F.min("date_from")).first()[0]
-    stream_window_counts(spark, src, e.schema, "ts", start, target, str(tmp_path / "ckpt"),
+    stream_window_counts(spark, src, e.schema, "ts", start, target, str(tmp_path / "counts"), str(tmp_path / "ckpt"),
                          max_files_per_trigger=2)
-    got = {r.window_start: r.n_rows for r in spark.read.parquet(target).collect()}
+    got = {r.window_start: r.n_rows for r in spark.table(target).collect()}
     want = {r.date_from: r.n_rows for r in W.counts(e, "ts", windows).collect() if r.n_rows}
     assert got == want
 
@@ -50,8 +53,8 @@ def test_window_counts_do_not_depend_on_files_per_trigger_or_checkpoint(spark, s
     start = windows.agg(F.min("date_from")).first()[0]
     want = {r.date_from: r.n_rows for r in W.counts(e, "ts", windows).collect() if r.n_rows}
     for files in (1, 2, 8):
-        target = str(tmp_path / f"counts{files}")
+        target = f"t_{uuid.uuid4().hex[:8]}"
         for run in range(2 if files == 2 else 1):       # the second with a new checkpoint
-            stream_window_counts(spark, src, e.schema, "ts", start, target, str(tmp_path / f"c{files}-{run}"),
+            stream_window_counts(spark, src, e.schema, "ts", start, target, str(tmp_path / f"counts{files}"), str(tmp_path / f"c{files}-{run}"),
                                  max_files_per_trigger=files)
-            assert {r.window_start: r.n_rows for r in spark.read.parquet(target).collect()} == want
+            assert {r.window_start: r.n_rows for r in spark.table(target).collect()} == want
