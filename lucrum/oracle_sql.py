@@ -568,12 +568,14 @@ SQL.update({
     "month_lookup_cost": MONTH_LOOKUP_COST,
     "month_lookup_tax": MONTH_LOOKUP_TAX,
     "freight_allocation": FREIGHT_ALLOCATION,
+    "freight_allocation_bucketed": FREIGHT_ALLOCATION,
     "latest_order_item": LATEST_ORDER_ITEM,
     "latest_shipment": LATEST_SHIPMENT,
     "latest_cost": LATEST_COST,
     "latest_tax": LATEST_TAX,
     "upsert_order_items": _upsert(False),
     "upsert_always": _upsert(True),
+    "upsert_bucketed": _upsert(False),
     "upsert_odd_partitions": UPSERT_ODD_PARTITIONS,
     "bronze_one_day": BRONZE_ONE_DAY,
     "instants_with_offsets": INSTANTS_WITH_OFFSETS,
@@ -591,6 +593,7 @@ SQL.update({
     "window_cap_audit": WINDOW_CAP_AUDIT,
     "incremental_batch": INCREMENTAL_BATCH,
     "pending_shipments_id": PENDING_SHIPMENTS_ID,
+    "stream_pending_shipments": PENDING_SHIPMENTS_ID,
     "pending_shipments_partition": PENDING_SHIPMENTS_PARTITION,
     "page_of_orders": PAGE_OF_ORDERS,
     "union_batches": UNION_BATCHES,

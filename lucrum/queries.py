@@ -133,6 +133,16 @@ def gold_incremental(spark, sf_dir):
     return spark.table(names["gold"]).select(*gold.GOLD_COLUMNS)
 
 
+def freight_allocation_bucketed(spark, sf_dir):
+    """C6/W2/J3 over items stored in buckets of the parcel."""
+    from .operators.allocate import allocate
+    items = S.gold_items(spark, sf_dir).select("id", "order_item_item_id", "shipping_id", "total_amount")
+    name = _new_table(spark, items.schema, bucket_by=["shipping_id"], buckets=8)
+    tables.write_version(spark, name, items, [()])
+    f = allocate(spark.table(name), "shipping_id", "total_amount", S.shipments(spark, sf_dir), "shipment_id", "cost", method="bucketed")
+    return _doubles(f)
+
+
 def freight_to_the_cent(spark, sf_dir):
     """Every parcel's freight apportioned to its items to the cent."""
     from .operators.allocate import allocate_cents
@@ -210,10 +220,10 @@ def _upsert_inputs(spark, sf_dir):
     return target, source
 
 
-def _new_table(spark, schema, partition_by=()) -> str:
+def _new_table(spark, schema, partition_by=(), bucket_by=(), buckets=0) -> str:
     """An empty catalog table of a name of its own, files in the scratch folder."""
     name = f"lucrum_{uuid.uuid4().hex[:12]}"
-    tables.create_table(spark, name, schema, scratch_path(spark, name), partition_by)
+    tables.create_table(spark, name, schema, scratch_path(spark, name), partition_by, bucket_by, buckets)
     return name
 
 
@@ -249,6 +259,16 @@ def upsert_odd_partitions(spark, sf_dir):
     return spark.table(name)
 
 
+def upsert_bucketed(spark, sf_dir):
+    """K6/K8: the upsert into a table bucketed by its keys; the stored side of its
+    joins isn't shuffled."""
+    target, source = _upsert_inputs(spark, sf_dir)
+    name = _new_table(spark, target.schema, bucket_by=["id", "order_item_item_id"], buckets=8)
+    for batch in (target, source):
+        tables.upsert(spark, name, batch, ["id", "order_item_item_id"], "date_last_updated")
+    return _doubles(spark.table(name))
+
+
 def upsert_always(spark, sf_dir):
     """K8 with ``on_match='always'``: every matched row takes the source."""
     return _upsert_query(spark, sf_dir, "always")
@@ -543,6 +563,27 @@ def stream_window_counts(spark, sf_dir):
     return spark.table(target).select("window_start", "n_rows")
 
 
+def stream_pending_shipments(spark, sf_dir):
+    """C12 streaming: the work list after five micro-batches of order ids and
+    fetched shipments, files in mixed order; equals the batch anti-join."""
+    from .streaming import pending, stream_work_list
+    o = S.table(spark, sf_dir, "orders")
+    cutoff = o.select(F.add_months(F.max(month_start("o_orderdate")), -12)).scalar()
+    named = o.select(S.parcel_of("o_orderkey").alias("shipping_id"), F.lit(False).alias("fetched"), (F.col("o_orderkey") % 5).alias("f"))
+    done = (S.shipments(spark, sf_dir).join(o.select(F.col("o_orderkey").alias("shipment_id"), "o_orderdate"), "shipment_id")
+            .where(month_start("o_orderdate") < cutoff)
+            .select(F.col("shipment_id").alias("shipping_id"), F.lit(True).alias("fetched"), (F.col("shipment_id") % 3).alias("f")))
+    src = scratch_path(spark, "shipping-news")
+    news = named.unionByName(done)
+    path = scratch_path(spark, "shipping-news-all")
+    news.write.parquet(path)
+    for i in range(5):
+        spark.read.schema(news.schema).parquet(path).where(F.col("f") == i).drop("f").coalesce(1).write.mode("append").parquet(src)
+    target = f"lucrum_{uuid.uuid4().hex[:12]}"
+    stream_work_list(spark, src, target, scratch_path(spark, target), scratch_path(spark, "work-list-ckpt"), max_files_per_trigger=1)
+    return pending(spark, target)
+
+
 def medallion_end_to_end(spark, sf_dir):
     """Bronze -> silver tables -> gold table, each step an upsert."""
     names = medallion.run_medallion(
@@ -567,6 +608,8 @@ REGISTRY: dict[str, Query] = {
     "latest_tax": latest_tax,
     "upsert_order_items": upsert_order_items,
     "upsert_always": upsert_always,
+    "upsert_bucketed": upsert_bucketed,
+    "freight_allocation_bucketed": freight_allocation_bucketed,
     "upsert_odd_partitions": upsert_odd_partitions,
     "bronze_one_day": bronze_one_day,
     "bronze_quarantine": bronze_quarantine,
@@ -597,5 +640,6 @@ REGISTRY: dict[str, Query] = {
     "run_summary": run_summary,
     "stream_upsert": stream_upsert,
     "stream_window_counts": stream_window_counts,
+    "stream_pending_shipments": stream_pending_shipments,
     "medallion_end_to_end": medallion_end_to_end,
 }

@@ -8,7 +8,8 @@ from lucrum.operators import windows as W
 from lucrum.operators.dedup import latest_per_key
 from lucrum.plans import standins as S
 from lucrum.sinks.tables import create_table
-from lucrum.streaming import stream_upsert, stream_window_counts
+from lucrum.streaming import pending, stream_upsert, stream_window_counts, stream_work_list
+from lucrum.streaming.work_list import INPUT
 
 
 def _land_batches(spark, sf, root, n=4):
@@ -58,3 +59,30 @@ def test_window_counts_do_not_depend_on_files_per_trigger_or_checkpoint(spark, s
             stream_window_counts(spark, src, e.schema, "ts", start, target, str(tmp_path / f"counts{files}"), str(tmp_path / f"c{files}-{run}"),
                                  max_files_per_trigger=files)
             assert {r.window_start: r.n_rows for r in spark.table(target).collect()} == want
+
+
+def _news(spark, root, batches):
+    for batch in batches:
+        spark.createDataFrame(batch, INPUT).coalesce(1).write.mode("append").parquet(root)
+
+
+def test_work_list_equals_the_anti_join_for_any_batches_and_after_a_restart(spark, tmp_path):
+    batches = [[(i, False) for i in range(1, 20)] + [(0, False), (None, False)], [(i, True) for i in range(1, 20, 3)],
+               [(i, False) for i in range(10, 30)], [(25, True), (40, True), (2, True)], [(40, False), (5, False), (41, False), (41, True)]]
+    want = {i for b in batches for i, f in b if i and not f} - {i for b in batches for i, f in b if f}
+    for files in (1, 3):
+        src, name = str(tmp_path / f"src{files}"), f"t_{uuid.uuid4().hex[:8]}"
+        for part in (batches[:3], batches[3:]):          # the second run goes on from the checkpoint
+            _news(spark, src, part)
+            stream_work_list(spark, src, name, str(tmp_path / name), str(tmp_path / f"ckpt{files}"), max_files_per_trigger=files)
+        assert {r.shipping_id for r in pending(spark, name).collect()} == want
+        assert spark.table(name).where("not done and offers <> 1").count() == 0      # offered once, no retry is due yet
+
+
+def test_work_list_offers_again_after_the_retry_time(spark, tmp_path):
+    src, name = str(tmp_path / "src"), f"t_{uuid.uuid4().hex[:8]}"
+    for batch in ([(1, False), (2, False)], [(2, True), (3, False)], [(4, False)]):
+        _news(spark, src, [batch])
+        stream_work_list(spark, src, name, str(tmp_path / name), str(tmp_path / "ckpt"), retry_ms=1)
+    rows = {r.shipping_id: r for r in spark.table(name).collect()}
+    assert rows[1].offers >= 2 and not rows[1].done and rows[2].done and rows[4].offers == 1
