@@ -10,9 +10,9 @@ is left that hasn't gone round.
 
 A word or phrase that reaches the threshold gets a number, and a longer phrase is
 the pair of its parts' numbers, so identity is exact and a key is two longs at any
-length. A block tells which pairs it holds, with their counts in it; these meet
-the numbered phrases in a join and the hits return to their block, where they say
-which phrases are to be counted at the next length. Counts are summed per block
+length. A block tells which pairs it holds, with their counts in it, each once;
+these meet the newly numbered phrases in a join and the hits return to their
+block, where they say which phrases are to be counted at the next length. Counts are summed per block
 first, so a frequent phrase is no hot key. The blocks of a shard are cached on
 disk by block number, so that hits travel to them and they stay where they are.
 
@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from lucrum.config import scratch_path
 from lucrum.llm.common import squeeze, stored, unsqueeze
 
-SHARDS = 3
-BLOCK_BYTES = 4_000_000
-HELD_BYTES = 16_000_000         # text of unfinished blocks of all languages in a task
+SHARDS = 2
+BLOCK_BYTES = 8_000_000
+HELD_BYTES = 24_000_000         # text of unfinished blocks of all languages in a task
 BREAKS = b".,;:!?\n\x0b\x0c\r"  # between pieces
 _CUT = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
 _KIND = np.zeros(256, np.int8)
@@ -107,41 +107,49 @@ def pack(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFram
     return spark.read.schema(blocks.schema).parquet(path)
 
 
-HIT = "block long, level int, idx int, id long, reach int"
-PAIR = "block long, idx int, left long, right long, n int, start int"
+HITS = "block long, level int, found array<struct<left:bigint,right:bigint,id:bigint,reach:int>>"
+PAIR = "block long, left long, right long, n int, start int"
 
 
-def _pairs(blocks: DataFrame, hits: DataFrame, level: int) -> DataFrame:
-    """The distinct phrases of ``level`` words of each block whose two parts have
-    reached the threshold, with their counts in the block, and the step from
-    which they are counted: that by which the later part had reached it."""
+def _pairs(blocks: DataFrame, hits: DataFrame, level: int, since: int) -> DataFrame:
+    """The distinct phrases of ``level`` words of each block, with their counts in
+    it, that are counted from a step after ``since`` on: both parts have reached the
+    threshold, and the step by which the later one had, ``start``, is after it.
+
+    ``hits`` tells which of a block's words (left: the number in the block) and
+    shorter phrases have reached the threshold, their numbers, and by which step."""
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         names = [f.split()[0] for f in PAIR.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         if not block.num_rows or not found.num_rows:
             return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
         codes = unsqueeze(block["codes"][0].as_py())
-        of, idx, ids, reach = (found[c].to_numpy() for c in ("level", "idx", "id", "reach"))
-
-        def numbered(own: int, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-            """Number (-1: not reached) and step of the phrases ``at``."""
-            number, step = np.full(size, -1, np.int64), np.zeros(size, np.int64)
-            hit = of == own
-            number[idx[hit]], step[idx[hit]] = ids[hit], reach[hit]
-            return number[at], step[at]
-
-        name, step = numbered(1, codes, int(codes.max()) + 1)       # words have numbers from 1 on, breaks 0
+        lists = found["found"].combine_chunks()
+        of = np.repeat(found["level"].to_numpy(), lists.value_lengths().to_numpy())
+        lefts, rights, ids, reach = (lists.flatten().field(i).to_numpy() for i in range(4))
+        # words have numbers from 1 on, breaks 0
+        number, by = np.full(int(codes.max()) + 1, -1, np.int64), np.zeros(int(codes.max()) + 1, np.int64)
+        number[lefts[of == 1]], by[lefts[of == 1]] = ids[of == 1], reach[of == 1]
+        name, step = number[codes], by[codes]       # of the phrase that begins there; -1: not reached
         for length in range(2, level + 1):
             both = (name[:-1] >= 0) & (name[1:] >= 0)
-            start = np.maximum(step[:-1], step[1:])[both]
+            if length == level:
+                both &= np.maximum(step[:-1], step[1:]) > since
             known, rank = np.unique(name, return_inverse=True)
             pair = (rank[:-1] * np.int64(len(known)) + rank[1:])[both]
-            distinct, first, own, count = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-            if length < level:
+            if length == level:
+                distinct, first, count = np.unique(pair, return_index=True, return_counts=True)
+                start = np.maximum(step[:-1], step[1:])[both][first]
+            else:
+                own = of == length
+                hit = np.searchsorted(known, lefts[own]) * np.int64(len(known)) + np.searchsorted(known, rights[own])
+                order = np.argsort(hit)
+                at = np.minimum(np.searchsorted(hit, pair, sorter=order), max(len(hit) - 1, 0))
+                same = hit[order][at] == pair if len(hit) else np.zeros(len(pair), bool)
                 name, step = np.full(len(both), -1, np.int64), np.zeros(len(both), np.int64)
-                name[both], step[both] = numbered(length, own, len(distinct))
-        columns = ([block["block"][0].as_py()] * len(distinct), np.arange(len(distinct)), known[distinct // len(known)],
-                   known[distinct % len(known)], count, start[first])
+                where = np.flatnonzero(both)[same]
+                name[where], step[where] = ids[own][order][at[same]], reach[own][order][at[same]]
+        columns = ([block["block"][0].as_py()] * len(distinct), known[distinct // len(known)], known[distinct % len(known)], count, start)
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
     return blocks.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(run, PAIR)
@@ -154,61 +162,73 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _numbered(spark: SparkSession, got: DataFrame, key: list[str], first: int, reach: int) -> tuple[DataFrame, int]:
+    """The phrases ``got`` with numbers from ``first`` on, without gaps, and how
+    many they are: a row's place in its task, after those of the tasks before."""
+    rows = stored(spark, got.select(*key, F.monotonically_increasing_id().alias("m")), "got")
+    task, total, offsets = F.shiftright("m", 33), 0, []
+    for number, n in sorted(rows.groupBy(task).count().collect()):       # a row a task
+        offsets.append((number, first + total))
+        total += n
+    before = spark.createDataFrame(offsets, "task long, before long")
+    out = rows.join(before, task == F.col("task")).select(
+        *key, (F.col("before") + F.col("m") - F.shiftleft("task", 33)).alias("id"), F.lit(reach).alias("reach"))
+    return stored(spark, out, "reached"), total
+
+
 def count_phrases(spark: SparkSession, blocks: DataFrame, threshold: int, longest: int, shards: int) -> tuple[dict, dict]:
     """By length: the counts of each step (lang, word or left, right; n), complete
-    once summed, and the phrases that reached the threshold with their numbers."""
+    once summed, and the phrases that reached the threshold with their numbers.
+
+    A block tells each phrase once, in the step that counts it; that row is kept and
+    meets only phrases that reached the threshold since the shard's last turn."""
     key = {1: ["lang", "word"], **{n: ["left", "right"] for n in range(2, longest + 1)}}
     counts: dict[int, list[tuple[int, DataFrame]]] = {n: [] for n in key}
-    reached: dict[int, list[DataFrame]] = {n: [] for n in key}
-    fresh: dict[tuple[int, int], int] = {}      # (length, step): phrases that reached the threshold then
+    reached: dict[int, dict[int, DataFrame]] = {n: {} for n in key}     # by the step that brought them there
+    numbers = dict.fromkeys(key, 0)
+    told: dict[tuple[int, int], list[DataFrame]] = {}                   # by shard and length
+    hits: dict[int, list[DataFrame]] = {}
     per_shard = max(8, blocks.count() // (2 * shards))
     cached: dict[int, DataFrame] = {}
     try:
         step = 0
         while True:
+            shard, since = step % shards, step - shards
+            lately = {n: [df for s, df in reached[n].items() if s >= since] for n in key}
             # a phrase counts for one round after its later part has got there
-            active = [n for n in key if (step < shards if n == 1 else any(
-                fresh.get((n - 1, s)) for s in range(max(0, step - shards), step)))]
+            active = [n for n in key if (step < shards if n == 1 else lately[n - 1])]
             if not active:
-                return {n: [c for _, c in counts[n]] for n in key}, reached
-            shard = step % shards
+                return {n: [c for _, c in counts[n]] for n in key}, {n: list(reached[n].values()) for n in key}
             rows = blocks.where(F.col("shard") == shard)
-            words = rows.select("block", "lang", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w")).select(
-                "block", (F.col("at") + 1).alias("idx"), "lang", F.col("w.words").alias("word"), F.col("w.n").alias("n"))
-            if 1 in active:
-                counts[1].append((step, stored(spark, words.groupBy(key[1]).agg(F.sum("n").cast("long").alias("n")), "words")))
-            hits = None
+            if shard not in cached and max(active) > 1:
+                cached[shard] = rows.select("block", "codes").repartition(per_shard, "block").persist(StorageLevel.DISK_ONLY)
             for n in range(1, max(active) + 1):
-                own = words
-                if n > 1:
-                    if shard not in cached:
-                        cached[shard] = rows.select("block", "codes").repartition(per_shard, "block").persist(StorageLevel.DISK_ONLY)
-                    own = _pairs(cached[shard], hits, n)
-                    if step < shards:       # all of them are counted, and looked up: computed once
-                        own = stored(spark, own, "phrases", "zstd")
-                    if n in active:
-                        due = own.where(F.col("start") > step - shards).groupBy(key[n]).agg(F.sum("n").cast("long").alias("n"))
-                        counts[n].append((step, stored(spark, due, "phrase-counts")))
-                if n < max(active):
-                    if not reached[n]:
-                        break
-                    hit = own.select("block", "idx", *key[n]).join(_union(reached[n]), key[n]).select(
-                        "block", F.lit(n).alias("level"), "idx", "id", "reach")
-                    hit = stored(spark, hit, "hits")
-                    hits = hit if hits is None else hits.unionByName(hit)
+                if n == 1:
+                    own = rows.select("block", "lang", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w")).select(
+                        "block", (F.col("at") + 1).cast("long").alias("left"), F.lit(0).cast("long").alias("right"), "lang",
+                        F.col("w.words").alias("word"), F.col("w.n").alias("n"))
+                elif n in active:
+                    new = stored(spark, _pairs(cached[shard], _union(hits[shard]), n, since), "phrases", "zstd")
+                    told.setdefault((shard, n), []).append(new)
+                if n in active:
+                    due = (own if n == 1 else new).groupBy(key[n]).agg(F.sum("n").cast("long").alias("n"))
+                    counts[n].append((step, stored(spark, due, "phrase-counts")))
+                if n + 1 in active:
+                    if n > 1:
+                        own = _union(told[shard, n])
+                    found = own.join(_union(lately[n]), key[n]).groupBy("block").agg(
+                        F.collect_list(F.struct("left", "right", "id", "reach")).alias("found"))     # at most a block's words
+                    hits.setdefault(shard, []).append(stored(spark, found.select("block", F.lit(n).alias("level"), "found"), "hits"))
             for n in active:
-                lately = [c for s, c in counts[n] if s > step - shards]
-                if n == longest or not lately:
-                    continue
-                got = _union(lately).groupBy(key[n]).agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
-                if reached[n]:
-                    got = got.join(_union(reached[n]), key[n], "left_anti")
-                # numbers differ between tasks of a step and between steps
-                got = stored(spark, got.select(*key[n], (F.monotonically_increasing_id() * 1024 + step).alias("id"),
-                                               F.lit(step + 1).alias("reach")), "reached")
-                fresh[n, step] = got.count()
-                if fresh[n, step]:
-                    reached[n].append(got)
+                if n < longest:
+                    got = _union([c for s, c in counts[n] if s > since]).groupBy(key[n]).agg(F.sum("n").alias("n")).where(
+                        F.col("n") >= threshold)
+                    if lately[n]:
+                        got = got.join(_union(lately[n]), key[n], "left_anti")
+                    got, more = _numbered(spark, got, key[n], numbers[n], step + 1)
+                    if more:
+                        reached[n][step] = got
+                        numbers[n] += more
             step += 1
     finally:
         for df in cached.values():

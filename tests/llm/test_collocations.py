@@ -65,7 +65,7 @@ def test_equals_counting_all_phrases(spark, monkeypatch, shards):
 
 def test_other_lengths_and_cover_and_first_ranks(spark):
     rows = some_rows(9, 60, 5)
-    assert run(spark, rows, threshold=4, longest=6, cover=50, keep=7) == brute(rows, 4, 6, 7, 50)
+    assert run(spark, rows, threshold=6, longest=5, cover=50, keep=7, shards=2) == brute(rows, 6, 5, 7, 50)
     assert run(spark, rows, threshold=4, longest=2) == brute(rows, 4, 2)
 
 
@@ -101,8 +101,8 @@ def test_blocks_stay_where_they_are(spark, capsys):
     """Hits are shuffled to the cached blocks; the blocks are not shuffled again."""
     df = spark.createDataFrame([(1, "a b a b", "en")], "doc_id long, text string, lang string")
     blocks = collocations.pack(df, "lang", "text", 1).select("block", "codes").repartition(8, "block").persist()
-    hits = spark.createDataFrame([(0, 1, 1, 5, 1)], collocations.HIT)
-    collocations._pairs(blocks, hits, 2).explain()
+    hits = spark.createDataFrame([(0, 1, [(1, 0, 5, 1)])], collocations.HITS)
+    collocations._pairs(blocks, hits, 2, 0).explain()
     plan = capsys.readouterr().out
     blocks.unpersist()
     assert plan.count("Exchange") - plan.split("InMemoryRelation")[1].split("LocalTableScan")[0].count("Exchange") == 1, plan
