@@ -22,7 +22,8 @@ finite; so do empty vectors. Vectors are compared with those of equal length. A
 row with a null id is a candidate (after other ids in ties) and no anchor;
 repeated rows are rows of their own, only the anchor's own row is left out. With
 fewer rows than asked for all are returned, an anchor or positive without any
-gives none. A score that is no long is an error. Extra columns are ignored.
+gives none. A score that is no long is an error if a row has it that is among a
+block's best. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ from lucrum.llm.common import stored
 SCALE = 256
 BLOCK_ROWS = 4_096          # rows of a block, at most
 PACK_ROWS = 512             # anchors of a pack, at most
+SLOT_BLOCKS = 8             # blocks of a group that a pack meets in one task, about
+FEW_BLOCKS = 64             # up to which each block is a group of its own
 FIRST_DEPTH, GROWTH = 8, 3  # rows read of each list at first, and the factor from then on
 LONG = 1 << 63
 
@@ -209,15 +212,25 @@ FOUND = "anchor long, base long, row long, id long, score long"
 
 
 def _search(pairs: DataFrame, k: int, same_label: bool) -> DataFrame:
-    """The best rows of a block for each anchor of a pack and each window."""
+    """The best rows for each anchor of a pack and each window, over the blocks
+    that the pack meets one after another: what the blocks before gave bounds the
+    window from below and is passed on once, merged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
+        pack, best = None, {}       # (anchor, base): (-score, no id, id, row) of the best
+
+        def merged() -> pa.RecordBatch:
+            rows = [(anchor, base, row, None if no_id else key, -minus)
+                    for (anchor, base), own in best.items() for minus, no_id, key, row in own]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 5)],
+                                              ["anchor", "base", "row", "id", "score"])
+
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                if block is None or block.first != row["block"] or block.dim != row["dim"]:
-                    block = Block(row)
-                allowed, out = {}, [[] for _ in range(5)]
+                if row["pack"] != pack:
+                    yield merged()
+                    pack, best = row["pack"], {}
+                block, allowed = Block(row), {}
                 for m in row["members"]:
                     label = m["label"]
                     if label not in allowed:
@@ -229,13 +242,16 @@ def _search(pairs: DataFrame, k: int, same_label: bool) -> DataFrame:
                     if same_label and 0 <= own < len(mask):
                         mask = mask.copy()
                         mask[own] = False
+                    keys = [(m["row"], w["base"]) for w in m["windows"]] if m["windows"] else [(m["row"], None)]
                     windows = [(w["lo"], w["hi"]) for w in m["windows"]] if m["windows"] else [(None, None)]
-                    bases = [w["base"] for w in m["windows"]] if m["windows"] else [None]
-                    for base, (rows, scores) in zip(bases, block.best(np.frombuffer(m["vec"], "<f8"), mask, windows, k)):
-                        for values, more in zip(out, ([m["row"]] * len(rows), [base] * len(rows), (rows + block.first).tolist(),
-                                                      [None if block.no_id[r] else int(block.ids[r]) for r in rows], scores)):
-                            values.extend(more)
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["anchor", "base", "row", "id", "score"])
+                    # a row below the kth so far can't come in, one of the same score may by its id
+                    windows = [(max([-best[key][-1][0]] + ([] if lo is None else [lo])) if len(best.get(key, ())) == k else lo, hi)
+                               for key, (lo, hi) in zip(keys, windows)]
+                    for key, (rows, scores) in zip(keys, block.best(np.frombuffer(m["vec"], "<f8"), mask, windows, k)):
+                        if scores:
+                            new = [(-s, bool(block.no_id[r]), int(block.ids[r]), block.first + int(r)) for r, s in zip(rows, scores)]
+                            best[key] = sorted(best.get(key, []) + new)[:k]
+        yield merged()
 
     return pairs.mapInArrow(run, FOUND)
 
@@ -257,17 +273,22 @@ def mine(vectors: DataFrame, anchors: Column, positives: int = 5, negatives: int
     spark = vectors.sparkSession
     blocks = pack(vectors, anchors, id_col, vec_col, F.col("label") if label is None else label)
     asked = stored(spark, _members(blocks), "anchors", "none")
-    bodies = blocks.drop("anchors")
 
     def packs(rows: DataFrame) -> DataFrame:
         return rows.groupBy("pack", "dim").agg(F.collect_list(F.struct("row", "label", "vec", "windows")).alias("members"))
 
-    # own label: a pack meets the blocks that hold one of its labels
+    # blocks in groups that a pack meets one after another; single ones while they are few
+    n_blocks = blocks.count()
+    slots = max(1, min(n_blocks, FEW_BLOCKS), n_blocks // SLOT_BLOCKS)
+    slotted = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int"))
+    bodies = slotted.drop("anchors").repartition(slots, "slot")
+
+    # own label: a pack meets the groups of blocks that hold one of its labels
     kind = "lo:bigint,hi:bigint,base:bigint"
     plain = packs(asked.withColumn("windows", F.lit(None).cast(f"array<struct<{kind}>>")))
-    holds = blocks.select("block", "dim", F.explode(F.array_distinct("labels")).alias("label"))
-    meet = asked.select("pack", "dim", "label").distinct().join(holds, ["dim", "label"]).select("pack", "dim", "block").distinct()
-    near = _search(plain.join(meet, ["pack", "dim"]).join(bodies, ["block", "dim"]), positives, True)
+    holds = slotted.select("slot", "dim", F.explode(F.array_distinct("labels")).alias("label")).distinct()
+    meet = asked.select("pack", "dim", "label").distinct().join(holds, ["dim", "label"]).select("pack", "dim", "slot").distinct()
+    near = _search(plain.join(meet, ["pack", "dim"]).repartition(slots, "slot").join(bodies, ["slot", "dim"]), positives, True)
     near = stored(spark, _first(near, positives).select("anchor", "row", F.col("id").alias("positive_id"), "score"), "positives")
 
     # other labels: a pack meets all blocks of its length
@@ -277,10 +298,8 @@ def mine(vectors: DataFrame, anchors: Column, positives: int = 5, negatives: int
         "anchor", F.struct(bound(low, True).alias("lo"), bound(high, False).alias("hi"), F.col("score").alias("base")).alias("w")
     ).where("w.lo <= w.hi").groupBy("anchor").agg(F.collect_list("w").alias("windows"))     # ``positives`` windows at most
     numbered = asked.join(asked_for, asked["row"] == asked_for["anchor"]).drop("anchor")
-    slots = max(1, blocks.count() // 2)
-    slot = F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")
-    sent = packs(numbered).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    far = _search(sent.join(bodies.withColumn("slot", slot), ["dim", "slot"]), negatives, False)
+    sent = packs(numbered).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).repartition(slots, "slot")
+    far = _search(sent.join(bodies, ["slot", "dim"]), negatives, False)
     far = _first(far, negatives).select(F.col("anchor").alias("a"), "base", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     return (near.join(far, (near["anchor"] == far["a"]) & (near["score"] == far["base"]))
             .join(asked.select(F.col("row").alias("a_row"), F.col("id").alias("anchor_id")), F.col("anchor") == F.col("a_row"))
