@@ -9,7 +9,7 @@ _DIGIT = "ascii(substr(md5(list || ':' || entry), {}, 1)) % 16"
 SQL["op5_urlfilter"] = rf"""
 WITH captured AS (
   SELECT page_id, url, 1704067200 + (page_id * 7919) % (120 * 86400) AS fetched,
-         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#@\s]+)', 1)), '') AS host,
+         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#\s]*@)?([^/:?#@\s]+)', 1)), '.'), '') AS host,
          nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]+/([^/?#\s]+)', 1), '') AS segment
   FROM pages),
 named AS (
@@ -26,8 +26,8 @@ active AS (
 names AS (
   SELECT page_id, fetched, host AS key, 1000 AS depth FROM captured WHERE host IS NOT NULL
   UNION ALL SELECT page_id, fetched, host || '/' || segment, 1001 FROM captured WHERE host IS NOT NULL AND segment IS NOT NULL
-  UNION ALL SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), i, 99), '.'), 1001 - i
-    FROM captured, range(2, 20) r(i) WHERE i < len(string_split(host, '.'))),
+  UNION ALL SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), i, 9999), '.'), 1001 - i
+    FROM captured, range(2, 1000) r(i) WHERE i < len(string_split(host, '.'))),
 hits AS (
   SELECT n.page_id, n.fetched, a.list, a.entry,
          row_number() OVER (PARTITION BY n.page_id ORDER BY n.depth DESC, (a.list <> 'allow')::INT, a.list, a.entry) AS place,

@@ -47,7 +47,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", use=fifth() != 0)
     return toxicity.score(docs, model).select(
-        "doc_id", (fifth() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(fifth() == 0, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 @query

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 
 def host(url: Column) -> Column:
-    """Lower-case host name of an address; null if there is none."""
-    found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#@\s]+)", 1))
+    """Lower-case host name of an address, without user name, port and final dots;
+    null if there is none."""
+    found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#\s]*@)?([^/:?#@\s]+)", 1))
+    found = F.regexp_replace(found, r"\.+$", "")
     return F.when(found != "", found)
 
 

@@ -19,7 +19,7 @@ def brute(captures, events):
         names = {}
         if url and "://" in url and t is not None:
             rest = url.split("://", 1)[1]
-            host = rest.split("/")[0].split(":")[0].split("?")[0].split("#")[0].lower()
+            host = rest.split("/")[0].split("?")[0].split("#")[0].rsplit("@", 1)[-1].split(":")[0].lower().rstrip(".")
             labels = host.split(".")
             if host:
                 for i in range(max(1, len(labels) - 1)):
@@ -38,6 +38,8 @@ def test_equals_replaying_the_lists(spark):
     hosts = ["a.example.org", "b.example.org", "example.org", "x.y.example.com", "localhost"]
     urls = [f"{s}://{h.upper() if r.random() < .2 else h}{p}" for h in hosts for s in ("http", "https")
             for p in ("", "/", "/blog", "/blog/x?y=1", ":80/blog#t", "?q", "/shop/")] + ["", "no address", "http://", None, "http:///x"]
+    urls += ["http://b.example.org@a.example.org/blog", "http://u:p@a.example.org/", "http://u@v@x.y.example.com:80/", "http://a.example.org./blog",
+             "http://example.org/@a.example.org", "http://example.org?@a.example.org", "http://./", "http://u@/x"]
     entries = hosts + ["example.com", "a.example.org/blog", "example.org/shop"]
     events = [(r.choice(["spam", "adult", "allow"]), r.choice(entries), r.randint(0, 30), r.random() < .6) for _ in range(120)]
     events += [events[0], (None, "example.org", 1, True), ("spam", None, 1, True), ("spam", "example.org", None, True)]
