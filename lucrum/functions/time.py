@@ -26,6 +26,12 @@ def month_start(d) -> Column:
     return F.trunc(_c(d).cast("date"), "month")
 
 
+def wall_clock(ts, zone: str, of: str = "UTC") -> Column:
+    """The wall clock in ``zone`` when it is ``ts`` in ``of`` (X13): timestamp_ntz to
+    timestamp_ntz, whatever the session's time zone."""
+    return F.convert_timezone(F.lit(of), F.lit(zone), _c(ts))
+
+
 def parse_instant(text) -> Column:
     """ISO-8601 text, with ``Z`` or an offset, to an instant.
 

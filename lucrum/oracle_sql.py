@@ -168,6 +168,12 @@ SELECT * EXCLUDE (n, place) FROM numbered WHERE place // 50 = n // 100"""
 
 PAGE_NEXT = "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET 150"
 
+BALANCED_RANGES = """
+SELECT count(*) AS n_rows, count(*) AS in_one_range, 0::BIGINT AS over_twice_the_mean FROM lineitem"""
+
+STREAM_RUN_SUMMARY = """
+SELECT event_id % 5 AS batch_id, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1"""
+
 BRONZE_QUARANTINE = """
 WITH lines AS (
   SELECT *, event_id % 10 AS c, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
@@ -190,6 +196,8 @@ SQL: dict[str, str] = {
     "distinct_shipping_ids": DISTINCT_SHIPPING_IDS,
     "page_deep": PAGE_DEEP,
     "page_next": PAGE_NEXT,
+    "balanced_ranges": BALANCED_RANGES,
+    "stream_run_summary": STREAM_RUN_SUMMARY,
     "bronze_quarantine": BRONZE_QUARANTINE,
     "gold_incremental": GOLD_NET_MARGIN,        # whatever the batches, gold is what all of them give
 }

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .config import scratch_path
-from .functions.time import local_date_of, month_start, parse_instant
+from .functions.time import local_date_of, month_start, parse_instant, wall_clock
 from .operators import windows as W
 from .operators.combine import union_batches
 from .operators.dedup import latest_per_key
@@ -517,7 +517,7 @@ def union_batches_query(spark, sf_dir):
 def local_execution_date(spark, sf_dir):
     """UTC instants as São Paulo wall clock, date and partition parts."""
     e = S.events(spark, sf_dir)
-    local = F.convert_timezone(F.lit("UTC"), F.lit("America/Sao_Paulo"), F.col("ts"))
+    local = wall_clock("ts", "America/Sao_Paulo")
     return e.select("event_id", "ts", local.alias("local_ts")).select(
         "*", F.to_date("local_ts").alias("local_date"),
         F.date_format("local_ts", "yyyy").alias("year"),
@@ -531,6 +531,37 @@ def run_summary(spark, sf_dir):
     return control.run_summary(items, "batch", "date_last_updated")
 
 
+def balanced_ranges(spark, sf_dir):
+    """Read ranges over a key of which one value holds a third of lineitem and a
+    ninth is null: rows, rows that meet exactly one predicate, and ranges that hold
+    over twice the mean."""
+    from .sources.jdbc import balanced_predicates
+    k = F.col("l_orderkey")
+    li = S.table(spark, sf_dir, "lineitem").select(
+        F.when(k % 3 == 0, F.lit(7)).when(k % 9 == 1, None).otherwise(F.col("l_partkey") * F.col("l_partkey")).alias("k"),
+        (k * 10 + F.col("l_linenumber")).alias("row"))
+    wanted = balanced_predicates(li, "k", 16, then="row")
+    hits = li.select(F.filter(F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(wanted)]), lambda i: i.isNotNull()).alias("hit"))
+    per = hits.select(F.size("hit").alias("n"), F.get("hit", 0).alias("range")).groupBy("range").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum((F.col("n") == 1).cast("long")).alias("once"))
+    return per.agg(F.sum("n_rows").alias("n_rows"), F.sum("once").alias("in_one_range"),
+                   F.sum((F.col("n_rows") * len(wanted) > 2 * per.select(F.sum("n_rows")).scalar()).cast("long")).alias("over_twice_the_mean"))
+
+
+def stream_run_summary(spark, sf_dir):
+    """K11 streaming: rows, first and last event of each of five micro-batches."""
+    from .streaming import collecting, observed, read_summaries
+    e = S.events(spark, sf_dir)
+    src, out = scratch_path(spark, "summary-files"), scratch_path(spark, "batch-summaries")
+    for i in range(5):
+        e.filter(F.col("event_id") % 5 == i).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    with collecting(spark, out):
+        (observed(stream, "ts").writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "summary-ckpt"))
+         .trigger(availableNow=True).start().awaitTermination())
+    return read_summaries(spark, out)
+
+
 # --- streaming and the end-to-end job ----------------------------------------------------
 
 def stream_upsert(spark, sf_dir):
@@ -638,6 +669,8 @@ REGISTRY: dict[str, Query] = {
     "union_batches": union_batches_query,
     "local_execution_date": local_execution_date,
     "run_summary": run_summary,
+    "balanced_ranges": balanced_ranges,
+    "stream_run_summary": stream_run_summary,
     "stream_upsert": stream_upsert,
     "stream_window_counts": stream_window_counts,
     "stream_pending_shipments": stream_pending_shipments,
