@@ -188,7 +188,7 @@ def count_phrases(spark: SparkSession, blocks: DataFrame, threshold: int, longes
     numbers = dict.fromkeys(key, 0)
     told: dict[tuple[int, int], list[DataFrame]] = {}                   # by shard and length
     hits: dict[int, list[DataFrame]] = {}
-    per_shard = max(8, blocks.count() // (2 * shards))
+    per_shard = max(1, blocks.count() // (2 * shards))
     cached: dict[int, DataFrame] = {}
     try:
         step = 0
@@ -223,8 +223,10 @@ def count_phrases(spark: SparkSession, blocks: DataFrame, threshold: int, longes
                 if n < longest:
                     got = _union([c for s, c in counts[n] if s > since]).groupBy(key[n]).agg(F.sum("n").alias("n")).where(
                         F.col("n") >= threshold)
-                    if lately[n]:
-                        got = got.join(_union(lately[n]), key[n], "left_anti")
+                    # those that got there in the rounds whose counts are looked at
+                    known = [df for s, df in reached[n].items() if s > step - 2 * shards]
+                    if known:
+                        got = got.join(_union(known), key[n], "left_anti")
                     got, more = _numbered(spark, got, key[n], numbers[n], step + 1)
                     if more:
                         reached[n][step] = got
