@@ -106,7 +106,7 @@ def build_gold(spark, batches):
     one; the tables' names, and the summary of the last refresh."""
     names = {n: f"lucrum_{uuid.uuid4().hex[:12]}" for n in ("items", "costs", "taxes", "shipments", "gold", "index")}
     keys = {"items": ORDER_KEYS, "costs": ["sku", "effective_date"], "taxes": ["effective_date"], "shipments": ["shipment_id"]}
-    layout = {"items": ["order_month"], "costs": ["effective_date"]}
+    layout = {"items": ["order_month"]}
     out, done = None, None
     for n, df in batches[0].items():
         tables.create_table(spark, names[n], df.schema, scratch_path(spark, names[n]), layout.get(n, ()))
