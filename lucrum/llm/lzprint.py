@@ -14,7 +14,10 @@ Null ids and repeated rows get fingerprints like others; extra columns pass.
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -26,7 +29,7 @@ from lucrum.llm.common import span_hashes, widened
 
 KEPT = 128            # hashes in a fingerprint
 DOCS_PER_PART = 500   # documents that are walked through one after another, about
-MOST_PARTS = 20_000   # parts of a table; the driver gets an id for each
+LEAST = -(1 << 63)    # no hash is below
 
 
 def parse(data: bytes, start: int, stop: int, seen: set[bytes], ends: list[int]) -> int:
@@ -147,43 +150,65 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "finger
 
 
 def in_order(docs: DataFrame, id_col: str, text_col: str, docs_per_part: int = DOCS_PER_PART) -> DataFrame:
-    """Rows (part, guest, id, text): documents in ascending id cut into parts of
-    about ``docs_per_part``; each part also holds, as its guest, the first
-    document of the part that follows (of the first part, after the last). Rows
-    without an id have no place in the order and are left out; rows of equal id
-    follow one another by text.
-
-    Only ids go through the two small jobs that place the cuts. The driver gets
-    one id for each part, ``MOST_PARTS`` at most; beyond that parts get longer,
-    and each is walked through row by row."""
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")).where("id is not null")
-    n, least = src.agg(F.count("*"), F.min("id")).first()
-    n_parts = min(MOST_PARTS, max(1, n // docs_per_part))
-    marks = src.agg(F.percentile_approx("id", [i / n_parts for i in range(n_parts)], max(10_000, 10 * n_parts))).first()[0]
-    # every mark is an id that occurs, so it is the first of its part
-    cuts = sorted({least, *marks}) if n else [0]
-    cut_array = np.array(cuts, np.int64)
+    """Rows (part, guest, id, hash, text): documents in ascending id, rows without
+    an id after all others, rows of one id in the order of their texts' hash, cut
+    into parts of about ``docs_per_part``; each part also holds, as its guest, the
+    first document of the part that follows (of the first part, after the last).
+
+    An id that fills several parts, or the rows without one, are cut by that hash,
+    so only rows of equal id and text are bound to one part; a part is walked
+    through row by row. The small jobs that place the cuts read ids, and hashes
+    where an id is cut. The driver gets one (id, hash) for each part; beyond
+    ``docs_per_part`` squared documents the number of parts and their length both
+    grow with the root of the table."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    n, n_ids = src.agg(F.count("*"), F.count("id")).first()
+    docs_per_part = max(docs_per_part, isqrt(n))
+    n_parts = max(1, n_ids // docs_per_part)
+    marks = src.agg(F.min("id"), F.percentile_approx("id", [i / n_parts for i in range(n_parts)], max(10_000, 10 * n_parts))).first()
+    # every mark is an id that occurs; one that fills several parts is met as often
+    slices = Counter(marks[1] or ())
+    if n_ids:
+        slices[marks[0]] += 0 if marks[0] in slices else 1
+    if n > n_ids:
+        slices[None] = max(1, (n - n_ids) // docs_per_part)
+    cuts = [(key, LEAST) for key, k in slices.items() if k == 1 and key is not None]
+    split = [(key, k) for key, k in slices.items() if k > 1 or key is None]
+    if split:
+        wide = docs.sparkSession.createDataFrame(split, "key long, k int")
+        piece = F.floor((F.col("hash") / 2.0 ** 64 + 0.5) * F.col("k"))
+        cuts += [(r.key, r.least) for r in src.select("id", "hash").join(F.broadcast(wide), F.col("id").eqNullSafe(F.col("key")))
+                 .groupBy("key", piece.alias("piece")).agg(F.min("hash").alias("least")).collect()]
+    cuts = sorted(((key is None, key or 0, least) for key, least in cuts)) or [(False, 0, LEAST)]
 
     @F.pandas_udf("int")
-    def part_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cut_array, ids.to_numpy(), "right") - 1, dtype="int32")
-
-    heads = docs.sparkSession.createDataFrame([(x, (i - 1) % len(cuts)) for i, x in enumerate(cuts)], "head long, before int")
-    return (src.withColumn("part", part_of("id"))
-            .join(F.broadcast(heads), F.col("id") == F.col("head"), "left")
-            .withColumn("seat", F.expr("if(head is null, array(struct(part, 0 as guest)), "
-                                       "array(struct(part, 0 as guest), struct(before as part, 1 as guest)))"))
-            .select(F.explode("seat").alias("seat"), "id", "text").select("seat.part", "seat.guest", "id", "text")
-            .repartition("part").sortWithinPartitions("part", "guest", "id", "text"))
+    def part_of(none: pd.Series, ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(cuts, p) - 1 for p in zip(none, ids, hashes)], dtype="int32")
+
+    heads = docs.sparkSession.createDataFrame(
+        [(None if none else key, least, (i - 1) % len(cuts)) for i, (none, key, least) in enumerate(cuts)], "head long, least long, before int")
+    whole = heads.where(F.col("least") == LEAST).select("head", F.col("before").alias("one"))
+    placed = src.withColumn("part", part_of(F.col("id").isNull(), F.coalesce("id", F.lit(0)), F.col("hash"))).join(
+        F.broadcast(whole), F.col("id") == F.col("head"), "left").drop("head").withColumn("two", F.lit(None).cast("int"))
+    if split:
+        pieces = heads.where(F.col("least") != LEAST).select("head", "least", F.col("before").alias("other"))
+        placed = placed.join(F.broadcast(pieces), F.col("id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("least")), "left").withColumn(
+            "two", F.col("other"))
+    seat = F.expr("if(coalesce(one, two) is null, array(struct(part, 0 as guest)), "
+                  "array(struct(part, 0 as guest), struct(coalesce(one, two) as part, 1 as guest)))")
+    return (placed.withColumn("seat", seat)
+            .select(F.explode("seat").alias("seat"), "id", "hash", "text").select("seat.part", "seat.guest", "id", "hash", "text")
+            .repartition("part").sortWithinPartitions("part", "guest", F.col("id").asc_nulls_last(), "hash", "text"))
 
 
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT,
                docs_per_part: int = DOCS_PER_PART) -> DataFrame:
-    """For each document, in ascending id: ``edited``, its text with the last
-    quarter (rounded down) of its characters replaced by as many of the next
-    document's first characters, or all of them; the fingerprints of both texts;
-    their likeness, and that of the document and the next.
+    """For each document, in ascending id (rows without one last, rows of one id by
+    their texts' hash): ``edited``, its text with the last quarter (rounded down)
+    of its characters replaced by as many of the next document's first characters,
+    or all of them; the fingerprints of both texts; their likeness, and that of
+    the document and the next.
 
     Columns: ``id_col``, n_chars, edited, fingerprint, edited_fingerprint,
     near_edited, near_next. A document on its own is its own next one."""
@@ -195,7 +220,7 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out: list[tuple] = []
         held = None     # the document whose next one isn't known yet
         for batch in batches:
-            for part, guest, key, text in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
+            for part, guest, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(4)):
                 text = text.as_py()
                 if held and held[0] != part:
                     held = None

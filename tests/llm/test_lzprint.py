@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from lucrum.llm import lzprint as lz
 
@@ -51,7 +52,8 @@ def test_branches_and_strings():
 
 
 def brute(rows):
-    rows = sorted(((k, t or "") for k, t in rows if k is not None))
+    place = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)  # noqa: E731 - as a signed number
+    rows = sorted(((k, t or "") for k, t in rows), key=lambda x: (x[0] is None, x[0] or 0, place(x[1])))
     out = []
     for i, (key, text) in enumerate(rows):
         after = rows[(i + 1) % len(rows)][1]
@@ -67,8 +69,20 @@ def test_neighbours(spark, make_docs, odd_rows, per_part):
     r = random.Random(3)
     rows = [(int(r.expovariate(0.01)) * 7 + 20, " ".join(r.choice(["the", "of", "and", "word"]) for _ in range(r.randint(0, 60)))) for _ in range(60)]
     rows = list({k: (k, t) for k, t in rows + odd_rows[:6] + odd_rows[6:9] if k is not None}.values()) + [(None, "x"), (3, "a"), (3, "b")]
-    got = sorted(map(tuple, lz.neighbours(make_docs(rows), docs_per_part=per_part).collect()), key=lambda x: (x[0], x[2], x[1]))
-    assert got == sorted(brute(rows), key=lambda x: (x[0], x[2], x[1]))
+    rows += [(None, f"no id {i}") for i in range(9)] + [(None, None), (None, "x")]
+    got = lz.neighbours(make_docs(rows), docs_per_part=per_part).collect()
+    assert len(got) == len(rows) and sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows)))
+
+
+@pytest.mark.parametrize("hot", [None, 50, 0, 200])
+def test_a_third_of_the_rows_under_one_id(spark, make_docs, hot):
+    """Rows of one id, or without one, spread over parts like others."""
+    rows = [(i, f"text {i * i} " * 3) for i in range(100, 200)] + [(hot, f"hot {i * 7} " * (i % 4)) for i in range(60)]
+    docs = make_docs(rows)
+    parts = [r["count"] for r in lz.in_order(docs, "doc_id", "text", 10).where("guest = 0").groupBy("part").count().collect()]
+    assert len(parts) >= 8 and max(parts) <= 40
+    got = lz.neighbours(docs, docs_per_part=10).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute(rows)))
 
 
 def test_one_document_and_none(spark, make_docs):
