@@ -10,7 +10,9 @@ its words are due, and documents are range-sorted by that time.
 
 Everything is DataFrame work on (id, source, size) rows: running sums within
 buckets of a source's hash range, and over the buckets, so that a source of any
-size is spread over many tasks. Reruns agree.
+size is spread over many tasks. Rows are hashed by id and text, so rows without
+an id, or of one id, spread as well; only rows equal in both share a bucket.
+Reruns agree.
 
 Null texts count as empty. A null source is a source of its own. Null ids and
 repeated rows are rows like others. Empty documents take no words. Without
@@ -100,21 +102,24 @@ def due(share: Column, knots: list[tuple[float, float]]) -> Column:
 
 def allocate(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None,
              share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = WEIGHTS,
-             schedules: tuple[list, ...] = SCHEDULES, split: bool = True, key: Column | None = None) -> DataFrame:
+             schedules: tuple[list, ...] = SCHEDULES, split: bool = True, key: Column | None = None,
+             text_col: str = "text") -> DataFrame:
     """One row for each row of docs: ``id_col``, source, size, weight,
     source_size, target and ``copies``: for each epoch in which the mix takes
     words of it, (epoch, words, position), position the time it is due, 0 to 1.
 
     With ``split`` the document at a target's end gives only the words up to it;
     without, whole documents are taken whose middle lies before the end.
-    ``size``: words of a row. ``key``: a column to carry along."""
+    ``size``: words of a row, by default those of ``text_col``. ``key``: a column
+    to carry along."""
     if len(schedules) != len(weights) or min(weights) <= 0 or share < 0 or cap <= 0:
         raise ValueError("weights and cap must be above 0, with a schedule for each weight")
     spark = docs.sparkSession
+    text = [F.col(f"`{text_col}`").cast("string")] if text_col in docs.columns else []
     rows = stored(spark, docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"),
-        F.coalesce(size if size is not None else n_words(), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.col(f"`{id_col}`")).alias("place"), *([key.alias("key")] if key is not None else [])), "sized")
+        F.coalesce(size if size is not None else n_words(text_col), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(F.col(f"`{id_col}`"), *text).alias("place"), *([key.alias("key")] if key is not None else [])), "sized")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sources = stored(spark, numbered(sources, "source").withColumn(
         "weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("number") % len(weights) + 1).cast("int"))), "sources")

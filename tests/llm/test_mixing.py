@@ -71,6 +71,19 @@ def test_reruns_agree_and_empty_tables(spark, make_docs):
     assert [r.target for r in mixing.allocate(make_docs([(1, "", "a"), (2, None, None)])).collect()] == [0.0, 0.0]
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_rows_of_one_id_spread(spark, make_docs, hot):
+    """The running sums of a third of the rows under one id, or without one, are
+    spread over the hash range: their places in the mix are those of a shuffle."""
+    rows = [(i, "w " * 10, "a") for i in range(100, 700)] + [(hot, f"w{i} " * 10, "a") for i in range(300)]
+    got = mixing.allocate(make_docs(rows), share=0.5).collect()
+    assert len(got) == 900 and sum(c.words for r in got for c in r.copies) == 4500
+    own = sorted(c.position for r in got if r.doc_id == hot for c in r.copies)
+    assert 100 < len(own) < 200 and own[0] < 0.1 and own[-1] > 0.9 and max(b - a for a, b in zip(own, own[1:])) < 0.1
+    sums = mixing.allocate(make_docs([(hot, f"w{i} " * (i % 7), "a") for i in range(200)])).collect()
+    assert sum(c.words for r in sums for c in r.copies) == round(1.5 * sum(i % 7 for i in range(200)))
+
+
 def test_numbered_is_in_code_point_order(spark):
     names = [f"s{i}" for i in range(500)] + ["é", "z", "Z", "\U0001f600", "￿", None]
     df = spark.createDataFrame([(n,) for n in names], "source string")
