@@ -9,13 +9,14 @@ ratios scaled to length 1, and a ridge logistic regression with balanced
 classes is fitted to these vectors. Label, language, source and id are no
 inputs of a score.
 
-The fit uses at most ``max_rows`` labelled rows, those of smallest id hash, in
+The fit uses at most ``max_rows`` labelled texts, those of smallest id hash, in
 one task; scoring runs in every task of the documents' scan over whole texts.
 
 Null texts count as empty; an empty text has no features and scores by the
 intercept. Null ids, repeated rows and extra columns pass through. Label rows
-with a null id or label are not used; of repeated label rows each counts.
-Without labelled rows of both classes every score is 0.
+with a null id or label are not used; of equal label rows, and of equal texts of
+a labelled id, one counts. Without labelled rows of both classes every score is
+0; without a feature in ``LEAST_DOCS`` texts the model is its intercept.
 """
 
 from __future__ import annotations
@@ -146,42 +147,51 @@ def train(rows: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray, np.nda
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text", use: Column | None = None, max_rows: int = MAX_ROWS) -> Linear | None:
     """Model from labelled texts. ``use``: condition on ``id_col`` that a label
-    row must meet. The sample of at most ``max_rows`` label rows is broadcast,
-    their features meet in one task, and the driver gets the kept features."""
+    row must meet. The sample is at most ``max_rows`` different labelled texts, of
+    smallest id hash; an id that many rows repeat counts each different text once.
+    The sample's ids and text hashes are broadcast, its features meet in one task,
+    and the driver gets the kept features."""
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
     if use is not None:
         known = known.where(use)
-    known = (known.where("doc_id is not null and label in (0, 1)")
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows))
+    first = [F.xxhash64("doc_id"), "doc_id", "label"]
+    known = known.where("doc_id is not null and label in (0, 1)").distinct().orderBy(*first).limit(max_rows)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    # bounded by label rows at first, and then by the texts that they meet
+    known = (texts.select("doc_id", "hash").join(F.broadcast(known), "doc_id").distinct()
+             .orderBy(*first, "hash").limit(max_rows))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, len(batch), 64):
                 part = batch.slice(i, 64)
                 yield pa.RecordBatch.from_pydict(
-                    {"one": [0] * len(part), "doc_id": part.column(0), "label": part.column(1),
-                     "found": [np.unique(features(t)).tobytes() for t in part.column(2).to_pylist()]}, schema=found)
+                    {"doc_id": part.column(0), "label": part.column(1), "hash": part.column(2),
+                     "found": [np.unique(features(t)).tobytes() for t in part.column(3).to_pylist()]}, schema=found)
 
     def learn(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("doc_id", "ascending"), ("found", "ascending")])
         model = train([np.frombuffer(x, np.uint32) for x in rows["found"].to_pylist()], rows["label"].to_numpy())
         if model is None:
             return learnt.empty_table()
-        index, weight, ratio, bias = model
-        return pa.table({"index": index.astype(np.int32), "weight": weight, "ratio": ratio,
-                         "bias": np.full(len(index), bias)}, schema=learnt)
-
-    found = pa.schema([("one", pa.int32()), ("doc_id", pa.int64()), ("label", pa.int32()), ("found", pa.binary())])
-    learnt = pa.schema([("index", pa.int32()), ("weight", pa.float64()), ("ratio", pa.float64()), ("bias", pa.float64())])
-    rows = (texts.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
-            .mapInArrow(extract, "one int, doc_id long, label int, found binary")
-            .groupBy("one").applyInArrow(learn, "index int, weight double, ratio double, bias double").collect())
+        index, weight, ratio, bias = model      # the intercept is a row of its own
+        return pa.table({"index": np.append(index, -1).astype(np.int32), "weight": np.append(weight, bias),
+                         "ratio": np.append(ratio, 1.0)}, schema=learnt)
+
+    found = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("hash", pa.int64()), ("found", pa.binary())])
+    learnt = pa.schema([("index", pa.int32()), ("weight", pa.float64()), ("ratio", pa.float64())])
+    rows = (texts.join(F.broadcast(known), ["doc_id", "hash"]).select("doc_id", "label", "hash", "text")
+            .mapInArrow(extract, "doc_id long, label int, hash long, found binary")
+            .groupBy("doc_id", "label", "hash").agg(F.first("found").alias("found"))        # equal rows, on the way
+            .select(F.lit(0).alias("one"), "doc_id", "label", "found")
+            .groupBy("one").applyInArrow(learn, "index int, weight double, ratio double").collect())
     if not rows:
         return None
-    index, weight, ratio, bias = (np.array(x) for x in zip(*rows))
-    return Linear(index, weight, ratio, float(bias[0]))
+    rows.sort()
+    bias = rows[0].weight
+    index, weight, ratio = (np.array([r[i] for r in rows[1:]], t) for i, t in enumerate((np.int64, float, float)))
+    return Linear(index, weight, ratio, float(bias))
 
 
 def score(docs: DataFrame, model: Linear | None, text_col: str = "text", score_col: str = "score") -> DataFrame:
