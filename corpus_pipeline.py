@@ -2,12 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read back as the next one's docs. All but the last return the
-columns of documents. Null texts and ids are kept unless a stage says otherwise.
+columns of documents, further ones included. Null texts and ids are kept unless a
+stage says otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lucrum.llm import bpe, jaccard, mixing, secrets, toxicity
@@ -17,52 +18,72 @@ from lucrum.llm.queries import fifth, table, vocabulary
 ORACLE_SQL = None       # no stage but the third can be expressed in SQL
 
 
-def _text_hash():
+def _text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic; all, if there is nothing
     to learn from."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", use=fifth() != 0)
-    return toxicity.score(docs, model, score_col="__toxicity").where(F.col("__toxicity") < 0.5).select(*docs.columns)
+    score = _free(docs, "toxicity")
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).select(*_columns(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (runs
-    of five words, similarity 0.8); of repeated rows one. Documents without an
-    id can't be told apart and stay."""
-    groups = jaccard.similar(docs, words=5, percent=80)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    again = Window.partitionBy("doc_id", "__hash").orderBy("doc_id")
-    kept = (kept.withColumn("__hash", _text_hash()).withColumn("__again", F.row_number().over(again))
-            .where("__again = 1").select(*docs.columns))
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies (runs of five words, similarity
+    0.8): that of the smallest id, those without an id last, then by a hash of id
+    and text. Documents are told apart by that 64-bit hash, so copies under a
+    repeated id or without one go like others; of rows equal in id and text one
+    stays. Texts without words are near to nothing."""
+    row = _free(docs, "row_key")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", _text_hash()))
+    groups = jaccard.similar(keyed, words=5, percent=80, id_col=row).select(F.col(row).alias("own"), F.col("component_id").alias("group")).distinct()
+    named = keyed.select(F.col(row).alias("key"), "doc_id").join(groups, F.col("key") == F.col("own"))
+    first = named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))["key"].alias("first")).select("first")
+    again = _free(keyed, "again")
+    return (keyed.join(first, F.col(row) == F.col("first"), "left_semi")
+            .withColumn(again, F.row_number().over(Window.partitionBy(row).orderBy(row)))
+            .where(F.col(again) == 1).select(*_columns(docs)))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret found replaced by a mask; n_chars is the
     new text's."""
     masked = secrets.redact(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*_columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in order of training: whole documents, those of sources that weigh
-    more up to twice, those beyond their source's target not at all."""
-    taken = mixing.allocate(docs, split=False, key=_text_hash()).where(F.size("copies") > 0)
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "copies").dropDuplicates(["__id", "__key"])
-    rows = docs.withColumn("__hash", _text_hash())
-    return (rows.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__key")))
-            .withColumn("__copy", F.explode("copies")).orderBy("__copy.position").select(*docs.columns))
+    more up to twice, those beyond their source's target not at all. Rows equal in
+    id, source and text count as often as they occur; the first gives the other
+    columns."""
+    key, place, copy = (_free(docs, n) for n in ("mix_key", "mix_place", "mix_copy"))
+    # a struct, because structs with null fields are equal
+    taken = mixing.allocate(docs, split=False, key=_text_hash()).where(F.size("copies") > 0).select(
+        F.struct("doc_id", "source", F.col("key").alias("hash")).alias(key), "copies")
+    rows = docs.withColumn(key, F.struct("doc_id", "source", _text_hash().alias("hash")))
+    one = rows.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(place) == 1)
+    return one.join(taken, key).withColumn(copy, F.explode("copies")).orderBy(f"{copy}.position").select(*_columns(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
-    rows = docs.select("doc_id", "source", "lang", "text", _text_hash().alias("__hash"))
+    rows = docs.select("doc_id", "source", "lang", "text", _text_hash().alias("hash"))
     tokens = bpe.encode(rows, vocabulary(), decoded_col="decoded")
-    return tokens.select("doc_id", "source", "lang", "n_tokens", "ids", (F.xxhash64("decoded") == F.col("__hash")).alias("round_trip"))
+    return tokens.select("doc_id", "source", "lang", "n_tokens", "ids", (F.xxhash64("decoded") == F.col("hash")).alias("round_trip"))
 
 
 STAGES = [
