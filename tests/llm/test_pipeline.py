@@ -44,6 +44,34 @@ def test_empty_documents(spark):
     assert docs.count() == 0
 
 
+A, B = "one two three four five six seven eight nine", "a b c d e f g h i j"
+
+
+@pytest.mark.parametrize("rows,kept", [
+    ([(1, A), (7, A), (7, B)], [(1, A), (7, B)]),               # a copy under an id that another text has too
+    ([(0, B), (1, A), (1, B)], [(0, B), (1, A)]),
+    ([(5, A), (None, A), (None, A)], [(5, A)]),                 # copies without an id
+    ([(None, A), (None, A), (None, B)], [(None, A), (None, B)]),
+    ([(3, A), (3, A), (2, None), (4, None), (None, "")], [(3, A), (2, None), (4, None), (None, "")]),
+])
+def test_near_copies_are_told_apart_by_row(spark, rows, kept):
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row_key int").withColumn("again", F.lit(0))
+    out = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, kept))
+
+
+def test_repeated_rows_keep_their_sources_target(spark):
+    """A row that a third of the table repeats gives each of its copies once."""
+    rows = [(i, f"w{i} " * 10, "a") for i in range(40)] + [(None, "same " * 10, "a")] * 20 + [(None, "same " * 10, "b")] * 5 + [(1, "other " * 10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("mix_key", F.lit(1))
+    out = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert out.columns == docs.columns
+    words = {r.source: r["count"] * 10 for r in out.groupBy("source").count().collect()}
+    from lucrum.llm import mixing
+    target = {r.source: r.target for r in mixing.allocate(docs).select("source", "target").distinct().collect()}
+    assert set(words) == set(target) and all(abs(words[s] - target[s]) <= 10 for s in words)
+
+
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_has_one_row_for_each_input_row(spark, name):
     out = REGISTRY[name](spark, SF)
