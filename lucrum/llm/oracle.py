@@ -38,13 +38,15 @@ FROM captured c LEFT JOIN hits h ON c.page_id = h.page_id AND h.place = 1
 """
 
 _WORDY = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("'", "''")
+_MIXED = " AND ".join(f"regexp_matches(right(part, 40), '{c}')" for c in ("[a-z]", "[A-Z]", "[0-9]"))
 _KINDS = [("assign", _WORDY, 2, "length(part) >= 6", 1), ("access", "AKIA[A-Z0-9]+", 0, "length(part) >= 20", 2),
           ("hex", "[0-9a-f]{24,}", 0, "true", 3),
-          ("key", "[A-Za-z0-9+/=_-]{40,}", 0, "length(part) = 40 AND regexp_matches(part, '[a-z]') AND regexp_matches(part, '[A-Z]')"
-           " AND regexp_matches(part, '[0-9]')", 4),
+          # a run of exactly 40, or the last 40 of a run of a key's own characters that stand at its start or behind a slash
+          ("key", "[A-Za-z0-9+/=_-]{40,}", 0, f"length(part) = 40 AND {_MIXED}", 4),
+          ("key", "[A-Za-z0-9+/]{40,}", 0, f"(length(part) = 40 OR substr(part, length(part) - 40, 1) = '/') AND {_MIXED}", 4),
           ("endpoint", r"https?://[A-Za-z0-9.-]+(:[0-9]+)?(/[A-Za-z0-9_./?&=%#-]*)?", 0, "true", 5)]
-_FOUND = "\nUNION ALL ".join(f"""
-  SELECT doc_id, '{kind}' AS kind, {number} AS number, stop - length(hit) AS start, stop AS "end" FROM (
+_FOUND = "\nUNION ".join(f"""
+  SELECT doc_id, '{kind}' AS kind, {number} AS number, stop - {"40" if kind == "key" else "length(hit)"} AS start, stop AS "end" FROM (
     SELECT doc_id, hit, part, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM (
       SELECT doc_id, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS hit, unnest(parts) AS part,
              unnest(list_slice(gaps, 1, len(hits))) AS gap FROM (

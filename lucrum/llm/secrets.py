@@ -108,15 +108,18 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     overlap or touch are replaced together. Rows without findings stay as they
     are."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    own = find_spans(docs, id_col, text_col, reach).groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__found"))
+    row, found = "row", "found"
+    while row in docs.columns or found in docs.columns:
+        row, found = row + "_", found + "_"
+    own = find_spans(docs, id_col, text_col, reach).groupBy(F.col("row").alias(row)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(found))
     begin = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("upto"))
     body = F.col(f"`{text_col}`")
     fresh = lambda acc, s: F.struct(F.concat(acc["done"], F.substring(body, (acc["upto"] + 1).cast("int"), (s["start"] - acc["upto"]).cast("int")),
                                              F.lit(mask)).alias("done"), s["end"].alias("upto"))
     more = lambda acc, s: F.struct(acc["done"].alias("done"), F.greatest(acc["upto"], s["end"]).alias("upto"))
-    masked = F.aggregate("__found", begin, lambda acc, s: F.when((s["start"] <= acc["upto"]) & (acc["upto"] > 0), more(acc, s)).otherwise(fresh(acc, s)),
+    masked = F.aggregate(found, begin, lambda acc, s: F.when((s["start"] <= acc["upto"]) & (acc["upto"] > 0), more(acc, s)).otherwise(fresh(acc, s)),
                          lambda acc: F.concat(acc["done"], F.substring(body, (acc["upto"] + 1).cast("int"), F.length(body))))
-    out = (docs.withColumn("__row", _row_key(id_col, text)).join(own.withColumnRenamed("row", "__row"), "__row", "left")
-           .withColumn(text_col, F.when(F.col("__found").isNull(), body).otherwise(masked)))
+    out = (docs.withColumn(row, _row_key(id_col, text)).join(own, row, "left")
+           .withColumn(text_col, F.when(F.col(found).isNull(), body).otherwise(masked)))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))
