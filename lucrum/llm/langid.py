@@ -10,9 +10,10 @@ top-level domain's, that by all pages'; a page's own share is taken out of every
 sum that judges it.
 
 Texts are scored in every task of the scan; the rest is grouped aggregation and
-joins. The n-gram models are fitted on at most ``max_rows`` labelled documents,
-those of smallest id hash. A model has a fixed number of hashed features for
-each language; languages are the labels of that sample.
+joins. The n-gram models are fitted on at most ``max_rows`` labelled documents of
+each language, those of smallest id hash, so every language with a labelled
+document can be answered, however rare. A model has a fixed number of hashed
+features, half a megabyte, for each language.
 
 Null or empty text gives no evidence, nor do a missing declaration, code or
 host; with no evidence at all the answer is the commonest language. Null ids and
@@ -27,7 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lucrum.llm.common import stored
@@ -35,8 +36,7 @@ from lucrum.llm.urlfilter import host
 
 ORDERS = (1, 2, 3)
 BITS = 16
-MAX_ROWS = 4_000
-MOST_LANGUAGES = 400
+MAX_ROWS = 1_000        # labelled documents that a language's model is fitted on, at most
 CHUNK = 1 << 20
 TEMPER = 0.5            # n-grams overlap: each counts for half
 SMOOTH = {"host": 4.0, "domain": 8.0, "tld": 16.0}      # pages that the wider prior is worth
@@ -79,9 +79,12 @@ class TextModel:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         max_rows: int = MAX_ROWS) -> TextModel | None:
     """n-gram counts by language over the sample, summed by group; what reaches
-    the driver is a fixed table for each language."""
+    the driver is a fixed table for each language. Each task forwards at most
+    ``max_rows`` ids of a language to the window that takes the sample."""
+    place = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     rows = (labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-            .where("id is not null and lang is not null").orderBy(F.xxhash64("id"), "id", "lang").limit(max_rows).distinct())
+            .where("id is not null and lang is not null").distinct()
+            .withColumn("place", F.row_number().over(place)).where(F.col("place") <= max_rows).drop("place"))
     texts = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
                             F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
@@ -100,9 +103,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         return pa.table({"lang": rows["lang"][:1], "counts": [own.tobytes()]})
 
     got = (texts.join(F.broadcast(rows), ["id", "lang"]).select("lang", "text").mapInArrow(count, "lang string, counts binary")
-           .groupBy("lang").applyInArrow(add, "lang string, counts binary").limit(MOST_LANGUAGES + 1).collect())
-    if len(got) > MOST_LANGUAGES:
-        raise ValueError(f"the sample has over {MOST_LANGUAGES} languages")
+           .groupBy("lang").applyInArrow(add, "lang string, counts binary").collect())
     got.sort(key=lambda r: r.lang)
     return TextModel([r.lang for r in got], np.stack([np.frombuffer(r.counts, np.int64) for r in got])) if got else None
 

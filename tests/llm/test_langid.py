@@ -5,8 +5,8 @@ from lucrum.llm import langid
 
 def test_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    model = langid.fit(docs.where("doc_id % 5 != 0"), max_rows=1000)
-    rows = docs.where("doc_id % 5 = 0 and length(text) > 200").select("text", "lang").limit(400).collect()
+    model = langid.fit(docs.where("doc_id % 5 != 0"), max_rows=250)
+    rows = docs.where("doc_id % 5 = 0 and length(text) > 200").orderBy("doc_id").select("text", "lang").limit(400).collect()
     right = [model.languages[int(np.argmax(model.posterior(r.text)))] == r.lang for r in rows]
     assert np.mean(right) > 0.95
 
@@ -69,6 +69,15 @@ def test_priors_equal_brute_force(spark):
         assert np.isclose(out[i].confidence, p.max() / p.sum(), rtol=1e-6)
 
 
+def test_rare_languages_have_models(spark):
+    """Two documents among a thousand, and more languages than fit a small table."""
+    rare = spark.createDataFrame([(5000 + i, "agus an bhfuil sé anseo", "ga") for i in range(2)], "doc_id long, text string, lang string")
+    many = spark.range(1000).selectExpr("id as doc_id", "'the cat and the dog' as text", "if(id < 550, 'en', concat('x', id)) as lang")
+    model = langid.fit(many.unionByName(rare), max_rows=20)
+    assert len(model.languages) == 452 and "ga" in model.languages
+    assert model.languages[int(np.argmax(model.posterior("bhfuil sé anseo agus")))] == "ga"
+
+
 def test_nothing_to_learn_from_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "https://a.example.org/", page("en", "the"))], "page_id long, url string, html string")
     assert langid.fit(docs(spark).limit(0)) is None
