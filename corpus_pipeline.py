@@ -68,15 +68,22 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in order of training: whole documents, those of sources that weigh
     more up to twice, those beyond their source's target not at all. Rows equal in
-    id, source and text count as often as they occur; the first gives the other
-    columns."""
-    key, place, copy = (_free(docs, n) for n in ("mix_key", "mix_place", "mix_copy"))
+    id, source and text count as often as they occur; one of them gives the other
+    columns. Only texts that occur again are shuffled to tell such rows apart."""
+    key, place, copy, taken = (_free(docs, n) for n in ("mix_key", "mix_place", "mix_copy", "mix_taken"))
     # a struct, because structs with null fields are equal
-    taken = mixing.allocate(docs, split=False, key=_text_hash()).where(F.size("copies") > 0).select(
-        F.struct("doc_id", "source", F.col("key").alias("hash")).alias(key), "copies")
+    allocated = mixing.allocate(docs, split=False, key=_text_hash()).select(
+        F.struct("doc_id", "source", F.col("key").alias("hash")).alias(key), F.col("copies.position").alias(taken))
     rows = docs.withColumn(key, F.struct("doc_id", "source", _text_hash().alias("hash")))
-    one = rows.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(place) == 1)
-    return one.join(taken, key).withColumn(copy, F.explode("copies")).orderBy(f"{copy}.position").select(*_columns(docs))
+    found = stored(spark, allocated.groupBy(key).agg(F.count("*").alias("n"), F.first(taken).alias(taken)), "mix-keys")
+    mixed = rows.join(found.where((F.col("n") == 1) & (F.size(taken) > 0)).select(key, taken), key)
+    again = found.where("n > 1").select(key)
+    if not again.isEmpty():
+        one = (rows.join(again, key, "left_semi").withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+               .where(F.col(place) == 1).drop(place))
+        mixed = mixed.unionByName(one.join(allocated.where(F.size(taken) > 0).join(again, key, "left_semi"), key))
+    copies = mixed.select(*_columns(docs), F.explode(taken).alias(copy))
+    return copies.orderBy(copy).select(*_columns(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
