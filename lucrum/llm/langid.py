@@ -37,6 +37,7 @@ from lucrum.llm.urlfilter import host
 ORDERS = (1, 2, 3)
 BITS = 16
 MAX_ROWS = 1_000        # labelled documents that a language's model is fitted on, at most
+SLICES = 16
 CHUNK = 1 << 20
 TEMPER = 0.5            # n-grams overlap: each counts for half
 SMOOTH = {"host": 4.0, "domain": 8.0, "tld": 16.0}      # pages that the wider prior is worth
@@ -79,12 +80,15 @@ class TextModel:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         max_rows: int = MAX_ROWS) -> TextModel | None:
     """n-gram counts by language over the sample, summed by group; what reaches
-    the driver is a fixed table for each language. Each task forwards at most
-    ``max_rows`` ids of a language to the window that takes the sample."""
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    the driver is a fixed table for each language. The sample is taken within
+    slices of a language's ids first, so a language brings at most ``SLICES``
+    times ``max_rows`` ids to one task, whatever its share."""
+    place = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.xxhash64("id"), "id"))
     rows = (labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
             .where("id is not null and lang is not null").distinct()
-            .withColumn("place", F.row_number().over(place)).where(F.col("place") <= max_rows).drop("place"))
+            .withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
+            .withColumn("place", place("slice")).where(F.col("place") <= max_rows)
+            .withColumn("place", place()).where(F.col("place") <= max_rows).drop("slice", "place"))
     texts = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
                             F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
