@@ -14,14 +14,17 @@ the same as the batch anti-join (:func:`lucrum.plans.incremental.pending_by_id`)
 however the files fall into micro-batches and whether the run was interrupted.
 
 State is a few numbers an id, and an id that is done is kept: an order may name it
-again. Ids are dealt by hash and their rows reach the function in Arrow batches of
-bounded size, of which it keeps one flag.
+again. Ids are dealt by hash into :data:`BUCKETS` buckets, which are the keys of the
+state: a call of the function takes all rows of a bucket in a micro-batch and works on
+arrays, so calls don't grow with the ids. The buckets' number is part of the
+checkpoint's state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -32,27 +35,40 @@ from ..sinks.tables import create_table, upsert
 INPUT = T.StructType([T.StructField("shipping_id", T.LongType()), T.StructField("fetched", T.BooleanType())])
 WORK_LIST = T.StructType([T.StructField("shipping_id", T.LongType()), T.StructField("offers", T.IntegerType()),
                           T.StructField("done", T.BooleanType()), T.StructField("step", T.IntegerType())])
-STATE = "offers int, done boolean, step int"
+# one entry an id, in the order of ids
+FIELDS = {"ids": "<i8", "offers": "<i4", "done": "?", "step": "<i4", "due": "<i8"}
+STATE = ", ".join(f"{c} binary" for c in FIELDS)
 DAY_MS = 86_400_000
+BUCKETS = 4_096
 
 
 def offer(retry_ms: int):
-    """The state transition of one id."""
+    """The state transition of one bucket of ids."""
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        offers, done, step = state.get if state.exists else (0, False, 0)
-        before = (offers, done)
-        if state.hasTimedOut:
-            offers += not done
-        else:
-            fetched = any(bool(f["fetched"].any()) for f in frames)
-            done = done or fetched
-            offers += not done and offers == 0
-        if (offers, done) != before or not state.exists:
-            step += 1
-            yield pd.DataFrame({"shipping_id": [key[0]], "offers": [offers], "done": [done], "step": [step]})
-        state.update((offers, done, step))
-        if not done:
-            state.setTimeoutDuration(retry_ms)
+        kept = state.get if state.exists else (b"",) * len(FIELDS)
+        ids, offers, done, step, due = (np.frombuffer(bytes(b), kind) for b, kind in zip(kept, FIELDS.values()))
+        known, now = len(ids), state.getCurrentProcessingTimeMs()
+        named, fetched = np.zeros(0, "<i8"), np.zeros(0, "<i8")
+        for f in () if state.hasTimedOut else frames:
+            at = f["shipping_id"].to_numpy("<i8")
+            named = np.union1d(named, at)
+            fetched = np.union1d(fetched, at[f["fetched"].eq(True).to_numpy(bool)])
+        new = np.setdiff1d(named, ids)
+        order = np.argsort(np.concatenate([ids, new]), kind="stable")
+        grown = lambda a: np.concatenate([a, np.zeros(len(new), a.dtype)])[order]
+        ids, offers, done, step, due = np.concatenate([ids, new])[order], grown(offers), grown(done), grown(step), grown(due)
+        here, before, was = np.isin(ids, named), offers.copy(), done.copy()
+        done |= np.isin(ids, fetched)
+        again = ~here & ~done & (due <= now)        # offered before, and nothing came
+        offers[(here & ~done & (offers == 0)) | again] += 1
+        changed = (order >= known) | (offers != before) | (done != was)
+        step[changed] += 1
+        due[(here | again) & ~done] = now + retry_ms
+        if changed.any():
+            yield pd.DataFrame({"shipping_id": ids[changed], "offers": offers[changed], "done": done[changed], "step": step[changed]})
+        state.update(tuple(a.astype(kind).tobytes() for a, kind in zip((ids, offers, done, step, due), FIELDS.values())))
+        if not done.all():
+            state.setTimeoutDuration(int(max(due[~done].min() - now, 1)))
     return run
 
 
@@ -67,7 +83,7 @@ def stream_work_list(spark: SparkSession, source_dir: str, table: str, table_roo
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     ids = reader.parquet(source_dir).where(F.col("shipping_id").isNotNull() & (F.col("shipping_id") != 0))
-    changes = ids.groupBy("shipping_id").applyInPandasWithState(
+    changes = ids.withColumn("bucket", F.pmod(F.xxhash64("shipping_id"), F.lit(BUCKETS))).groupBy("bucket").applyInPandasWithState(
         offer(retry_ms), WORK_LIST, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
 
     def save(batch: DataFrame, epoch_id: int) -> None:

@@ -26,3 +26,32 @@ def test_sql_gold_never_broadcasts_costs_beyond_the_bound(spark, sf_small):
     inputs = _gold_inputs(spark, sf_small)
     plan = _plan(gold_via_sql(spark, *inputs, prefix=f"g{uuid.uuid4().hex[:6]}", max_broadcast_bytes=0))
     assert "SortMergeJoin [order_item_item_seller_sku" in plan.replace("SortMergeJoin(skew=true)", "SortMergeJoin")
+
+
+class _State:
+    def __init__(self, now, get=None, timed_out=False):
+        self.now, self.get, self.exists, self.hasTimedOut, self.timer = now, get, get is not None, timed_out, None
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+    def setTimeoutDuration(self, ms):
+        self.timer = ms
+
+
+def test_work_list_takes_many_ids_in_one_call():
+    run, state = work_list.offer(100), _State(1000)
+    frame = lambda ids, fetched: pd.DataFrame({"shipping_id": ids, "fetched": fetched})
+    ids = np.arange(1, 1001)
+    (out,) = run((0,), iter([frame(ids, False), frame(ids[:10], True)]), state)
+    assert len(out) == 1000 and out["done"].sum() == 10 and out["offers"].sum() == 990 and (out["step"] == 1).all() and state.timer == 100
+    state = _State(1050, state.get)
+    (out,) = run((0,), iter([frame(np.array([11, 2000]), [True, False])]), state)
+    assert sorted(map(tuple, out.to_numpy().tolist())) == [(11, 1, True, 2), (2000, 1, False, 1)] and state.timer == 50
+    state = _State(1100, state.get, timed_out=True)
+    (out,) = run((0,), iter([]), state)         # offered again but for what is done or not due
+    assert len(out) == 989 and (out["offers"] == 2).all() and (out["step"] == 2).all() and 2000 not in set(out["shipping_id"])
+    assert state.timer == 50
