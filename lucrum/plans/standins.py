@@ -14,7 +14,7 @@ work grows with the data. The same definitions are written in SQL in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.time import month_start
 from ..operators.dedup import latest_per_key
@@ -27,22 +27,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+ROWS_A_TASK = 2_000_000
+
+
+def spread(df: DataFrame, rows_each: Column | None = None) -> DataFrame:
     """Round-robin ``df`` over ``defaultParallelism`` partitions when its scan
     yields fewer (a single unsplittable file, e.g. one Parquet row group), so
     the work before the first shuffle is not single-threaded. Inputs made of
-    many files already have enough scan tasks and are returned unchanged."""
+    many files already have enough scan tasks and are returned unchanged.
+
+    Where each row becomes ``rows_each`` rows (a scalar), there are enough partitions
+    that none gives more than about ``ROWS_A_TASK``, which bounds what a task sorts."""
     sc = df.sparkSession.sparkContext
     target = sc.defaultParallelism
+    if rows_each is not None:
+        n = df.agg(F.count(F.lit(1)) * F.coalesce(rows_each, F.lit(1))).first()[0]
+        target = max(target, -(-n // ROWS_A_TASK))
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
 
-def latest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest ``lineitem`` row per ``(l_orderkey, l_linenumber)`` by ship date."""
-    return latest_per_key(table(spark, sf_dir, "lineitem"),
-                          ["l_orderkey", "l_linenumber"], "l_shipdate")
+def latest_lineitem(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+    """Newest ``lineitem`` row per ``(l_orderkey, l_linenumber)`` by ship date. With
+    ``by_order`` the rows are dealt by the order alone, so that a join on it needs no
+    second shuffle and an order's rows lie together."""
+    li = table(spark, sf_dir, "lineitem")
+    return latest_per_key(li.repartition("l_orderkey") if by_order else li, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
 def parcel_of(orderkey) -> F.Column:
@@ -117,9 +128,9 @@ def order_months(spark: SparkSession, sf_dir: str) -> F.Column:
 def product_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(sku, effective_date, unit_cost)``; no row for every tenth SKU in even
     months (missing-cost path)."""
-    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"))
-    m = p.select("p_partkey", "p_retailprice",
-                 F.explode(order_months(spark, sf_dir)).alias("effective_date"))
+    months = order_months(spark, sf_dir)
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"), F.size(months))
+    m = p.select("p_partkey", "p_retailprice", F.explode(months).alias("effective_date"))
     m = m.filter(~((F.col("p_partkey") % 10 == 0) & (F.month("effective_date") % 2 == 0)))
     return m.select(
         F.col("p_partkey").alias("sku"), "effective_date",
@@ -260,20 +271,20 @@ def shipment_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cost_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finance-system product costs with two versions per SKU and month: the
     second is newer for odd SKUs and older for even ones."""
-    p = spread(table(spark, sf_dir, "part"))
-    m = p.select("p_partkey", "p_name", "p_brand", "p_retailprice",
-                 F.explode(order_months(spark, sf_dir)).alias("vigencia"))
+    months = order_months(spark, sf_dir)
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice"), 2 * F.size(months))
+    m = p.select("p_partkey", "p_name", "p_brand", "p_retailprice", F.explode(months).alias("vigencia"))
     price = F.col("p_retailprice") * (F.lit(10) + F.month("vigencia"))
     odd = F.col("p_partkey") % 2 == 1
     shift = F.make_dt_interval(F.when(odd, F.lit(1)).otherwise(F.lit(-1)))
     base = [F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("produto"),
             F.col("p_brand").alias("marca"), "vigencia"]
-    first = m.select((F.col("p_partkey") * 2).alias("id"), *base, price.alias("preco"),
-                     F.col("vigencia").cast("timestamp_ntz").alias("updated_at"))
-    second = m.select((F.col("p_partkey") * 2 + 1).alias("id"), *base,
-                      (price + F.lit(1.0)).alias("preco"),
-                      (F.col("vigencia").cast("timestamp_ntz") + shift).alias("updated_at"))
-    return first.unionByName(second)
+    at = F.col("vigencia").cast("timestamp_ntz")
+    # both versions out of one row: a task has them together, one scan is enough
+    versions = F.array(
+        F.struct((F.col("p_partkey") * 2).alias("id"), price.alias("preco"), at.alias("updated_at")),
+        F.struct((F.col("p_partkey") * 2 + 1).alias("id"), (price + F.lit(1.0)).alias("preco"), (at + shift).alias("updated_at")))
+    return m.select(*base, F.explode(versions).alias("_v")).select("_v.id", "sku", "produto", "marca", "vigencia", "_v.preco", "_v.updated_at")
 
 
 def tax_source(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,17 @@ def test_sql_gold_never_broadcasts_costs_beyond_the_bound(spark, sf_small):
     assert "SortMergeJoin [order_item_item_seller_sku" in plan.replace("SortMergeJoin(skew=true)", "SortMergeJoin")
 
 
+def test_cost_versions_of_a_task_meet_before_the_shuffle(spark, sf_small):
+    dealt = S.cost_source(spark, sf_small).withColumn("task", F.spark_partition_id())
+    per = dealt.groupBy("sku", "vigencia").agg(F.count_distinct("task").alias("tasks"), F.count("id").alias("n"))
+    assert per.agg(F.max("tasks"), F.min("n")).first() == (1, 2)
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_A_TASK", 100)
+    assert S.spread(spark.range(0, 500, 1, 1), F.lit(4)).rdd.getNumPartitions() == 20
+
+
 class _State:
     def __init__(self, now, get=None, timed_out=False):
         self.now, self.get, self.exists, self.hasTimedOut, self.timer = now, get, get is not None, timed_out, None
