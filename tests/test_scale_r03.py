@@ -28,6 +28,23 @@ def test_sql_gold_never_broadcasts_costs_beyond_the_bound(spark, sf_small):
     assert "SortMergeJoin [order_item_item_seller_sku" in plan.replace("SortMergeJoin(skew=true)", "SortMergeJoin")
 
 
+def test_gold_shuffles_no_derived_amounts(spark, sf_small):
+    plan = _plan(gold.gold_orders(*_gold_inputs(spark, sf_small), columns=["id", "order_price", "freight_share"], cost_broadcast_bytes=0))
+    physical = plan[plan.index("== Physical Plan =="):]
+    above = physical[:physical.index("Exchange")]
+    assert "AS order_price" in above and "AS freight_share" in above
+
+
+def test_items_shuffle_lineitem_once(spark, sf_small):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(S.order_items(spark, sf_small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan[plan.index("== Physical Plan =="):].count("Exchange hashpartitioning") == 2       # lineitem and orders
+
+
 def test_cost_versions_of_a_task_meet_before_the_shuffle(spark, sf_small):
     dealt = S.cost_source(spark, sf_small).withColumn("task", F.spark_partition_id())
     per = dealt.groupBy("sku", "vigencia").agg(F.count_distinct("task").alias("tasks"), F.count("id").alias("n"))
