@@ -282,7 +282,7 @@ def _land_items(spark, sf_dir, root):
     staged = items.withColumn("_exec", execution)
     stamped = bronze_sink.stamp(staged, "_exec", "orders", date_from="_exec",
                                 date_to=F.add_months(F.col("_exec"), 1)).drop("_exec")
-    bronze_sink.land_jsonl(stamped, root)
+    bronze_sink.land_jsonl(stamped, root, compression="gzip")
     return stamped.schema
 
 

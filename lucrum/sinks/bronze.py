@@ -37,14 +37,16 @@ def stamp(df: DataFrame, execution_ts: Column | str, name: str = "data",
 
 
 def land_jsonl(df: DataFrame, root: str, skip_empty: bool = False,
-               summary_ts: str | None = None) -> dict:
+               summary_ts: str | None = None, compression: str = "none") -> dict:
     """Append ``df`` (already stamped) as JSON lines under ``root``.
 
     Rows are clustered by partition with the ``rebalance`` hint: each
     directory receives few files, and AQE splits a day holding a large share
     of the rows over several tasks instead of one. With ``skip_empty`` an
     empty batch writes nothing (K13); appending zero rows is harmless
-    otherwise. Returns the run summary (K11) — rows written and, with
+    otherwise. ``compression`` is the codec of the files ("gzip": about a tenth of
+    the bytes; a file is then read by one task, and the rebalance bounds files).
+    Returns the run summary (K11) — rows written and, with
     ``summary_ts``, the first and last value of that column — gathered by
     ``observe`` during the write, without a second pass over the data."""
     if skip_empty and df.isEmpty():
@@ -55,7 +57,7 @@ def land_jsonl(df: DataFrame, root: str, skip_empty: bool = False,
     obs = Observation("bronze_landing")
     (df.observe(obs, *metrics).hint("rebalance", *PARTITION_COLUMNS)
        .write.mode("append").partitionBy(*PARTITION_COLUMNS)
-       .option("compression", "none")
+       .option("compression", compression)
        .option("timestampNTZFormat", TS_NTZ_FORMAT).option("timestampFormat", TS_FORMAT)
        .json(root))
     return {"written": True, "root": root, **obs.get}

@@ -45,6 +45,15 @@ def test_items_shuffle_lineitem_once(spark, sf_small):
     assert plan[plan.index("== Physical Plan =="):].count("Exchange hashpartitioning") == 2       # lineitem and orders
 
 
+def test_landed_lines_compressed_read_back_the_same(spark, tmp_path):
+    rows = spark.range(500).select("id", F.lit("text").alias("t"), F.expr("timestamp_ntz'2024-01-02 00:00:00'").alias("ts"))
+    stamped, root = stamp(rows, "ts", "x"), str(tmp_path / "land")
+    assert land_jsonl(stamped, root, compression="gzip")["rows"] == 500
+    files = list((tmp_path / "land").rglob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sorted(read_jsonl(spark, root, rows.schema).select(*rows.columns).collect()) == sorted(rows.collect())
+
+
 def test_cost_versions_of_a_task_meet_before_the_shuffle(spark, sf_small):
     dealt = S.cost_source(spark, sf_small).withColumn("task", F.spark_partition_id())
     per = dealt.groupBy("sku", "vigencia").agg(F.count_distinct("task").alias("tasks"), F.count("id").alias("n"))
