@@ -28,6 +28,22 @@ def test_sql_gold_never_broadcasts_costs_beyond_the_bound(spark, sf_small):
     assert "SortMergeJoin [order_item_item_seller_sku" in plan.replace("SortMergeJoin(skew=true)", "SortMergeJoin")
 
 
+def test_first_batch_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+    source = spark.createDataFrame(spark.range(50).select("id", (F.col("id") % 3).alias("p"), F.lit(1).alias("v")).rdd.mapPartitions(count),
+                                   "id long, p long, v int")
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    tables.create_table(spark, name, source.schema, str(tmp_path / name), ["p"])
+    done = tables.upsert(spark, name, source, ["id"], "v", partition_can_change=False)
+    assert seen.value == 50 and done["created"] and done["partitions_rewritten"] == 3
+    assert spark.table(name).count() == 50 and done["changes"].where("_old is null").count() == 50
+
+
 def test_gold_shuffles_no_derived_amounts(spark, sf_small):
     plan = _plan(gold.gold_orders(*_gold_inputs(spark, sf_small), columns=["id", "order_price", "freight_share"], cost_broadcast_bytes=0))
     physical = plan[plan.index("== Physical Plan =="):]
