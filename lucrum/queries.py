@@ -584,8 +584,7 @@ def stream_window_counts(spark, sf_dir):
     from .streaming import stream_window_counts as run_stream
     e = S.events(spark, sf_dir)
     src = scratch_path(spark, "event-files")
-    for i in range(5):
-        e.filter(F.col("event_id") % 5 == i).write.mode("append").parquet(src)
+    S.land_events(e, src)
     # Alignment needs the tiling start as a literal: one scalar, read once.
     start = _windows(spark, sf_dir).agg(F.min("date_from")).first()[0]
     target = f"lucrum_{uuid.uuid4().hex[:12]}"

@@ -86,3 +86,14 @@ def test_work_list_offers_again_after_the_retry_time(spark, tmp_path):
         stream_work_list(spark, src, name, str(tmp_path / name), str(tmp_path / "ckpt"), retry_ms=1)
     rows = {r.shipping_id: r for r in spark.table(name).collect()}
     assert rows[1].offers >= 2 and not rows[1].done and rows[2].done and rows[4].offers == 1
+
+
+def test_events_land_in_files_by_their_rows_not_by_the_scans_tasks(spark, tmp_path):
+    ids = [*range(40), 3, None, -4, -5]
+    e = spark.createDataFrame([(i,) for i in ids], "event_id long").repartition(6)
+    for rows, least, most in ((1_000, 5, 5), (4, 6, 12)):      # batches of 9 (-5 too), 8, 8, 9 (3 twice) and 8 rows
+        src = str(tmp_path / f"src{rows}")
+        S.land_events(e, src, rows_a_file=rows)
+        got = spark.read.parquet(src)
+        assert least <= len(got.inputFiles()) <= most
+        assert sorted(r[0] for r in got.collect()) == sorted([*range(40), 3, -5])
