@@ -28,6 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 ROWS_A_TASK = 2_000_000
+LINES_A_TASK = 500_000
 
 
 def spread(df: DataFrame, rows_each: Column | None = None) -> DataFrame:
@@ -200,10 +201,16 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     One record per ``lineitem`` row: a version of its order, updated at the
     ship date, carrying that line as its only item and three payments whose
     statuses follow the line's flags. Orders without any line appear once with
-    an empty ``order_items`` array and no payments."""
+    an empty ``order_items`` array and no payments.
+
+    One join gives both, dealt by the order over as many tasks as keep each to about
+    ``LINES_A_TASK`` lines, which bounds what a task sorts."""
     from ..schemas import BRONZE_ORDERS, ORDER_ITEM
-    o = table(spark, sf_dir, "orders")
-    li = spread(table(spark, sf_dir, "lineitem"))
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-li.count() // LINES_A_TASK))
+    o = o.repartition(tasks, "o_orderkey")
+    li = li.where(F.col("l_orderkey").isNotNull()).repartition(tasks, "l_orderkey")
+    lineless = F.col("l_orderkey").isNull()
     rf = F.col("l_returnflag")
     pays = F.array(
         _payment(1, F.when(rf == "A", "approved").when(rf == "R", "rejected").otherwise("pending")),
@@ -220,28 +227,23 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("l_partkey").cast("string").alias("seller_sku")),
         stock=F.struct(F.col("l_linestatus").alias("node_id")))
 
-    def record(updated: str, payments: F.Column, items: F.Column) -> list[F.Column]:
-        vals = dict(
-            id=F.col("o_orderkey"), status=F.col("o_orderstatus"),
-            date_created=_text("o_orderdate"), date_last_updated=_text(updated),
-            last_updated=_text(updated), total_amount=F.col("o_totalprice"),
-            paid_amount=F.col("o_totalprice"), currency_id=F.lit("BRL"),
-            mediations=F.array().cast("array<struct<id:bigint>>"),
-            shipping=F.struct(parcel_of("o_orderkey").alias("id")),
-            buyer=F.struct(F.col("o_custkey").alias("id"),
-                           F.concat(F.lit("buyer_"), F.col("o_custkey")).alias("nickname")),
-            seller=F.struct(F.lit(SELLER_ID).cast("bigint").alias("id"),
-                            F.lit("seller").alias("nickname")),
-            payments=payments, order_items=items, _ingested_at=_text(updated))
-        return [(vals[f.name] if f.name in vals else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in BRONZE_ORDERS.fields]
-
-    with_lines = o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(
-        *record("l_shipdate", pays, F.array(item)))
-    lineless = o.join(li.select("l_orderkey").distinct(), o["o_orderkey"] == F.col("l_orderkey"),
-                      "left_anti")
-    no_lines = lineless.select(*record("o_orderdate", F.lit(None), F.array()))
-    return with_lines.unionByName(no_lines)
+    updated = F.when(lineless, _text("o_orderdate")).otherwise(_text("l_shipdate"))
+    vals = dict(
+        id=F.col("o_orderkey"), status=F.col("o_orderstatus"),
+        date_created=_text("o_orderdate"), date_last_updated=updated,
+        last_updated=updated, total_amount=F.col("o_totalprice"),
+        paid_amount=F.col("o_totalprice"), currency_id=F.lit("BRL"),
+        mediations=F.array().cast("array<struct<id:bigint>>"),
+        shipping=F.struct(parcel_of("o_orderkey").alias("id")),
+        buyer=F.struct(F.col("o_custkey").alias("id"),
+                       F.concat(F.lit("buyer_"), F.col("o_custkey")).alias("nickname")),
+        seller=F.struct(F.lit(SELLER_ID).cast("bigint").alias("id"),
+                        F.lit("seller").alias("nickname")),
+        payments=F.when(~lineless, pays), order_items=F.filter(F.array(item), lambda _: ~lineless),
+        _ingested_at=updated)
+    return o.join(li.hint("merge"), o["o_orderkey"] == li["l_orderkey"], "left").select(
+        *[(vals[f.name] if f.name in vals else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in BRONZE_ORDERS.fields])
 
 
 def bronze_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
