@@ -9,12 +9,14 @@ one round of shards, so its count is then complete. Counting stops when no phras
 is left that hasn't gone round.
 
 A word or phrase that reaches the threshold gets a number, and a longer phrase is
-the pair of its parts' numbers, so identity is exact and a key is two longs at any
-length. A block tells which pairs it holds, with their counts in it, each once;
-these meet the newly numbered phrases in a join and the hits return to their
-block, where they say which phrases are to be counted at the next length. Counts are summed per block
-first, so a frequent phrase is no hot key. The blocks of a shard are cached on
-disk by block number, so that hits travel to them and they stay where they are.
+the pair of its parts' numbers, so identity is exact and a key is two numbers at any
+length. A block tells which pairs it holds, with their counts in it, each once, packed
+in a row for each part of the phrases (a share by hash). What the blocks of a round
+tell meets in its part, where it is summed, the phrases that reach the threshold are
+numbered, and the blocks are told of them, packed too; these hits say which phrases are
+to be counted at the next length. Counts are summed per block first, so a frequent
+phrase is no hot key. The blocks of a shard are cached on disk by block number, so that
+hits travel to them and they stay where they are.
 
 Null texts count as empty, a null language as ``und``; repeated rows count again,
 ids are not read and extra columns are ignored. A text longer than a block is cut
@@ -34,10 +36,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lucrum.config import scratch_path
-from lucrum.llm.common import squeeze, stored, unsqueeze
+from lucrum.llm.common import mix, squeeze, stored, unsqueeze
 
 SHARDS = 2
 BLOCK_BYTES = 8_000_000
+PART_WORDS = 6_000_000          # words of the table for each part of the phrases
+PARTS = 12                      # at least
 HELD_BYTES = 24_000_000         # text of unfinished blocks of all languages in a task
 BREAKS = b".,;:!?\n\x0b\x0c\r"  # between pieces
 _CUT = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
@@ -61,11 +65,11 @@ def encode(data: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 
 
 def pack(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFrame:
-    """Blocks (shard, block, lang, codes, words, n), written by shard."""
+    """Blocks (shard, block, lang, codes, words, n, size), written by shard."""
     src = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                       F.col(f"`{text_col}`").cast("string").alias("text")).where("text <> ''")
     schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("codes", pa.binary()), ("words", pa.list_(pa.string())),
-                        ("n", pa.list_(pa.int32()))])
+                        ("n", pa.list_(pa.int32())), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -78,7 +82,7 @@ def pack(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFram
             total -= size
             codes, words, n = encode(b"\n".join(texts))
             number += 1
-            row = [[number - 1], [lang], [squeeze(codes)], [[w.decode() for w in words]], [n]]
+            row = [[number - 1], [lang], [squeeze(codes)], [[w.decode() for w in words]], [n], [int(n.sum())]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
@@ -100,7 +104,7 @@ def pack(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFram
             yield flush(lang)
 
     spark = docs.sparkSession
-    blocks = src.mapInArrow(run, "block long, lang string, codes binary, words array<string>, n array<int>").withColumn(
+    blocks = src.mapInArrow(run, "block long, lang string, codes binary, words array<string>, n array<int>, size long").withColumn(
         "shard", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"))
     path = scratch_path(spark, "llm/piece-blocks")
     blocks.write.option("compression", "zstd").partitionBy("shard").parquet(path)
@@ -108,51 +112,147 @@ def pack(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFram
 
 
 HITS = "block long, level int, found array<struct<left:bigint,right:bigint,id:bigint,reach:int>>"
-PAIR = "block long, left long, right long, n int, start int"
+KEYS = "part int, block long, step int, lefts binary, rights binary, n binary"
+FOUND = "block long, level int, lefts binary, rights binary, n binary, reach binary"
+REPLY = "what string, shard int, part int, block long, step int, lefts binary, rights binary, n binary, reach binary"
+_KINDS = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
-def _pairs(blocks: DataFrame, hits: DataFrame, level: int, since: int) -> DataFrame:
+def _table(ddl: str, rows: list[tuple]) -> pa.Table:
+    names, kinds = zip(*(f.split() for f in ddl.split(", ")))
+    columns = zip(*rows) if rows else [[]] * len(names)
+    return pa.table({n: pa.array(c, _KINDS[k]) for n, k, c in zip(names, kinds, columns)})
+
+
+def _pack_keys(keys: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending pairs of numbers: steps of the left ones, right ones."""
+    return squeeze(np.diff(keys >> 32, prepend=0)), squeeze(keys & 0xFFFFFFFF)
+
+
+def _unpack_keys(lefts: bytes, rights: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze(lefts)) << 32 | unsqueeze(rights)
+
+
+def _pairs(blocks: DataFrame, hits: DataFrame, level: int, since: int, longer: DataFrame | None = None, parts: int = 1, step: int = 0) -> DataFrame:
     """The distinct phrases of ``level`` words of each block, with their counts in
     it, that are counted from a step after ``since`` on: both parts have reached the
-    threshold, and the step by which the later one had, ``start``, is after it.
+    threshold, the later one after that step. A row holds those of one block and one
+    part, a share of all phrases by hash.
+
+    ``hits`` tells which of a block's words (left: the number in the block) have
+    reached the threshold, their numbers, and by which step; ``longer`` (of
+    ``_count``, with their level) the same of shorter phrases."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+                lefts, _, ids, reach = (found.values.field(i).to_numpy() for i in range(4))
+                order = np.argsort(lefts)
+                row = _table(FOUND, [(number, 1, squeeze(np.diff(lefts[order], prepend=0)), None, squeeze(ids[order]), squeeze(reach[order]))])
+                yield from row.to_batches()
 
-    ``hits`` tells which of a block's words (left: the number in the block) and
-    shorter phrases have reached the threshold, their numbers, and by which step."""
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        names = [f.split()[0] for f in PAIR.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         if not block.num_rows or not found.num_rows:
-            return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
+            return _table(KEYS, [])
         codes = unsqueeze(block["codes"][0].as_py())
-        lists = found["found"].combine_chunks()
-        of = np.repeat(found["level"].to_numpy(), lists.value_lengths().to_numpy())
-        lefts, rights, ids, reach = (lists.flatten().field(i).to_numpy() for i in range(4))
+        held: dict[int, list] = {}
+        for row in found.to_pylist():
+            held.setdefault(row["level"], []).append(row)
         # words have numbers from 1 on, breaks 0
-        number, by = np.full(int(codes.max()) + 1, -1, np.int64), np.zeros(int(codes.max()) + 1, np.int64)
-        number[lefts[of == 1]], by[lefts[of == 1]] = ids[of == 1], reach[of == 1]
-        name, step = number[codes], by[codes]       # of the phrase that begins there; -1: not reached
-        for length in range(2, level + 1):
-            both = (name[:-1] >= 0) & (name[1:] >= 0)
-            if length == level:
-                both &= np.maximum(step[:-1], step[1:]) > since
-            known, rank = np.unique(name, return_inverse=True)
-            pair = (rank[:-1] * np.int64(len(known)) + rank[1:])[both]
-            if length == level:
-                distinct, first, count = np.unique(pair, return_index=True, return_counts=True)
-                start = np.maximum(step[:-1], step[1:])[both][first]
-            else:
-                own = of == length
-                hit = np.searchsorted(known, lefts[own]) * np.int64(len(known)) + np.searchsorted(known, rights[own])
-                order = np.argsort(hit)
-                at = np.minimum(np.searchsorted(hit, pair, sorter=order), max(len(hit) - 1, 0))
-                same = hit[order][at] == pair if len(hit) else np.zeros(len(pair), bool)
-                name, step = np.full(len(both), -1, np.int64), np.zeros(len(both), np.int64)
-                where = np.flatnonzero(both)[same]
-                name[where], step[where] = ids[own][order][at[same]], reach[own][order][at[same]]
-        columns = ([block["block"][0].as_py()] * len(distinct), known[distinct // len(known)], known[distinct % len(known)], count, start)
-        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
-
-    return blocks.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(run, PAIR)
+        number, by = np.full(int(codes.max()) + 1, -1, np.int64), np.zeros(int(codes.max()) + 1, np.int32)
+        for row in held.get(1, ()):
+            lefts = np.cumsum(unsqueeze(row["lefts"]))
+            number[lefts], by[lefts] = unsqueeze(row["n"]), unsqueeze(row["reach"])
+        name, came = number[codes], by[codes]       # of the phrase that begins there; -1: not reached
+        for length in range(2, level):
+            both = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0))
+            pair = name[both] << 32 | name[both + 1]
+            name, came = np.full(len(name) - 1, -1, np.int64), np.zeros(len(name) - 1, np.int32)
+            if length in held:
+                own = held.pop(length)
+                hit = pd.Index(np.concatenate([_unpack_keys(r["lefts"], r["rights"]) for r in own]))
+                at = hit.get_indexer(pair)
+                both, at = both[at >= 0], at[at >= 0]
+                name[both] = np.concatenate([unsqueeze(r["n"]) for r in own])[at]
+                came[both] = np.concatenate([unsqueeze(r["reach"]) for r in own])[at]
+        both = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0) & (np.maximum(came[:-1], came[1:]) > since))
+        keys, count = np.unique(name[both] << 32 | name[both + 1], return_counts=True)
+        part = ((mix(keys.view(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        number = block["block"][0].as_py()
+        return _table(KEYS, [(i, number, step, *_pack_keys(keys[own]), squeeze(count[own])) for i, own in enumerate(np.split(order, ends[:-1])) if len(own)])
+
+    hits = hits.select("block", "found").mapInArrow(pack, FOUND)
+    if longer is not None:
+        hits = hits.unionByName(longer.select(*hits.columns))
+    return blocks.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(run, KEYS)
+
+
+def _count(told: DataFrame, parts: int, step: int, threshold: int, shards: int, reply: bool) -> DataFrame:
+    """What the steps' told rows of one length (``_pairs``) come to, part by part.
+    Rows without a block tell the numbers given so far.
+
+    reached: the phrases that reach the threshold in this step, with numbers;
+    count: how often phrases that reached it were told in this step, and before it
+    those that reach it now; hit (if asked for): to the blocks that told them, the
+    numbers of such phrases, to be used from a step on, and by which step they came.
+    Blocks have been told before of the phrases that reached it before, but for the
+    blocks of this step."""
+    def run(rows: pa.Table) -> pa.Table:
+        part = rows["part"][0].as_py()
+        rows = rows.select(["block", "step", "lefts", "rights", "n"]).to_pylist()
+        held = [r for r in rows if r["block"] is None]
+        told = [r for r in rows if r["block"] is not None]
+        if not told:
+            return _table(REPLY, [])
+        empty = [np.zeros(0, np.int64)]
+        old = pd.Index(np.concatenate(empty + [_unpack_keys(r["lefts"], r["rights"]) for r in held]))
+        old_id = np.concatenate(empty + [unsqueeze(r["n"]) for r in held])
+        old_by = np.repeat(np.array([r["step"] for r in held], np.int64), [len(unsqueeze(r["n"])) for r in held])
+        each = [_unpack_keys(r["lefts"], r["rights"]) for r in told]
+        ends = np.cumsum([len(k) for k in each])
+        keys, at = np.unique(np.concatenate(each), return_inverse=True)
+        del each
+        n = np.concatenate([unsqueeze(r["n"]) for r in told])
+        now = np.repeat([r["step"] == step for r in told], np.diff(ends, prepend=0))
+        # whole numbers below 2**53 stay exact
+        total = np.bincount(at, n, len(keys)).astype(np.int64)
+        late = np.bincount(at[now], n[now], len(keys)).astype(np.int64)
+        place = old.get_indexer(keys)
+        new = np.flatnonzero((place < 0) & (total >= threshold))
+        number, by = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        number[place >= 0], by[place >= 0] = old_id[place[place >= 0]], old_by[place[place >= 0]]
+        number[new], by[new] = (len(old) + np.arange(len(new))) * parts + part, step + 1
+        if len(new) and number[new[-1]] >= 1 << 31:
+            raise OverflowError("more than 2**31 frequent phrases of one length")
+        out = []
+        if len(new):
+            out.append(("reached", None, part, None, step + 1, *_pack_keys(keys[new]), squeeze(number[new]), None))
+        late[new] = total[new]
+        counted = np.flatnonzero((number >= 0) & (late > 0))
+        if len(counted):
+            out.append(("count", None, part, None, step, *_pack_keys(keys[counted]), squeeze(late[counted]), None))
+        for r, own in zip(told if reply else [], np.split(at, ends[:-1])):
+            fresh = by[own] > step
+            for start, some in ((step + 1, fresh), (step, ~fresh & (number[own] >= 0))):
+                some = own[some]
+                if len(some) and (start > step or r["step"] == step):
+                    out.append(("hit", r["step"] % shards, part, r["block"], start, *_pack_keys(keys[some]), squeeze(number[some]), squeeze(by[some])))
+        return _table(REPLY, out)
+
+    return told.repartition(parts, "part").groupBy("part").applyInArrow(run, REPLY)
+
+
+def _rows(packed: DataFrame, value: str) -> DataFrame:
+    """Packed phrases a row each: left, right, ``value``, step."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lefts, rights, n, step in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                keys = _unpack_keys(lefts, rights)
+                yield pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(unsqueeze(n)),
+                                                  pa.array(np.full(len(keys), step, np.int32))], ["left", "right", value, "step"])
+
+    return packed.select("lefts", "rights", "n", "step").mapInArrow(run, f"left long, right long, {value} long, step int")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -177,60 +277,71 @@ def _numbered(spark: SparkSession, got: DataFrame, key: list[str], first: int, r
 
 
 def count_phrases(spark: SparkSession, blocks: DataFrame, threshold: int, longest: int, shards: int) -> tuple[dict, dict]:
-    """By length: the counts of each step (lang, word or left, right; n), complete
-    once summed, and the phrases that reached the threshold with their numbers.
-
-    A block tells each phrase once, in the step that counts it; that row is kept and
-    meets only phrases that reached the threshold since the shard's last turn."""
-    key = {1: ["lang", "word"], **{n: ["left", "right"] for n in range(2, longest + 1)}}
-    counts: dict[int, list[tuple[int, DataFrame]]] = {n: [] for n in key}
-    reached: dict[int, dict[int, DataFrame]] = {n: {} for n in key}     # by the step that brought them there
-    numbers = dict.fromkeys(key, 0)
-    told: dict[tuple[int, int], list[DataFrame]] = {}                   # by shard and length
+    """By length: the counts of each step (lang, word; or left, right of phrases
+    that reached the threshold; n), complete once summed, and the words and phrases
+    that reached the threshold with their numbers.
+
+    A block tells each phrase once, in the step that counts it. What the blocks of
+    a round tell of a length meets in one shuffle, packed by block and part, where
+    it is summed and answered."""
+    counts: dict[int, list[DataFrame]] = {n: [] for n in range(1, longest + 1)}
+    words: list[tuple[int, DataFrame]] = []
+    reached: dict[int, dict[int, DataFrame]] = {n: {} for n in counts}      # by the step that brought them there
+    numbers = 0
+    told: dict[int, list[tuple[int, DataFrame]]] = {n: [] for n in counts}  # by length, with their steps
+    replies: dict[int, list[DataFrame]] = {n: [] for n in counts}
     hits: dict[int, list[DataFrame]] = {}
-    per_shard = max(1, blocks.count() // (2 * shards))
+    n_blocks, n_words = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    per_shard = max(1, n_blocks // (2 * shards))
+    parts = max(PARTS, -(-n_words // PART_WORDS))
     cached: dict[int, DataFrame] = {}
     try:
         step = 0
         while True:
             shard, since = step % shards, step - shards
-            lately = {n: [df for s, df in reached[n].items() if s >= since] for n in key}
+            lately = {n: [df for s, df in reached[n].items() if s >= since] for n in counts}
             # a phrase counts for one round after its later part has got there
-            active = [n for n in key if (step < shards if n == 1 else lately[n - 1])]
+            active = [n for n in counts if (step < shards if n == 1 else lately[n - 1])]
             if not active:
-                return {n: [c for _, c in counts[n]] for n in key}, {n: list(reached[n].values()) for n in key}
+                return counts, {n: list(reached[n].values()) if n == 1 else [_rows(df, "id").withColumnRenamed("step", "reach") for df in reached[n].values()]
+                                for n in counts}
             rows = blocks.where(F.col("shard") == shard)
             if shard not in cached and max(active) > 1:
                 cached[shard] = rows.select("block", "codes").repartition(per_shard, "block").persist(StorageLevel.DISK_ONLY)
-            for n in range(1, max(active) + 1):
-                if n == 1:
-                    own = rows.select("block", "lang", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w")).select(
-                        "block", (F.col("at") + 1).cast("long").alias("left"), F.lit(0).cast("long").alias("right"), "lang",
-                        F.col("w.words").alias("word"), F.col("w.n").alias("n"))
-                elif n in active:
-                    new = stored(spark, _pairs(cached[shard], _union(hits[shard]), n, since), "phrases", "zstd")
-                    told.setdefault((shard, n), []).append(new)
-                if n in active:
-                    due = (own if n == 1 else new).groupBy(key[n]).agg(F.sum("n").cast("long").alias("n"))
-                    counts[n].append((step, stored(spark, due, "phrase-counts")))
-                if n + 1 in active:
-                    if n > 1:
-                        own = _union(told[shard, n])
-                    found = own.join(_union(lately[n]), key[n]).groupBy("block").agg(
-                        F.collect_list(F.struct("left", "right", "id", "reach")).alias("found"))     # at most a block's words
-                    hits.setdefault(shard, []).append(stored(spark, found.select("block", F.lit(n).alias("level"), "found"), "hits"))
+            own = rows.select("block", "lang", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w")).select(
+                "block", (F.col("at") + 1).cast("long").alias("left"), F.lit(0).cast("long").alias("right"), "lang",
+                F.col("w.words").alias("word"), F.col("w.n").alias("n"))
+            if 1 in active:
+                due = own.groupBy("lang", "word").agg(F.sum("n").cast("long").alias("n"))
+                words.append((step, stored(spark, due, "word-counts")))
+                counts[1].append(words[-1][1])
+            if 2 in active:
+                found = own.join(_union(lately[1]), ["lang", "word"]).groupBy("block").agg(
+                    F.collect_list(F.struct("left", "right", "id", "reach")).alias("found"))     # at most a block's words
+                hits.setdefault(shard, []).append(stored(spark, found.select("block", F.lit(1).alias("level"), "found"), "hits"))
             for n in active:
-                if n < longest:
-                    got = _union([c for s, c in counts[n] if s > since]).groupBy(key[n]).agg(F.sum("n").alias("n")).where(
-                        F.col("n") >= threshold)
-                    # those that got there in the rounds whose counts are looked at
-                    known = [df for s, df in reached[n].items() if s > step - 2 * shards]
-                    if known:
-                        got = got.join(_union(known), key[n], "left_anti")
-                    got, more = _numbered(spark, got, key[n], numbers[n], step + 1)
-                    if more:
-                        reached[n][step] = got
-                        numbers[n] += more
+                if n == 1:
+                    continue
+                heard = [df.where((F.col("what") == "hit") & (F.col("shard") == shard) & (F.col("step") <= step)).withColumn("level", F.lit(m))
+                         for m in range(2, n) for df in replies[m]]
+                new = _pairs(cached[shard], _union(hits[shard]), n, since, _union(heard) if heard else None, parts, step)
+                told[n] = [(s, df) for s, df in told[n] if s > since] + [(step, stored(spark, new, "phrases", "none"))]
+                known = [df.select(*(F.col(f.split()[0]) for f in KEYS.split(", "))) for df in reached[n].values()]
+                got = stored(spark, _count(_union([df for _, df in told[n]] + known), parts, step, threshold, shards, n < longest), "replies", "none")
+                replies[n].append(got)
+                counts[n].append(_rows(got.where("what = 'count'"), "n").drop("step"))
+                more = got.where("what = 'reached'")
+                if not more.isEmpty():
+                    reached[n][step] = more
+            if 1 in active:
+                # a round's counts are looked at
+                got = _union([c for s, c in words if s > since]).groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
+                if reached[1]:
+                    got = got.join(_union(list(reached[1].values())), ["lang", "word"], "left_anti")
+                got, more = _numbered(spark, got, ["lang", "word"], numbers, step + 1)
+                if more:
+                    reached[1][step] = got
+                    numbers += more
             step += 1
     finally:
         for df in cached.values():

@@ -106,3 +106,22 @@ def test_blocks_stay_where_they_are(spark, capsys):
     plan = capsys.readouterr().out
     blocks.unpersist()
     assert plan.count("Exchange") - plan.split("InMemoryRelation")[1].split("LocalTableScan")[0].count("Exchange") == 1, plan
+
+
+def test_blocks_tell_their_phrases_packed(spark, monkeypatch):
+    """What blocks tell and are told are rows of a block and a part, not of a block and a phrase."""
+    kept, store = [], collocations.stored
+
+    def stored(spark, df, name, *args):
+        kept.append((name, store(spark, df, name, *args)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(collocations, "stored", stored)
+    r = random.Random(4)
+    rows = [(i, " ".join(f"w{r.randrange(60)}" for _ in range(2000)), "en") for i in range(12)]
+    assert run(spark, rows, threshold=4) == brute(rows, 4)
+    told = [df.count() for name, df in kept if name == "phrases"]
+    blocks = spark.createDataFrame(rows).rdd.getNumPartitions()
+    assert len(told) > 3 and max(told) <= blocks * collocations.PARTS < 60 * 60
+    # of one block and length: told, counted and answered once a part and step
+    assert max(df.count() for name, df in kept if name == "replies") <= (3 * blocks + 2) * collocations.PARTS
