@@ -281,14 +281,15 @@ def mine(vectors: DataFrame, anchors: Column, positives: int = 5, negatives: int
     n_blocks = blocks.count()
     slots = max(1, min(n_blocks, FEW_BLOCKS), n_blocks // SLOT_BLOCKS)
     slotted = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int"))
-    bodies = slotted.drop("anchors").repartition(slots, "slot")
+    # merged, never broadcast: a pack is sent to many groups, and the planner sees the bytes it has before
+    bodies = slotted.drop("anchors").repartition(slots, "slot").hint("merge")
 
     # own label: a pack meets the groups of blocks that hold one of its labels
     kind = "lo:bigint,hi:bigint,base:bigint"
     plain = packs(asked.withColumn("windows", F.lit(None).cast(f"array<struct<{kind}>>")))
     holds = slotted.select("slot", "dim", F.explode(F.array_distinct("labels")).alias("label")).distinct()
     meet = asked.select("pack", "dim", "label").distinct().join(holds, ["dim", "label"]).select("pack", "dim", "slot").distinct()
-    near = _search(plain.join(meet, ["pack", "dim"]).repartition(slots, "slot").join(bodies, ["slot", "dim"]), positives, True)
+    near = _search(plain.hint("merge").join(meet, ["pack", "dim"]).repartition(slots, "slot").join(bodies, ["slot", "dim"]), positives, True)
     near = stored(spark, _first(near, positives).select("anchor", "row", F.col("id").alias("positive_id"), "score"), "positives")
 
     # other labels: a pack meets all blocks of its length
