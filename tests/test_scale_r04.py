@@ -2,12 +2,14 @@
 
 import datetime as dt
 import random
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from lucrum.llm import negatives
 from lucrum.plans import gold, standins as S
+from lucrum.sinks import tables
 
 
 def _final_plan(df):
@@ -72,3 +74,31 @@ def test_gold_shuffles_whole_rows_once(spark, sf_small):
     dealt = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
     whole = [i for n, i in enumerate(dealt) if any("buyer_nickname" in line for line in lines[i:([*dealt, len(lines)])[n + 1]])]
     assert len(whole) == 1 and "SortMergeJoin [order_item_item_seller_sku" not in plan.toString()
+
+
+def test_gold_is_dealt_by_partition_before_its_amounts(spark):
+    plan = _odd_gold(spark, cost_broadcast_bytes=0, deal_by=["order_date"])._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions", 1)
+    for derived in ("AS net_margin", "AS order_price", "AS order_sale_fee", "AS freight_share", "AS shipment_share"):
+        assert derived in above and derived not in below
+    got, want = (sorted(map(str, df.collect())) for df in (_odd_gold(spark, deal_by=["order_date"]), _odd_gold(spark)))
+    assert got == want
+
+
+def test_dealt_first_batch_is_not_shuffled_to_be_written(spark, tmp_path, monkeypatch):
+    writer = type(spark.range(1).write)
+    seen, insert = [], writer.insertInto
+
+    def note(self, *args):
+        seen.append(self._df._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions"))
+        return insert(self, *args)
+    monkeypatch.setattr(writer, "insertInto", note)
+    rows = spark.range(60).select("id", (F.col("id") % 3).alias("p"), F.lit(1).alias("v"))
+    for batch, options in ((rows, {}), (rows.hint("rebalance", "p"), {"dealt": True})):
+        name = f"t_{uuid.uuid4().hex[:8]}"
+        tables.create_table(spark, name, rows.schema, str(tmp_path / name), ["p"])
+        tables.upsert(spark, name, batch, ["id"], "v", partition_can_change=False, **options)
+        later = rows.where("id < 6").withColumn("v", F.lit(2))      # a merge deals its rows itself
+        tables.upsert(spark, name, later, ["id"], "v", partition_can_change=False, **options)
+        assert spark.table(name).agg(F.count("id"), F.sum("v")).first() == (60, 66)
+    assert seen == [1, 1, 1, 1]
