@@ -2,11 +2,14 @@
 
 import datetime as dt
 import random
+import time
 import uuid
 from decimal import Decimal
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from lucrum.config import RELEASE
 from lucrum.llm import negatives
 from lucrum.plans import gold, standins as S
 from lucrum.sinks import tables
@@ -102,3 +105,23 @@ def test_dealt_first_batch_is_not_shuffled_to_be_written(spark, tmp_path, monkey
         tables.upsert(spark, name, later, ["id"], "v", partition_can_change=False, **options)
         assert spark.table(name).agg(F.count("id"), F.sum("v")).first() == (60, 66)
     assert seen == [1, 1, 1, 1]
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    return sum(1 for d in manager.diskBlockManager().localDirs() for f in Path(d.toString()).rglob("shuffle_*.data"))
+
+
+def test_writes_release_their_shuffle_files(spark, sf_small, tmp_path):
+    own = spark.conf.get(RELEASE)
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    rows = spark.range(600).select("id", (F.col("id") % 3).alias("p"), F.lit(1).alias("v")).repartition(4, "id")
+    tables.create_table(spark, name, rows.schema, str(tmp_path / name), ["p"])
+    before = _shuffle_files(spark)
+    S.gold_items(spark, sf_small)
+    tables._append(spark, name, rows)
+    for _ in range(100):        # they go in the background
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before and spark.conf.get(RELEASE) == own
